@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -74,14 +75,16 @@ class WordCache:
         """The number of each word; new words are computed together."""
         if len(self.number) > self.limit:
             self._clear()
-        number = self.number
-        got = list(map(number.get, words))
-        if None in got:
-            new = [w for w in dict.fromkeys(w for w, n in zip(words, got, strict=True) if n is None)]
+        get = self.number.get
+        got = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(got < 0)
+        if len(unknown):
+            missed = [words[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(missed))
             flat, lengths = self.compute(new)
             self._append(new, np.asarray(flat, self.dtype), np.asarray(lengths, np.int64))
-            got = list(map(number.__getitem__, words))
-        return np.array(got, np.int64)
+            got[unknown] = np.fromiter(map(get, missed), np.int64, len(missed))
+        return got
 
     def _append(self, new: list, flat: np.ndarray, lengths: np.ndarray) -> None:
         base, n = len(self.number), len(new)

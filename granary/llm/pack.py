@@ -15,6 +15,8 @@ from granary.llm.common import steps
 from granary.llm.tokens import tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, n_loss long"
+#: Bytes of text tokenized at a time.
+TEXT_STEP = 8 << 20
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
@@ -132,9 +134,9 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
         encoder = tokenizer(tokenizer_path, spaced=True)
         out: list[tuple] = []
         packer = Packer(max_tokens, max_segments, most_loss, pool, min_piece, TaskContext.get().partitionId() << 40, out.append)
-        for step in steps(batches, "text"):
-            ids, lengths = encoder.encode(step.column(1).to_pylist())
-            before, before_lengths = encoder.encode(step.column(2).to_pylist()) if prompt_col else (ids[:0], np.zeros(step.num_rows, np.int64))
+        for step in steps(batches, "text", TEXT_STEP):
+            ids, lengths = encoder.encode(step.column(1))
+            before, before_lengths = encoder.encode(step.column(2)) if prompt_col else (ids[:0], np.zeros(step.num_rows, np.int64))
             at = at_before = 0
             for doc, n, m in zip(step.column(0).to_pylist(), lengths.tolist(), before_lengths.tolist(), strict=True):
                 own = np.empty(m + n + 1, "<u4")

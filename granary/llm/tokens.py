@@ -5,23 +5,35 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from granary.llm.common import WordCache
 
+#: Words that a worker keeps.
+WORDS = 900_000
 _HELD: dict[tuple, CachedTokenizer] = {}
 
 
+#: Characters that may part new words in one call, as far as the vocabulary has an id of its own for one.
+MARKERS = "\u2603\u2665\u266b\u2728\u2764"
+JOINED = 1 << 17
+#: Before a line's first word, and before a text's.
+MARKS = ("\n", "\r")
+
+
 class CachedTokenizer:
     """The ids that the tokenizer gives a whole text, computed word by word.
 
     A text whose white space is single spaces and line ends can be cut before
     each of them without changing its ids: neither kind of vocabulary joins
     across one. ``spaced`` vocabularies (byte-level) give a word's leading space
-    to the word; others drop white space. Texts with any other white space are
-    encoded whole.
+    to the word, and their texts with any other white space are encoded whole;
+    others drop white space. Arrow cuts the texts and finds the distinct words,
+    so Python looks at each once; new words are encoded many to a call.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 400_000):
+    def __init__(self, path: str, spaced: bool, limit: int = WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -29,51 +41,129 @@ class CachedTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
         self.cache = WordCache(self._compute, np.uint32, limit)
+        self.odd: set[str] = set()
+        if spaced:
+            vocabulary = self.tokenizer.get_vocab()
+            self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            for word, i in vocabulary.items():
+                self.n_bytes[i] = len(word)  # one symbol a byte
+        else:
+            alone = {c: self._ids([c])[0] for c in MARKERS}
+            self.marker, self.marker_id = next(((c, int(i[0])) for c, i in alone.items() if len(i) == 1), ("", -1))
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = list(map(len, ids))
         return np.fromiter((i for x in ids for i in x), np.uint32, sum(lengths)), lengths
 
-    def _compute(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
-        if self.spaced:  # "\n" is part of the text, "\r" marks the first word of one
-            words = [w if w[0] == "\n" else w[1:] if w[0] == "\r" else " " + w for w in words]
-        return self._ids(words)
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, one text after another, and the number of ids of each; None counts as empty."""
-        words: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        odd: list[int] = []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            plain = text.split()
-            if " ".join(plain) != text.replace("\n", " "):
-                odd.append(i)
-                continue
-            if self.spaced:
-                plain = text.replace("\n", " \n").split(" ")
-                plain[0] = "\r" + plain[0]
-            counts[i] = len(plain)
-            words += plain
-        numbers = self.cache.lookup(words)
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words that follow each other in one text; None if they can't be told apart again."""
+        if self.spaced:
+            ids, _ = self._ids(["".join(words)])
+            ends = np.cumsum(np.array([len(w.encode()) for w in words], np.int64))
+            at = np.cumsum(self.n_bytes[ids])
+            cut = np.searchsorted(at, ends)
+            if len(ids) and (cut[-1] >= len(at) or (at[cut] != ends).any()):
+                return None
+            return ids, np.diff(np.concatenate([[0], cut + 1]))
+        text = f" {self.marker} ".join(words)
+        if not self.marker or text.count(self.marker) != len(words) - 1:
+            return None
+        ids, _ = self._ids([text])
+        marks = np.flatnonzero(ids == self.marker_id)
+        if len(marks) != len(words) - 1:
+            return None
+        lengths = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+        return np.delete(ids, marks), lengths
+
+    def _compute(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids by word; in ``spaced`` mode a word whose inner white space forbids cutting gets no ids and is noted."""
+        flat, lengths = [], []
+        i = 0
+        while i < len(words):
+            j, size = i, 0
+            while j < len(words) and size < JOINED:
+                size += len(words[j]) + 1
+                j += 1
+            some = words[i:j]
+            if self.spaced:  # "\n" is part of the text, "\r" marks the first word of one
+                plain = [w[1:] if w[:1] in MARKS else w for w in some]
+                odd = [not w or len(w.split()) != 1 or w != w.strip() for w in plain]
+                self.odd.update(w for w, o in zip(some, odd, strict=True) if o)
+                own = [(k, "" if odd[k] else w[1:]) for k, w in enumerate(some) if odd[k] or w[0] == "\r"]
+                texts = [w if w[0] == "\n" else " " + w for w, o in zip(some, odd, strict=True) if not o and w[0] != "\r"]
+                ids, sizes = self._each(texts)
+                first_ids, first_sizes = self._ids([w for _, w in own])
+                ids, sizes = _interleave(ids, sizes, first_ids, np.array(first_sizes, np.int64), np.array([k for k, _ in own], np.int64))
+            else:
+                ids, sizes = self._each(some)
+            flat.append(ids)
+            lengths.append(sizes)
+            i = j
+        return np.concatenate([np.zeros(0, np.uint32), *flat]), np.concatenate([np.zeros(0, np.int64), *lengths])
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if texts and (got := self._joined(texts)) is not None:
+            return got
+        ids, sizes = self._ids(texts)
+        return ids, np.array(sizes, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, one text after another, and the number of ids of each; null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        some = np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        per_text = np.zeros(len(texts), np.int64)
+        if not len(some):
+            return np.zeros(0, np.uint32), per_text
+        texts = texts.take(pa.array(some))
+        cut = pc.binary_join_element_wise(pa.scalar("\r", pa.large_string()), texts, pa.scalar("", pa.large_string())) if self.spaced else texts
+        lists = pc.split_pattern(pc.replace_substring(cut, "\n", " \n" if self.spaced else " "), " ")
+        encoded = lists.flatten().dictionary_encode()
+        distinct, index = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
+        if len(self.cache.number) > self.cache.limit:
+            self.odd.clear()
+        numbers = self.cache.lookup(distinct)[index]
         flat, lengths = self.cache.gather(numbers)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        upto = np.cumsum(counts)
-        per_text = ends[upto] - ends[upto - counts]
-        if not odd:
-            return flat, per_text
-        whole, sizes = self._ids([texts[i] for i in odd])
-        pieces, at, done, out_lengths = [], 0, 0, per_text.copy()
-        for i, n in zip(odd, sizes, strict=True):
-            here = int(per_text[:i].sum())
-            pieces += [flat[done:here], whole[at : at + n]]
-            at, done, out_lengths[i] = at + n, here, n
-        return np.concatenate([*pieces, flat[done:]]), out_lengths
-
-
-def tokenizer(path: str, spaced: bool, limit: int = 400_000) -> CachedTokenizer:
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets = offsets - offsets[0]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
+        sizes = np.diff(ends)
+        strange = [i for i, w in enumerate(distinct) if w in self.odd] if self.odd else []
+        marked = np.flatnonzero(pc.match_substring(texts, "\r").to_numpy(zero_copy_only=False)) if self.spaced else ()
+        if strange or len(marked):
+            flagged = np.zeros(len(distinct), bool)
+            flagged[strange] = True
+            whole = np.union1d(np.searchsorted(offsets, np.flatnonzero(flagged[index]), side="right") - 1, marked).astype(np.int64)
+            keep = np.ones(len(sizes), bool)
+            keep[whole] = False
+            flat, sizes = flat[np.repeat(keep, sizes)], np.where(keep, sizes, 0)
+            more, more_sizes = self._ids(texts.take(pa.array(whole)).to_pylist())
+            flat, sizes = _interleave_at(flat, sizes, more, np.array(more_sizes, np.int64), whole)
+        per_text[some] = sizes
+        return flat, per_text
+
+
+def _interleave(ids: np.ndarray, sizes: np.ndarray, more: np.ndarray, more_sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two flat stores as one, where the second's entries get the stated places among all."""
+    n = len(sizes) + len(more_sizes)
+    lengths = np.zeros(n, np.int64)
+    other = np.ones(n, bool)
+    other[places] = False
+    lengths[other] = sizes
+    return _interleave_at(ids, lengths, more, more_sizes, places)
+
+
+def _interleave_at(ids: np.ndarray, lengths: np.ndarray, more: np.ndarray, more_sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Put the entries of ``more`` at places whose length in ``lengths`` is 0."""
+    if not len(places):
+        return ids, lengths
+    at = (np.cumsum(lengths) - lengths)[places]
+    out = lengths.copy()
+    out[places] = more_sizes
+    return np.insert(ids, np.repeat(at, more_sizes), more), out
+
+
+def tokenizer(path: str, spaced: bool, limit: int = WORDS) -> CachedTokenizer:
     """One per Python worker; its cache serves all tasks of the worker."""
     key = (path, spaced, limit)
     if key not in _HELD:
