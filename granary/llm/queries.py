@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, pack, quality, simhash, token_count
+from granary.llm import decontaminate, langid, pack, quality, simhash, token_count, tokenfile
 from granary.llm.tokens import public_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_language(spark, sf_dir):
     return langid.identify(docs, langid.train(docs))
 
 
+@query
+def op7_token_files(spark, sf_dir):
+    return tokenfile.roundtrip(_read(spark, sf_dir, "documents"), public_vocabulary("word_bpe_49k.json"), end_id=1, alphabet=49_408)
+
+
 @query
 def op8_packing(spark, sf_dir):
     pieces = pack.pack(_read(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"), end_id=0, max_tokens=1024)

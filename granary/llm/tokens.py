@@ -48,6 +48,9 @@ class CachedTokenizer:
             for word, i in vocabulary.items():
                 self.n_bytes[i] = len(word)  # one symbol a byte
         else:
+            letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+            upper, lower = f"{letters} {' '.join(letters)}", f"{letters} {' '.join(letters)}".lower()
+            self.folds = self._ids([upper])[0].tolist() == self._ids([lower])[0].tolist()  # A-Z count as a-z
             alone = {c: self._ids([c])[0] for c in MARKERS}
             self.marker, self.marker_id = next(((c, int(i[0])) for c, i in alone.items() if len(i) == 1), ("", -1))
 
@@ -117,6 +120,8 @@ class CachedTokenizer:
             return np.zeros(0, np.uint32), per_text
         texts = texts.take(pa.array(some))
         cut = pc.binary_join_element_wise(pa.scalar("\r", pa.large_string()), texts, pa.scalar("", pa.large_string())) if self.spaced else texts
+        if not self.spaced and self.folds:
+            cut = pc.ascii_lower(cut)
         lists = pc.split_pattern(pc.replace_substring(cut, "\n", " \n" if self.spaced else " "), " ")
         encoded = lists.flatten().dictionary_encode()
         distinct, index = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
