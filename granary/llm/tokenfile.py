@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import steps
 from granary.llm.tokens import tokenizer
-from granary.session import scratch_path
+from granary.session import materialize, scratch_path
 
 MAGIC = b"GTB1"
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, alphabet, checksum of the payload, checksum of the ids
@@ -57,10 +57,10 @@ def lanes_of(n: int) -> tuple[int, int]:
 class _Model:
     """Predictions and weights of one block; coder and decoder run it alike."""
 
-    def __init__(self, alphabet: int, lanes: int):
+    def __init__(self, alphabet: int, lanes: int, inverse: bool = False):
         if alphabet > 1 << (ORDER0_BITS - 1):
             raise ValueError(f"ids must be below {1 << (ORDER0_BITS - 1)}")
-        self.alphabet = alphabet
+        self.alphabet, self.inverse, self.coded = alphabet, inverse, 0
         self.order1 = np.zeros(alphabet + 1, np.int32)  # id << 3 | how sure
         self.order2 = np.zeros(1 << HASH_BITS, np.int32)
         self.last = np.full(lanes, alphabet, np.int32)
@@ -85,8 +85,10 @@ class _Model:
             self.counts += 24 * np.bincount(np.concatenate(self.recent), minlength=self.alphabet)
             self.recent.clear()
         sums = np.concatenate([[0], np.cumsum(self.counts)])
-        self.cumulative = sums * ((1 << ORDER0_BITS) - self.alphabet) // sums[-1] + np.arange(self.alphabet + 1)
-        self.pending = 0
+        self.cumulative = (sums * ((1 << ORDER0_BITS) - self.alphabet) // sums[-1] + np.arange(self.alphabet + 1)).astype(np.int32)
+        if self.inverse:
+            self.owner = np.repeat(np.arange(self.alphabet, dtype=np.int32), np.diff(self.cumulative))
+        self.due, self.pending = max(REFRESH, self.coded >> 2), 0
 
     def predict(self, n: int) -> None:
         """For the first n lanes: predicted ids, their weights, and the contexts."""
@@ -109,8 +111,8 @@ class _Model:
         self.hash2[:n] = (self.last[:n] * np.int32(40503) + ids * np.int32(30011)) & np.int32((1 << HASH_BITS) - 1)
         self.last[:n] = ids
         self.recent.append(ids)
-        self.pending += n
-        if self.pending >= REFRESH:
+        self.pending, self.coded = self.pending + n, self.coded + n
+        if self.pending >= self.due:
             self._frequencies()
 
 
@@ -196,7 +198,7 @@ def decode_block(block: bytes) -> np.ndarray:
     for _ in range(4):
         code = code << _16 | np.where(at < ends, words[at], U(0))
         at = at + 1
-    model = _Model(alphabet, lanes)
+    model = _Model(alphabet, lanes, inverse=True)
     low, size = np.zeros(lanes, U), np.full(lanes, U((1 << 64) - 1))
     by_step = np.zeros((length, lanes), np.int32)
     with np.errstate(over="ignore"):
@@ -217,7 +219,7 @@ def decode_block(block: bytes) -> np.ndarray:
                 base = both[other].astype(np.int64)
                 rest = TOTAL - base
                 q = ((value[other] - base + 1 << ORDER0_BITS) - 1) // rest
-                found = np.searchsorted(model.cumulative, q, side="right") - 1
+                found = model.owner[q]
                 begin = rest * model.cumulative[found] >> ORDER0_BITS
                 x[other] = found
                 start[other] = base + begin
@@ -367,7 +369,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["file", "ordinal", "doc_id", "begin", "place", "here", "whole", "crc"],
                 )
 
-    found = blocks.mapInArrow(run, "file int, ordinal long, doc_id long, begin long, place long, here long, whole long, crc long")
+    found = materialize(blocks.mapInArrow(run, "file int, ordinal long, doc_id long, begin long, place long, here long, whole long, crc long"), "token-pieces")  # read more than once, decoded once
     join = F.udf(lambda parts: _join(parts), "long")
     whole = found.where("here = whole").select("file", "doc_id", "begin", F.col("whole").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     # Only documents longer than a block have parts, so few rows are grouped.

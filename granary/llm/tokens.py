@@ -18,8 +18,11 @@ _HELD: dict[tuple, CachedTokenizer] = {}
 #: Characters that may part new words in one call, as far as the vocabulary has an id of its own for one.
 MARKERS = "\u2603\u2665\u266b\u2728\u2764"
 JOINED = 1 << 17
-#: Before a line's first word, and before a text's.
-MARKS = ("\n", "\r")
+#: Before a line's first word, a text's, and a mark that was cut off the word before it.
+MARKS = ("\n", "\r", "\0")
+TAILS = ",."
+#: Letters and digits that stay one such character when a vocabulary normalises and lower-cases them; a part of all is enough.
+LETTER_END = r"[a-zA-Z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{391}-\x{3A1}\x{3A3}-\x{3C9}\x{410}-\x{44F}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FA5}\x{AC00}-\x{D7A3}]$"
 
 
 class CachedTokenizer:
@@ -42,12 +45,11 @@ class CachedTokenizer:
         self.spaced = spaced
         self.cache = WordCache(self._compute, np.uint32, limit)
         self.odd: set[str] = set()
-        if spaced:
-            vocabulary = self.tokenizer.get_vocab()
-            self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-            for word, i in vocabulary.items():
-                self.n_bytes[i] = len(word)  # one symbol a byte
-        else:
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for word, i in vocabulary.items():
+            self.n_bytes[i] = len(word.removesuffix("</w>") if not spaced else word)  # one symbol a byte
+        if not spaced:
             letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
             upper, lower = f"{letters} {' '.join(letters)}", f"{letters} {' '.join(letters)}".lower()
             self.folds = self._ids([upper])[0].tolist() == self._ids([lower])[0].tolist()  # A-Z count as a-z
@@ -61,9 +63,10 @@ class CachedTokenizer:
 
     def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of words that follow each other in one text; None if they can't be told apart again."""
-        if self.spaced:
-            ids, _ = self._ids(["".join(words)])
-            ends = np.cumsum(np.array([len(w.encode()) for w in words], np.int64))
+        plain = not self.spaced and all(map(str.isascii, words))
+        if self.spaced or plain:
+            ids, _ = self._ids([(" " if plain else "").join(words)])
+            ends = np.cumsum(np.fromiter(map(len, words if plain else map(str.encode, words)), np.int64, len(words)))
             at = np.cumsum(self.n_bytes[ids])
             cut = np.searchsorted(at, ends)
             if len(ids) and (cut[-1] >= len(at) or (at[cut] != ends).any()):
@@ -93,13 +96,16 @@ class CachedTokenizer:
                 plain = [w[1:] if w[:1] in MARKS else w for w in some]
                 odd = [not w or len(w.split()) != 1 or w != w.strip() for w in plain]
                 self.odd.update(w for w, o in zip(some, odd, strict=True) if o)
-                own = [(k, "" if odd[k] else w[1:]) for k, w in enumerate(some) if odd[k] or w[0] == "\r"]
-                texts = [w if w[0] == "\n" else " " + w for w, o in zip(some, odd, strict=True) if not o and w[0] != "\r"]
+                own = [(k, "" if odd[k] else w[1:]) for k, w in enumerate(some) if odd[k] or w[0] in MARKS[1:]]
+                texts = [w if w[0] == "\n" else " " + w for w, o in zip(some, odd, strict=True) if not o and w[0] not in MARKS[1:]]
                 ids, sizes = self._each(texts)
                 first_ids, first_sizes = self._ids([w for _, w in own])
                 ids, sizes = _interleave(ids, sizes, first_ids, np.array(first_sizes, np.int64), np.array([k for k, _ in own], np.int64))
             else:
-                ids, sizes = self._each(some)
+                own = [(k, w) for k, w in enumerate(some) if not w.isascii()]
+                ids, sizes = self._each([w for w in some if w.isascii()])
+                more, more_sizes = self._each([w for _, w in own])
+                ids, sizes = _interleave(ids, sizes, more, more_sizes, np.array([k for k, _ in own], np.int64))
             flat.append(ids)
             lengths.append(sizes)
             i = j
@@ -122,7 +128,10 @@ class CachedTokenizer:
         cut = pc.binary_join_element_wise(pa.scalar("\r", pa.large_string()), texts, pa.scalar("", pa.large_string())) if self.spaced else texts
         if not self.spaced and self.folds:
             cut = pc.ascii_lower(cut)
-        lists = pc.split_pattern(pc.replace_substring(cut, "\n", " \n" if self.spaced else " "), " ")
+        cut = pc.replace_substring(cut, "\n", " \n" if self.spaced else " ")
+        for c in TAILS:
+            cut = pc.replace_substring(cut, c + " ", f" \0{c} " if self.spaced else f" {c} ")
+        lists = pc.split_pattern(cut, " ")
         encoded = lists.flatten().dictionary_encode()
         distinct, index = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
         if len(self.cache.number) > self.cache.limit:
@@ -134,11 +143,21 @@ class CachedTokenizer:
         ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         sizes = np.diff(ends)
         strange = [i for i, w in enumerate(distinct) if w in self.odd] if self.odd else []
-        marked = np.flatnonzero(pc.match_substring(texts, "\r").to_numpy(zero_copy_only=False)) if self.spaced else ()
-        if strange or len(marked):
+        marked = np.zeros(len(texts), bool)
+        for c in "\r\0" if self.spaced else "":
+            marked |= pc.match_substring(texts, c).to_numpy(zero_copy_only=False)
+        # A mark may be cut off only behind a letter or digit; elsewhere it belongs to a run of marks.
+        tails = np.zeros(len(distinct), bool)
+        for c in TAILS:
+            tails |= pc.equal(encoded.dictionary, ("\0" if self.spaced else "") + c).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(tails[index])
+        behind = pc.match_substring_regex(encoded.dictionary, LETTER_END).to_numpy(zero_copy_only=False)
+        at = at[~behind[index[at - 1]] | (at == 0)]
+        if strange or len(at) or marked.any():
             flagged = np.zeros(len(distinct), bool)
             flagged[strange] = True
-            whole = np.union1d(np.searchsorted(offsets, np.flatnonzero(flagged[index]), side="right") - 1, marked).astype(np.int64)
+            at = np.union1d(np.flatnonzero(flagged[index]), at)
+            whole = np.union1d(np.searchsorted(offsets, at, side="right") - 1, np.flatnonzero(marked)).astype(np.int64)
             keep = np.ones(len(sizes), bool)
             keep[whole] = False
             flat, sizes = flat[np.repeat(keep, sizes)], np.where(keep, sizes, 0)
