@@ -48,8 +48,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     if not total:
         return np.zeros(0, np.int64)
-    begin = np.cumsum(lengths) - lengths
-    return np.repeat(starts - begin, lengths) + np.arange(total)
+    shift = starts - (np.cumsum(lengths) - lengths)
+    kind = np.int32 if total < 1 << 30 and int(starts.max()) < 1 << 30 else np.int64  # half the memory where it holds
+    out = np.repeat(shift.astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class WordCache:

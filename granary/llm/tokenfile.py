@@ -32,6 +32,8 @@ from granary.session import materialize, scratch_path
 MAGIC = b"GTB1"
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, alphabet, checksum of the payload, checksum of the ids
 BLOCK_IDS = 1 << 20
+#: Bytes of text tokenized at a time.
+TEXT_STEP = 18 << 20
 MAX_LANES = 8192
 LANE_IDS = 64
 TOTAL_BITS, ORDER0_BITS = 26, 20
@@ -318,7 +320,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col
             held.clear()
             return out
 
-        for step in steps(batches, "text", 8 << 20):
+        for step in steps(batches, "text", TEXT_STEP):
             ids, lengths = coder.encode(step.column(1))
             at = 0
             for doc, n in zip(step.column(0).to_pylist(), lengths.tolist(), strict=True):
