@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, pack, quality, simhash, token_count, tokenfile
+from granary.llm import decontaminate, embed, langid, pack, quality, simhash, token_count, tokenfile
 from granary.llm.tokens import public_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_language(spark, sf_dir):
     return langid.identify(docs, langid.train(docs))
 
 
+@query
+def op6_embeddings(spark, sf_dir):
+    return embed.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_token_files(spark, sf_dir):
     return tokenfile.roundtrip(_read(spark, sf_dir, "documents"), public_vocabulary("word_bpe_49k.json"), end_id=1, alphabet=49_408)
@@ -74,3 +79,12 @@ c AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(generate_serie
 t AS (SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM h GROUP BY k)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (k) LEFT JOIN t USING (k)"""
+
+ORACLES["op6_embeddings"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM v LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
