@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, embed, langid, pack, quality, simhash, token_count, tokenfile
+from granary.llm import decontaminate, embed, langid, pack, quality, simhash, suffix, token_count, tokenfile
 from granary.llm.tokens import public_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,11 @@ def op9_decontamination(spark, sf_dir):
     return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), names.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op10_suffix_array(spark, sf_dir):
+    return suffix.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 ORACLES["op9_decontamination"] = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents),
 b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
