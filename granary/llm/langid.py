@@ -261,3 +261,19 @@ def identify(docs: DataFrame, field: ChainField, *, id_col: str = "doc_id", text
 
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
     return found.select("doc_id", fold_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def keep_known(docs: DataFrame, field: ChainField, *, certain: float, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a language with a mean posterior of ``certain`` or more, judged in one pass without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for step in steps(batches, text_col, 2 << 20):
+            if not model.languages:
+                continue
+            names, scores = model.predict(step.column(place).to_pylist())
+            yield step.filter(pa.array([n != UNKNOWN and s >= certain for n, s in zip(names, scores.tolist(), strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, embed, langid, pack, quality, simhash, suffix, token_count, tokenfile
+from granary.llm import decontaminate, embed, langid, pack, quality, simhash, substring, suffix, token_count, tokenfile
 from granary.llm.tokens import public_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op2_quality(spark, sf_dir):
     return quality.score_quality(docs, quality.train(docs, _read(spark, sf_dir, "labels")))
 
 
+@query
+def op3_paragraphs(spark, sf_dir):
+    return substring.remove_paragraphs(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
@@ -73,6 +78,13 @@ def op10_suffix_array(spark, sf_dir):
     return suffix.remove_repeats(_read(spark, sf_dir, "documents"))
 
 
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 ORACLES["op9_decontamination"] = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents),
 b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM benchmark),

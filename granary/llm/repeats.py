@@ -29,7 +29,8 @@ NO_ID = -(1 << 63)
 #: A key counts as hot from this number of places on, or from the share that leaves at most MAX_HOT of them.
 HOT_PLACES = 512
 MAX_HOT = 1 << 18
-FLAGGED = "doc long, tie int, places binary, hot_key long, hot_count long"
+FLAGGED = "part int, entries binary, hot_key long, hot_count long"
+DEALT = "part int, entries binary"
 
 #: (texts) -> (number of the text, place, key) of all entries
 Find = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -105,7 +106,7 @@ def _send(find: Find, n_parts: int, step_bytes: int):
     return run
 
 
-def _decide(hot_places: int):
+def _decide(hot_places: int, n_parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, known = [], []
         for batch in batches:
@@ -130,23 +131,58 @@ def _decide(hot_places: int):
         found += [(k[0][k[2]], k[1][k[2]], k[3]) for k in known]
         if found:
             docs, ties, places = (np.concatenate([f[i] for f in found]) for i in range(3))
-            order = np.lexsort((places, ties, docs))
-            docs, ties, places = docs[order], ties[order], places[order].astype("<u4")
-            new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (ties[1:] != ties[:-1])]) if len(docs) else np.zeros(0, bool)
-            begin = np.flatnonzero(new)
-            ends = np.append(begin[1:], len(docs))
-            blobs = [places[a:b].tobytes() for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
-            n = len(begin)
-            yield _flag_batch(docs[begin], ties[begin], blobs, [None] * n, [None] * n)
+            table = pa.table({"doc": docs.astype(np.int64), "tie": ties.astype(np.int32), "place": places.astype(np.uint32)})
+            for part, blob in deal(table, target_of(docs, ties, n_parts), n_parts):
+                yield _flag_batch([part], [blob], [None], [None])
         if len(hot_keys):
             n = len(hot_keys)
-            yield _flag_batch([None] * n, [None] * n, [None] * n, hot_keys.view(np.int64), hot_counts)
+            yield _flag_batch([None] * n, [None] * n, hot_keys.view(np.int64), hot_counts)
 
     return run
 
 
-def _flag_batch(docs, ties, blobs, keys, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ties, pa.int32()), pa.array(blobs, pa.binary()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["doc", "tie", "places", "hot_key", "hot_count"])
+def _flag_batch(parts, blobs, keys, counts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["part", "entries", "hot_key", "hot_count"])
+
+
+def target_of(docs: np.ndarray, ties: np.ndarray, n_parts: int) -> np.ndarray:
+    return ((docs.astype(np.int64) * 31 + ties) % n_parts).astype(np.int64)
+
+
+def deal(table: pa.Table, part: np.ndarray, n_parts: int) -> Iterator[tuple[int, bytes]]:
+    """The rows of each target partition as one compressed Arrow stream."""
+    by = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[by], np.arange(n_parts + 1))
+    dealt = table.take(pa.array(by))
+    for p in np.flatnonzero(np.diff(cuts)).tolist():
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(dealt.slice(cuts[p], cuts[p + 1] - cuts[p]).combine_chunks())
+        yield p, sink.getvalue().to_pybytes()
+
+
+def undeal(batches: Iterable[pa.RecordBatch]) -> pa.Table | None:
+    """All rows that were dealt to this partition."""
+    tables = [pa.ipc.open_stream(x).read_all() for batch in batches for x in batch.column("entries").to_pylist()]
+    return pa.concat_tables(tables).combine_chunks() if tables else None
+
+
+def by_document(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """The rows sorted by document, and where each document's begin and end."""
+    table = table.take(pa.array(np.lexsort((table["tie"].to_numpy(), table["doc"].to_numpy()))))
+    doc, tie = table["doc"].to_numpy(), table["tie"].to_numpy()
+    begin = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])]))
+    return table, begin, np.append(begin[1:], len(doc))
+
+
+def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = undeal(batches)
+    if table is None:
+        return
+    table, begin, end = by_document(table)
+    place = table["place"].to_numpy()
+    blobs = [np.unique(place[a:b]).astype("<u4").tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+    yield pa.RecordBatch.from_arrays([table["doc"].combine_chunks().take(pa.array(begin)), table["tie"].combine_chunks().take(pa.array(begin)), pa.array(blobs, pa.binary())], names=["doc", "tie", "places"])
 
 
 def find_repeats(texts: DataFrame, find: Find, label: str, *, hot_places: int = HOT_PLACES, step_bytes: int = STEP) -> tuple[DataFrame, np.ndarray]:
@@ -158,12 +194,12 @@ def find_repeats(texts: DataFrame, find: Find, label: str, *, hot_places: int =
     spark = texts.sparkSession
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sent = texts.mapInArrow(_send(find, n_parts, step_bytes), "part int, entries binary, known binary")
-    found = materialize(sent.repartitionById(n_parts, F.col("part")).mapInArrow(_decide(hot_places), FLAGGED), f"{label}-flagged")
+    found = materialize(sent.repartitionById(n_parts, F.col("part")).mapInArrow(_decide(hot_places, n_parts), FLAGGED), f"{label}-flagged")
     release(found)
     hot = found.where("hot_key IS NOT NULL").groupBy("hot_key").agg(F.sum("hot_count").alias("n"))
     total = hot.agg(F.sum("n")).first()[0] or 0
     keys = [r.hot_key for r in hot.where(F.col("n") >= max(hot_places, total // MAX_HOT)).collect()]
-    merged = found.where("doc IS NOT NULL").groupBy("doc", "tie").agg(F.collect_list("places").alias("places"))
+    merged = found.where("part IS NOT NULL").select("part", "entries").repartitionById(n_parts, F.col("part")).mapInArrow(_places, "doc long, tie int, places binary")
     return merged, np.sort(np.array(keys, np.int64).view(np.uint64))
 
 
@@ -178,18 +214,27 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts[begin], ends[np.append(begin[1:], len(starts)) - 1]
 
 
-def spans_by_document(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc, tie, spans): merged ranges of each document, packed as pairs of u4."""
-    if not len(doc):
+def deal_spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray, n_parts: int) -> Iterator[pa.RecordBatch]:
+    """Ranges on their way to the partition of their document (DEALT)."""
+    table = pa.table({"doc": doc.astype(np.int64), "tie": tie.astype(np.int32), "start": start.astype(np.uint32), "end": end.astype(np.uint32)})
+    rows = list(deal(table, target_of(table["doc"].to_numpy(), table["tie"].to_numpy(), n_parts), n_parts))
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "entries"])
+
+
+def _merge_documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = undeal(batches)
+    if table is None:
         return
-    order = np.lexsort((tie, doc))
-    doc, tie, start, end = doc[order], tie[order], start[order], end[order]
-    begin = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])]))
-    blobs = [np.stack(merge_spans(start[a:b], end[a:b]), axis=1).astype("<u4").tobytes() for a, b in zip(begin.tolist(), np.append(begin[1:], len(doc)).tolist(), strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(doc[begin], pa.int64()), pa.array(tie[begin], pa.int32()), pa.array(blobs, pa.binary())], names=["doc", "tie", "spans"])
+    table, begin, stop = by_document(table)
+    start, end = table["start"].to_numpy().astype(np.int64), table["end"].to_numpy().astype(np.int64)
+    blobs = [np.stack(merge_spans(start[a:b], end[a:b]), axis=1).astype("<u4").tobytes() for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
+    yield pa.RecordBatch.from_arrays([table["doc"].combine_chunks().take(pa.array(begin)), table["tie"].combine_chunks().take(pa.array(begin)), pa.array(blobs, pa.binary())], names=["doc", "tie", "spans"])
+
+
+def spans_by_document(dealt: DataFrame, n_parts: int) -> DataFrame:
+    """(doc, tie, spans): merged ranges of each document, packed as pairs of u4, from dealt ranges."""
+    return dealt.repartitionById(n_parts, F.col("part")).mapInArrow(_merge_documents, "doc long, tie int, spans binary")
 
 
-def unite(blobs: list[bytes] | None) -> np.ndarray:
-    """All ranges of a document, merged, as an (n, 2) array."""
-    pairs = np.frombuffer(b"".join(blobs or []), "<u4").astype(np.int64).reshape(-1, 2)
-    return np.stack(merge_spans(pairs[:, 0], pairs[:, 1]), axis=1)
+def unpack_spans(blob: bytes | None) -> list[list[int]]:
+    return np.frombuffer(blob or b"", "<u4").reshape(-1, 2).tolist()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import steps
-from granary.llm.repeats import NO_ID, find_repeats, keyed, release, spans_by_document, unite
+from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, release, spans_by_document, undeal, unpack_spans
 from granary.session import materialize
 
 LENGTH = 100
@@ -224,7 +224,7 @@ def _shared(group: np.ndarray) -> np.ndarray:
     return np.concatenate([same, [False]]) | np.concatenate([[False], same])
 
 
-ROWS = "part int, key long, more long, context binary, left int, doc long, tie int, place long, stop long"
+ROWS = [("key", pa.uint64()), ("more", pa.uint64()), ("context", pa.binary()), ("left", pa.int16()), ("doc", pa.int64()), ("tie", pa.int32()), ("place", pa.uint32()), ("stop", pa.uint32())]
 #: What ``left`` says of rows that are no context: one string by its hash, and a range that goes.
 STRING, GONE = -1, -2
 
@@ -239,7 +239,7 @@ def _contexts(length: int, hot, n_parts: int):
             texts = [texts[i] for i in by]
             docs, ties = docs[by], ties[by]
             blobs = step.column(3).to_pylist()
-            places = [np.unique(np.frombuffer(b"".join(blobs[i]), "<u4")).astype(np.int64) for i in by]
+            places = [np.frombuffer(blobs[i], "<u4").astype(np.int64) for i in by]
             text, place, h, first, last = anchors(texts, length)
             wanted = np.concatenate([np.zeros(0, np.int64), *[p + (k << 33) for k, p in enumerate(places)]])
             keep = np.flatnonzero(np.isin(place + (text << 33), wanted))
@@ -270,13 +270,12 @@ def _contexts(length: int, hot, n_parts: int):
                     elif before != (*own, s):
                         gone.append((*own, s, s + length))
             for g in _merged(gone):
-                rows.append((hash(g[:2]) % n_parts, 0, 0, None, GONE, *g))
+                rows.append(((g[0] * 31 + g[1]) % n_parts, 0, 0, None, GONE, *g))
             if rows:
-                columns = list(zip(*rows, strict=True))
-                kinds = [pa.int32(), pa.uint64(), pa.uint64(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                arrays[1], arrays[2] = arrays[1].view(pa.int64()), arrays[2].view(pa.int64())
-                yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in ROWS.split(", ")])
+                part, *columns = zip(*rows, strict=True)
+                table = pa.table([pa.array(c, t) for c, (_, t) in zip(columns, ROWS, strict=True)], names=[n for n, _ in ROWS])
+                for p, blob in deal(table, np.array(part, np.int64), n_parts):
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "entries"])
 
     return run
 
@@ -328,14 +327,13 @@ def _best(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return out
 
 
-def _judge(length: int):
+def _judge(length: int, n_parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        table = undeal(batches)
+        if table is None:
             return
-        table = pa.Table.from_batches(held)
-        key, more, left, doc, tie, place, stop = (table.column(i).to_numpy() for i in (1, 2, 4, 5, 6, 7, 8))
-        contexts = table.column(3).to_pylist()
+        key, more, left, doc, tie, place, stop = (table[n].to_numpy().astype(np.uint64 if n in ("key", "more") else np.int64) for n in ("key", "more", "left", "doc", "tie", "place", "stop"))
+        contexts = table["context"].to_pylist()
         spans = [(doc[left == GONE], tie[left == GONE], place[left == GONE], stop[left == GONE])]
         at = np.flatnonzero(left == STRING)
         at = at[np.lexsort((place[at], tie[at], doc[at], more[at], key[at]))]
@@ -368,7 +366,7 @@ def _judge(length: int):
                 gone.append((doc[k], tie[k], place[k] - greatest, place[k] - least + length))
         if gone:
             spans.append(tuple(np.array(c, np.int64) for c in zip(*gone, strict=True)))
-        yield from spans_by_document(*(np.concatenate([np.asarray(s[k], np.int64) for s in spans]) for k in range(4)))
+        yield from deal_spans(*(np.concatenate([np.asarray(s[k], np.int64) for s in spans]) for k in range(4)), n_parts)
 
     return run
 
@@ -387,11 +385,11 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     texts = keyed(docs, id_col, text_col)
     flagged, keys = find_repeats(texts, _find(length), "suffix", **limits)
     hot = spark.sparkContext.broadcast(keys)
-    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_contexts(length, hot, n_parts), ROWS)
-    spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(length), "doc long, tie int, spans binary")
+    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_contexts(length, hot, n_parts), DEALT)
+    spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(length, n_parts), DEALT)
     spans = materialize(spans, "suffix-spans")
     release(spans)
-    return spans
+    return spans_by_document(spans, n_parts)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False, **limits) -> DataFrame:
@@ -405,16 +403,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Empty tables give no rows; other columns are ignored.
     """
     spans = repeated_spans(docs, id_col=id_col, text_col=text_col, length=length, **limits)
-    grouped = spans.groupBy("doc", "tie").agg(F.collect_list("spans").alias("spans"))
     texts = keyed(docs, id_col, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
             rows = []
             for doc, text, blobs in zip(step.column(0).to_pylist(), step.column(1).to_pylist(), step.column(2).to_pylist(), strict=True):
-                ranges = unite(blobs)
+                ranges = unpack_spans(blobs)
                 kept, at = [], 0
-                for a, b in ranges.tolist():
+                for a, b in ranges:
                     kept.append(text[at:a])
                     at = b
                 kept = b"".join([*kept, text[at:]])
@@ -425,4 +422,4 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays(arrays[: 6 if with_text else 5], names=names[: 6 if with_text else 5])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
-    return texts.join(grouped.hint("shuffle_merge"), ["doc", "tie"], "left").select("doc", "text", "spans").mapInArrow(run, schema)
+    return texts.join(spans.hint("shuffle_merge"), ["doc", "tie"], "left").select("doc", "text", "spans").mapInArrow(run, schema)
