@@ -7,7 +7,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.session import materialize
@@ -16,6 +16,13 @@ from granary.session import materialize
 STEP_BYTES = 4 << 20
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows to an Arrow batch where the session has Spark's default: batches of whole texts are held off-heap more than once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def fold_held_out(id_col: str) -> Column:
     """True for rows of the held-out fold; a null id belongs to none."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

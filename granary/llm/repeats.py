@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import steps
+from granary.llm.common import bounded_batches, steps
 from granary.session import materialize
 
 #: Bytes of text whose keys are gathered before they are sent on.
-STEP = 12 << 20
+STEP = 6 << 20
 #: Stands for a null id, before all others.
 NO_ID = -(1 << 63)
 #: A key counts as hot from this number of places on, or from the share that leaves at most MAX_HOT of them.
@@ -38,6 +38,7 @@ Find = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, tie, text): rows that share id and text are one document; those that share only the id are ordered by ``tie``."""
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("tie"), text.alias("text"))
 
