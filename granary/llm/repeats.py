@@ -1,11 +1,14 @@
 """Places of texts whose key occurs more than once in a corpus, found without gathering a key's occurrences.
 
-A step of a task (some MB of texts) puts each of its keys in one of two ways:
-a key with one place in the step as that place, a key with more as a marker
-with their number, while those places go on straight away, being known to
-repeat. So the task that decides on a key gets at most one entry per step, not
-one per place, however many places a key has. Entries travel as one row of
-packed arrays per step and target partition.
+An entry has a key and a content. A step of a task (some MB of texts) sends one
+place of each (key, content) it holds, with their number, to be decided on;
+its other places of that key and content go on straight away, being known to
+repeat. So the task that decides on a key gets at most one entry per step and
+content, not one per place, however many places a key has. Entries travel as
+one row of packed arrays per step and target partition.
+
+A place that repeats is told with a bit that says whether its key also has
+another content, so that what must be compared further can be told from copies.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ MAX_HOT = 1 << 18
 FLAGGED = "part int, entries binary, hot_key long, hot_count long"
 DEALT = "part int, entries binary"
 
-#: (texts) -> (number of the text, place, key) of all entries
-Find = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: (texts) -> (number of the text, place, key, content) of all entries; content None: all of a key's are the same
+Find = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -49,58 +52,60 @@ def release(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-def _pack(docs: np.ndarray, ties: np.ndarray, owner: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Entries with the documents they name; ``owner`` -1 marks a key with ``counts`` places."""
+def _pack(docs: np.ndarray, ties: np.ndarray, owner: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray, contents: np.ndarray | None) -> bytes:
+    """Entries with the documents they name."""
     used, local = np.unique(owner, return_inverse=True)
-    real = used[used >= 0]
-    head = struct.pack("<III", len(real), len(keys), int(len(used) != len(real)))
-    return b"".join([head, docs[real].astype("<i8").tobytes(), ties[real].astype("<i4").tobytes(), local.astype("<u4").tobytes(), places.astype("<u4").tobytes(), keys.astype("<u8").tobytes(), counts.astype("<u4").tobytes()])
+    head = struct.pack("<III", len(used), len(keys), int(contents is not None))
+    last = [] if contents is None else [contents.astype("<u8").tobytes()]
+    return b"".join([head, docs[used].astype("<i8").tobytes(), ties[used].astype("<i4").tobytes(), local.astype("<u4").tobytes(), places.astype("<u4").tobytes(), keys.astype("<u8").tobytes(), counts.astype("<u4").tobytes(), *last])
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
-    n_docs, n, shift = struct.unpack_from("<III", data)
+def _unpack(data: bytes) -> list[np.ndarray]:
+    n_docs, n, with_content = struct.unpack_from("<III", data)
     at = 12
     out = []
-    for kind, size in (("<i8", n_docs), ("<i4", n_docs), ("<u4", n), ("<u4", n), ("<u8", n), ("<u4", n)):
+    for kind, size in (("<i8", n_docs), ("<i4", n_docs), ("<u4", n), ("<u4", n), ("<u8", n), ("<u4", n), ("<u8", n * with_content)):
         out.append(np.frombuffer(data, kind, size, at))
         at += np.dtype(kind).itemsize * size
-    out[2] = out[2].astype(np.int64) - shift
-    return tuple(out)
+    if not with_content:
+        out[6] = np.zeros(n, np.uint64)
+    return out
 
 
 def _send(find: Find, n_parts: int, step_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text", step_bytes):
             docs, ties = step.column(0).to_numpy(), step.column(1).to_numpy()
-            owner, places, keys = find(step.column(2).to_pylist())
-            order = np.argsort(keys, kind="stable")
+            owner, places, keys, contents = find(step.column(2).to_pylist())
+            order = np.argsort(keys, kind="stable") if contents is None else np.lexsort((contents, keys))
             owner, places, keys = owner[order], places[order], keys[order]
-            first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-            begin = np.flatnonzero(first)
+            contents = None if contents is None else contents[order]
+            new = keys[1:] != keys[:-1]
+            if contents is not None:
+                new |= contents[1:] != contents[:-1]
+            begin = np.flatnonzero(np.concatenate([[True], new])) if len(keys) else np.zeros(0, np.int64)
             size = np.diff(np.append(begin, len(keys)))
-            single = np.repeat(size == 1, size)
-            known = ~single
-            part = (keys % np.uint64(n_parts)).astype(np.int64)
-            entry = first  # a key's only place, or its marker
-            e_owner = np.where(single, owner, -1)[entry]
-            e_part, e_key, e_place, e_count = part[entry], keys[entry], places[entry], size
-            by = np.argsort(e_part, kind="stable")
-            cuts = np.searchsorted(e_part[by], np.arange(n_parts + 1))
-            known_at = np.flatnonzero(known)
-            known_at = known_at[np.lexsort((places[known_at], owner[known_at]))]
             rows: list[tuple[int, bytes | None, bytes | None]] = []
-            for p in np.unique(e_part).tolist():
-                at = by[cuts[p] : cuts[p + 1]]
-                rows.append((p, _pack(docs, ties, e_owner[at], e_place[at], e_key[at], e_count[at]), None))
+            part = (keys[begin] % np.uint64(n_parts)).astype(np.int64)
+            by = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[by], np.arange(n_parts + 1))
+            for p in np.flatnonzero(np.diff(cuts)).tolist():
+                which = by[cuts[p] : cuts[p + 1]]
+                at = begin[which]
+                rows.append((p, _pack(docs, ties, owner[at], places[at], keys[at], size[which], None if contents is None else contents[at]), None))
+            known = np.ones(len(keys), bool)
+            known[begin] = False
+            known_at = np.flatnonzero(known)
             if len(known_at):
                 # Known repeats need no decision; dealt by document over the partitions.
-                target = (docs[owner[known_at]] % n_parts).astype(np.int64)
+                target = target_of(docs[owner[known_at]], ties[owner[known_at]], n_parts)
                 by = np.argsort(target, kind="stable")
                 cuts = np.searchsorted(target[by], np.arange(n_parts + 1))
-                for p in np.unique(target).tolist():
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
                     at = known_at[by[cuts[p] : cuts[p + 1]]]
+                    at = at[np.concatenate([[True], (np.diff(owner[at]) != 0) | (np.diff(places[at]) != 0)])]
                     none = np.zeros(len(at))
-                    rows.append((p, None, _pack(docs, ties, owner[at], places[at], none, none)))
+                    rows.append((p, None, _pack(docs, ties, owner[at], places[at], none, none, None)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["part", "entries", "known"])
 
@@ -118,18 +123,20 @@ def _decide(hot_places: int, n_parts: int):
         if entries:
             shift = np.cumsum([0, *(len(e[0]) for e in entries)])
             docs, ties = np.concatenate([e[0] for e in entries]), np.concatenate([e[1] for e in entries])
-            owner = np.concatenate([np.where(e[2] >= 0, e[2] + s, -1) for e, s in zip(entries, shift, strict=False)])
-            places, keys, counts = (np.concatenate([e[i] for e in entries]) for i in (3, 4, 5))
-            order = np.argsort(keys, kind="stable")
-            begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+            owner = np.concatenate([e[2].astype(np.int64) + s for e, s in zip(entries, shift, strict=False)])
+            places, keys, counts, contents = (np.concatenate([e[i] for e in entries]) for i in (3, 4, 5, 6))
+            order = np.lexsort((contents, keys))
+            keys, contents = keys[order], contents[order]
+            begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             total = np.add.reduceat(counts[order].astype(np.int64), begin)
             size = np.diff(np.append(begin, len(keys)))
-            flagged = order[np.repeat(total > 1, size)]
-            flagged = flagged[owner[flagged] >= 0]
-            found.append((docs[owner[flagged]], ties[owner[flagged]], places[flagged]))
+            mixed = contents[begin] != contents[begin + size - 1]
+            keep = np.repeat(total > 1, size)
+            flagged = order[keep]
+            found.append((docs[owner[flagged]], ties[owner[flagged]], places[flagged].astype(np.int64) * 2 + np.repeat(mixed, size)[keep]))
             hot = total >= hot_places
-            hot_keys, hot_counts = keys[order][begin][hot], total[hot]
-        found += [(k[0][k[2]], k[1][k[2]], k[3]) for k in known]
+            hot_keys, hot_counts = keys[begin][hot], total[hot]
+        found += [(k[0][k[2]], k[1][k[2]], k[3].astype(np.int64) * 2) for k in known]
         if found:
             docs, ties, places = (np.concatenate([f[i] for f in found]) for i in range(3))
             table = pa.table({"doc": docs.astype(np.int64), "tie": ties.astype(np.int32), "place": places.astype(np.uint32)})
@@ -189,6 +196,8 @@ def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_repeats(texts: DataFrame, find: Find, label: str, *, hot_places: int = HOT_PLACES, step_bytes: int = STEP) -> tuple[DataFrame, np.ndarray]:
     """Per document of ``texts`` (doc, tie, text) the places whose keys repeat, and the hot keys.
 
+    ``places`` are u4: twice the place, and one more if its key has other contents.
+
     Hot keys are those of ``hot_places`` places or more, of which at most MAX_HOT
     are named: the bar rises with the corpus, so what is broadcast doesn't.
     """

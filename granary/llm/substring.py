@@ -134,9 +134,9 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, Paragraphs]]:
         i = j
 
 
-def find_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, place and key of every band of every paragraph."""
-    text, place, key = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)]
+def find_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, place, key and content of every band of every paragraph."""
+    text, place, key, content = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)], [np.zeros(0, U)]
     for shift, p in _groups(texts):
         for kind, (bands, _) in BANDS.items():
             some = np.flatnonzero(p.kind == kind)
@@ -144,7 +144,8 @@ def find_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 text.append(p.text[some] + shift)
                 place.append(p.place[some])
                 key.append(p.keys[some, b])
-    return np.concatenate(text), np.concatenate(place), np.concatenate(key)
+                content.append(p.content[some])
+    return np.concatenate(text), np.concatenate(place), np.concatenate(key), np.concatenate(content)
 
 
 BUCKET = [("key", pa.uint64()), ("content", pa.uint64()), ("shingles", pa.binary()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.uint32()), ("end", pa.uint32())]
@@ -158,21 +159,27 @@ def _collide(n_parts: int):
             docs, ties, texts, blobs = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist(), step.column(3).to_pylist()
             by = np.lexsort((ties, docs))
             docs, ties, texts = docs[by], ties[by], [texts[i] for i in by]
-            wanted = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(blobs[i], "<u4").astype(np.int64) + (k << 33) for k, i in enumerate(by.tolist())]])
+            told = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(blobs[i], "<u4").astype(np.int64) + (k << 34) for k, i in enumerate(by.tolist())]])
+            wanted, mixed = np.unique(told >> 1), told[told & 1 == 1] >> 1
+            sent: set[int] = set()
             seen: dict[int, tuple] = {}
             rows: list[tuple] = []
             for shift, p in _groups(texts):
-                for i in np.flatnonzero(np.isin(p.place + (p.text + shift << 33), wanted)).tolist():
+                name = p.place + (p.text + shift << 33)
+                compared = np.isin(name, mixed)
+                for i in np.flatnonzero(np.isin(name, wanted)).tolist():
                     k = int(p.text[i]) + shift
                     own, content = (int(docs[k]), int(ties[k]), int(p.start[i]), int(p.end[i])), int(p.content[i])
                     before = seen.get(content)
                     if before is None:
                         seen[content] = own
-                        shingles = p.shingles(i).tobytes()
-                        rows += [(MEMBER, key % n_parts, key, content, shingles, None, None, None, None) for key in set(p.keys[i].tolist())]
                         rows.append((FIRST, content % n_parts, 0, content, None, *own))
                     elif before != own:
                         rows.append((GONE, (own[0] * 31 + own[1]) % n_parts, 0, 0, None, *own))
+                    if compared[i] and content not in sent:
+                        sent.add(content)
+                        shingles = p.shingles(i).tobytes()
+                        rows += [(MEMBER, key % n_parts, key, content, shingles, None, None, None, None) for key in set(p.keys[i].tolist())]
             if rows:
                 kind, part, *columns = zip(*rows, strict=True)
                 table = pa.table([pa.array(kind, pa.int8()), *[pa.array(c, t) for c, (_, t) in zip(columns, BUCKET, strict=True)]], names=["kind", *[n for n, _ in BUCKET]])

@@ -98,9 +98,9 @@ def _some(parts: list[np.ndarray], length: int, number: int, at: int) -> tuple[n
 
 
 def _find(length: int):
-    def find(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, None]:
         text, place, h, _, _ = anchors(texts, length)
-        return text, place, h
+        return text, place, h, None
 
     return find
 
@@ -239,7 +239,7 @@ def _contexts(length: int, hot, n_parts: int):
             texts = [texts[i] for i in by]
             docs, ties = docs[by], ties[by]
             blobs = step.column(3).to_pylist()
-            places = [np.frombuffer(blobs[i], "<u4").astype(np.int64) for i in by]
+            places = [np.frombuffer(blobs[i], "<u4").astype(np.int64) >> 1 for i in by]
             text, place, h, first, last = anchors(texts, length)
             wanted = np.concatenate([np.zeros(0, np.int64), *[p + (k << 33) for k, p in enumerate(places)]])
             keep = np.flatnonzero(np.isin(place + (text << 33), wanted))
