@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import weakref
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -73,6 +77,7 @@ class WordCache:
     def __init__(self, compute, dtype, limit: int = 400_000):
         self.compute, self.dtype, self.limit = compute, dtype, limit
         self._clear()
+        _CACHES.add(self)
 
     def _clear(self) -> None:
         self.number: dict = {}
@@ -116,6 +121,20 @@ class WordCache:
         return self.flat[ragged(self.starts[numbers], lengths)], lengths
 
 
+_CACHES: weakref.WeakSet[WordCache] = weakref.WeakSet()
+
+
+def claim(*own: WordCache) -> None:
+    """Called as a task begins: a Python worker serves task after task, so empty the caches that this one doesn't use and give freed memory back."""
+    others = [c for c in _CACHES if all(c is not o for o in own) and c.number]
+    for c in others:
+        c._clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def union_min(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 and links a-b the smallest node of each one's component."""
     root = np.arange(n)

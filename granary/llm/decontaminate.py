@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import steps
+from granary.llm.common import claim, steps
 from granary.session import materialize
 
 #: Bytes 0-9, A-Z as a-z and everything from 80 on are parts of words; the rest separates them.
@@ -145,6 +145,7 @@ def _pass(texts: DataFrame, index: NgramSet, spans: bool) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
+        claim()
         yield from _scan(shared.value, spans)(batches)
 
     return texts.mapInArrow(run, HITS)
@@ -201,6 +202,7 @@ def _clean(docs: DataFrame, index: NgramSet, text_col: str, unit: str) -> DataFr
     place = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         scan = _scan(shared.value, True)
         for batch in steps(batches, text_col):
             raw = batch.column(place).cast(pa.binary())

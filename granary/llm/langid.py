@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, fold_held_out, steps
+from granary.llm.common import WordCache, claim, fold_held_out, steps
 from granary.llm.labelled import sampled
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -85,6 +85,11 @@ class ChainField:
         letters = np.array([has_letter(w) for w in words], np.float32)
         return np.concatenate([sums, letters[:, None]], axis=1).astype(np.float32).ravel(), np.full(len(words), len(self.languages) + 1)
 
+    def cache(self) -> WordCache:
+        if self._cache is None:
+            self._cache = WordCache(self.emissions, np.float32, 200_000)
+        return self._cache
+
     def marginals(self, emission: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Posterior of each word's label, for texts of ``counts`` words laid one after another.
 
@@ -146,15 +151,13 @@ class ChainField:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Per text the language with the largest mean posterior over its words, and that mean."""
         k = len(self.languages)
-        if self._cache is None:
-            self._cache = WordCache(self.emissions, np.float32, 200_000)
         words: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
             own = words_of(t)
             counts[i] = len(own)
             words += own
-        flat, _ = self._cache.gather(self._cache.lookup(words))
+        flat, _ = self.cache().gather(self.cache().lookup(words))
         table = flat.reshape(-1, k + 1)
         lettered = table[:, k] > 0
         row = np.repeat(np.arange(len(texts)), counts)[lettered]
@@ -254,6 +257,7 @@ def identify(docs: DataFrame, field: ChainField, *, id_col: str = "doc_id", text
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        claim(model.cache())
         for step in steps(batches, "text", 2 << 20):
             texts = step.column(1).to_pylist()
             names, scores = model.predict(texts) if model.languages else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
@@ -270,6 +274,7 @@ def keep_known(docs: DataFrame, field: ChainField, *, certain: float, text_col:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        claim(model.cache())
         for step in steps(batches, text_col, 2 << 20):
             if not model.languages:
                 continue

@@ -11,12 +11,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import steps
+from granary.llm.common import claim, steps
 from granary.llm.tokens import tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, n_loss long"
 #: Bytes of text tokenized at a time.
-TEXT_STEP = 8 << 20
+TEXT_STEP = 5 << 20
+#: Words that a worker keeps; beside other stages' memory there is less room than for token files.
+WORDS = 600_000
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
@@ -131,7 +133,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     columns += [F.col(prompt_col).cast("string").alias("prompt")] if prompt_col else []
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(tokenizer_path, spaced=True)
+        encoder = tokenizer(tokenizer_path, spaced=True, limit=WORDS)
+        claim(encoder.cache)
         out: list[tuple] = []
         packer = Packer(max_tokens, max_segments, most_loss, pool, min_piece, TaskContext.get().partitionId() << 40, out.append)
         for step in steps(batches, "text", TEXT_STEP):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, fold_held_out, steps
+from granary.llm.common import WordCache, claim, fold_held_out, steps
 from granary.llm.labelled import sampled
 
 BITS = 16
@@ -153,6 +153,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(_cache())
         for step in steps(batches, "text"):
             rows, slots, values = features(step.column(2).to_pylist())
             at = np.searchsorted(rows, np.arange(step.num_rows + 1))
@@ -179,6 +180,7 @@ def score_quality(docs: DataFrame, model: FactorisationMachine, *, id_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(_cache())
         for step in steps(batches, "text", 2 << 20):
             yield pa.RecordBatch.from_arrays([step.column(0), pa.array(shared.value.score(step.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
 

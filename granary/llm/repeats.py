@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import bounded_batches, steps
+from granary.llm.common import bounded_batches, claim, steps
 from granary.session import materialize
 
 #: Bytes of text whose keys are gathered before they are sent on.
@@ -74,6 +74,7 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 def _send(find: Find, n_parts: int, step_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for step in steps(batches, "text", step_bytes):
             docs, ties = step.column(0).to_numpy(), step.column(1).to_numpy()
             owner, places, keys, contents = find(step.column(2).to_pylist())
@@ -114,6 +115,7 @@ def _send(find: Find, n_parts: int, step_bytes: int):
 
 def _decide(hot_places: int, n_parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         entries, known = [], []
         for batch in batches:
             entries += [_unpack(x) for x in batch.column(1).to_pylist() if x is not None]

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import connected_components, steps, union_min
+from granary.llm.common import claim, connected_components, steps, union_min
 from granary.session import materialize
 
 SHINGLE_STEP = 1 << 15
@@ -47,6 +47,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, fp): the fingerprint's 64 bits as a signed long; null texts count as empty."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for step in steps(batches, "text"):
             fps = np.array([fingerprint(t, width) for t in step.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([step.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import connected_components, steps
+from granary.llm.common import claim, connected_components, steps
 from granary.llm.decontaminate import WORD_BYTES
 from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, release, spans_by_document, undeal, unpack_spans
 from granary.session import materialize
@@ -155,6 +155,7 @@ MEMBER, FIRST, GONE = 0, 1, 2
 
 def _collide(n_parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for step in steps(batches, "text", 8 << 20):
             docs, ties, texts, blobs = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist(), step.column(3).to_pylist()
             by = np.lexsort((ties, docs))
@@ -249,6 +250,7 @@ def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
 
 def _judge(n_parts: int, similar: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         table = undeal(batches)
         if table is None:
             return

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import steps
+from granary.llm.common import claim, steps
 from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, release, spans_by_document, undeal, unpack_spans
 from granary.session import materialize
 
@@ -233,6 +233,7 @@ def _contexts(length: int, hot, n_parts: int):
     """Rows for the repeats of some documents: a context once per step, hot anchors by single string, and ranges that go already."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for step in steps(batches, "text", 8 << 20):
             docs, ties, texts = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist()
             by = np.lexsort((ties, docs))  # documents in order, so the first of equal rows is the earliest
@@ -329,6 +330,7 @@ def _best(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
 
 def _judge(length: int, n_parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         table = undeal(batches)
         if table is None:
             return

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, steps
+from granary.llm.common import WordCache, claim, steps
 
 _HELD: dict[str, PieceCounter] = {}
 
@@ -104,6 +104,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _counter(vocabulary_path).cache
+        claim(cache)
         for step in steps(batches, "text"):
             words: list[bytes] = []
             counts = []

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import steps
+from granary.llm.common import claim, steps
 from granary.llm.tokens import tokenizer
 from granary.session import materialize, scratch_path
 
@@ -303,6 +303,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(tokenizer_path, spaced)
+        claim(coder.cache)
         place = TaskContext.get().partitionId()
         rows: list[tuple] = []
         held: list[np.ndarray] = []
