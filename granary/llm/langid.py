@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, claim, fold_held_out, steps
+from granary.llm.common import WordCache, bounded_batches, claim, fold_held_out, steps
 from granary.llm.labelled import sampled
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -87,7 +87,7 @@ class ChainField:
 
     def cache(self) -> WordCache:
         if self._cache is None:
-            self._cache = WordCache(self.emissions, np.float32, 200_000)
+            self._cache = WordCache(self.emissions, np.float32, 120_000)
         return self._cache
 
     def marginals(self, emission: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -215,6 +215,7 @@ class ChainField:
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_DOCS) -> ChainField:
     """Fit on spread words of at most ``most`` documents of the learning folds that have a language."""
+    bounded_batches(docs.sparkSession)
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL").dropDuplicates(["doc_id"])
     chosen = sampled(labelled, "doc_id", most)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text")
@@ -253,6 +254,7 @@ def identify(docs: DataFrame, field: ChainField, *, id_col: str = "doc_id", text
     stays null and counts as not held out; empty tables give none; other
     columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,6 +271,7 @@ def identify(docs: DataFrame, field: ChainField, *, id_col: str = "doc_id", text
 
 def keep_known(docs: DataFrame, field: ChainField, *, certain: float, text_col: str = "text") -> DataFrame:
     """The rows whose text has a language with a mean posterior of ``certain`` or more, judged in one pass without a join."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     place = docs.columns.index(text_col)
 

@@ -11,14 +11,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import claim, steps
-from granary.llm.tokens import tokenizer
+from granary.llm.common import bounded_batches, claim, steps
+from granary.llm.tokens import WORDS, tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, n_loss long"
 #: Bytes of text tokenized at a time.
-TEXT_STEP = 5 << 20
-#: Words that a worker keeps; beside other stages' memory there is less room than for token files.
-WORDS = 600_000
+TEXT_STEP = 8 << 20
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
@@ -113,7 +111,7 @@ class Packer:
             self.next_id += 1
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 0, max_tokens: int = 1024, max_segments: int = 512, max_loss: int | None = None, pool: int = 1024, min_piece: int = 4) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 0, max_tokens: int = 1024, max_segments: int = 512, max_loss: int | None = None, pool: int = 1024, min_piece: int = 4, cache_words: int = WORDS, step_bytes: int = TEXT_STEP) -> DataFrame:
     """Pack examples into sequences of at most ``max_tokens`` tokens, ``max_segments`` pieces and ``max_loss`` loss-bearing tokens.
 
     An example is the ids of its text and ``end_id``; with ``prompt_col`` the
@@ -121,6 +119,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     nothing is shuffled and a lost task is redone alone; sequence ids are made
     of the partition's number and a count. One row per piece; see PIECES.
 
+    ``cache_words`` and ``step_bytes`` trade a worker's memory for time; results don't depend on them.
+
     Null texts count as empty and still have their end id. Repeated rows are
     packed once each. A null id stays null. Empty tables give no rows. Other
     columns are ignored, whatever their names. Texts are never cut short: each
@@ -129,15 +129,16 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     most_loss = max_tokens if max_loss is None else max_loss
     if min(max_tokens, max_segments, most_loss, pool, min_piece) < 1:
         raise ValueError("limits are whole numbers from 1")
+    bounded_batches(docs.sparkSession)
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     columns += [F.col(prompt_col).cast("string").alias("prompt")] if prompt_col else []
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(tokenizer_path, spaced=True, limit=WORDS)
+        encoder = tokenizer(tokenizer_path, spaced=True, limit=cache_words)
         claim(encoder.cache)
         out: list[tuple] = []
         packer = Packer(max_tokens, max_segments, most_loss, pool, min_piece, TaskContext.get().partitionId() << 40, out.append)
-        for step in steps(batches, "text", TEXT_STEP):
+        for step in steps(batches, "text", step_bytes):
             ids, lengths = encoder.encode(step.column(1))
             before, before_lengths = encoder.encode(step.column(2)) if prompt_col else (ids[:0], np.zeros(step.num_rows, np.int64))
             at = at_before = 0

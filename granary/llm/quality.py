@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, claim, fold_held_out, steps
+from granary.llm.common import WordCache, bounded_batches, claim, fold_held_out, steps
 from granary.llm.labelled import sampled
 
 BITS = 16
@@ -149,6 +149,7 @@ class FactorisationMachine:
 
 def learning_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
     """Features of a bounded sample of labelled documents of the learning folds (at most ``most`` labels)."""
+    bounded_batches(docs.sparkSession)
     chosen = sampled(labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")), "doc_id", most)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
@@ -177,6 +178,7 @@ def score_quality(docs: DataFrame, model: FactorisationMachine, *, id_col: str =
     give repeated rows; a null id stays null and counts as not held out; empty
     tables give none; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import claim, connected_components, steps, union_min
+from granary.llm.common import bounded_batches, claim, connected_components, steps, union_min
 from granary.session import materialize
 
 SHINGLE_STEP = 1 << 15
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             fps = np.array([fingerprint(t, width) for t in step.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([step.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, claim, steps
+from granary.llm.common import WordCache, bounded_batches, claim, steps
 
 _HELD: dict[str, PieceCounter] = {}
 
@@ -116,5 +116,6 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id
             ends = np.cumsum(np.array(counts, np.int64))
             yield pa.RecordBatch.from_arrays([step.column(0), pa.array(counts, pa.int64()), pa.array(sums[ends] - sums[ends - counts])], names=["doc_id", "n_words", "n_tokens"])
 
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return texts.mapInArrow(run, "doc_id long, n_words long, n_tokens long")

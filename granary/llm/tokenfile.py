@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import claim, steps
+from granary.llm.common import bounded_batches, claim, steps
 from granary.llm.tokens import tokenizer
 from granary.session import materialize, scratch_path
 
@@ -295,6 +295,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col
     null texts are empty.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     n_files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cuts = texts.select(F.percentile_approx("doc_id", [i / n_files for i in range(1, n_files)], 50 * n_files)).first()[0] if n_files > 1 else None
