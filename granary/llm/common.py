@@ -124,11 +124,16 @@ class WordCache:
 _CACHES: weakref.WeakSet[WordCache] = weakref.WeakSet()
 
 
-def claim(*own: WordCache) -> None:
-    """Called as a task begins: a Python worker serves task after task, so empty the caches that this one doesn't use and give freed memory back."""
+def claim(*own: WordCache, tidy: bool = True) -> None:
+    """Called as a task begins: a Python worker serves task after task, so empty the caches that this one doesn't use and give freed memory back.
+
+    With ``tidy`` False, only where a cache was emptied.
+    """
     others = [c for c in _CACHES if all(c is not o for o in own) and c.number]
     for c in others:
         c._clear()
+    if not tidy and not others:
+        return
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has it

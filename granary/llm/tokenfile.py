@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import bounded_batches, claim, steps
+from granary.llm.common import claim, steps
 from granary.llm.tokens import tokenizer
 from granary.session import materialize, scratch_path
 
@@ -34,6 +34,8 @@ HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, alphabet, checksum of t
 BLOCK_IDS = 1 << 20
 #: Bytes of text tokenized at a time.
 TEXT_STEP = 18 << 20
+#: Words that a worker keeps.
+WORDS = 1_300_000
 MAX_LANES = 8192
 LANE_IDS = 64
 TOTAL_BITS, ORDER0_BITS = 26, 20
@@ -295,7 +297,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col
     null texts are empty.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     n_files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cuts = texts.select(F.percentile_approx("doc_id", [i / n_files for i in range(1, n_files)], 50 * n_files)).first()[0] if n_files > 1 else None
@@ -303,8 +304,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col
     dealt = texts.repartitionById(len(cuts) + 1, _bucket(cuts)).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokenizer(tokenizer_path, spaced)
-        claim(coder.cache)
+        coder = tokenizer(tokenizer_path, spaced, limit=WORDS)
+        claim(coder.cache, tidy=False)
         place = TaskContext.get().partitionId()
         rows: list[tuple] = []
         held: list[np.ndarray] = []
