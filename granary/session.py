@@ -26,6 +26,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
     return builder.getOrCreate()
 
 
+#: Makes Spark delete an execution's shuffle files when it ends, rather than when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -49,11 +53,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
-    The copy survives the loss of any executor, unlike a local checkpoint.
+    The copy survives the loss of any executor, unlike a local checkpoint. The
+    shuffle files of the write go with it: nothing reads them once it is done.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
