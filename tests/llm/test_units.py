@@ -128,6 +128,23 @@ def test_deep_shallow_order():
             assert lcp[1:].tolist() == [suffix.common_prefix(a, b) for a, b in zip(got, got[1:], strict=False)]
 
 
+@pytest.mark.parametrize("kind, least", [(substring.LINE, 0.99), (substring.SENTENCE, 0.98)])
+def test_bands_meet_pairs_at_the_threshold(kind, least):
+    """Paragraphs of 49 words that differ in the middle one have a shingle similarity of exactly 40 / 50."""
+    n, met = 1000, 0
+    for i in range(n):
+        words = [f"w{i}x{k}" for k in range(49)]
+        other = [*words[:24], f"v{i}", *words[25:]]
+        ending = f". End{i} of this line here now." if kind == substring.SENTENCE else ""
+        keys = []
+        for text in (words, other):
+            p = substring.Paragraphs([(" ".join(text) + ending).encode()])
+            at = np.flatnonzero(p.kind == kind)[0]
+            keys.append(set(p.keys[at].tolist()))
+        met += bool(keys[0] & keys[1])
+    assert met >= least * n
+
+
 def test_link_sets_by_all_pairs():
     r = random.Random(6)
     for _ in range(60):
