@@ -1,16 +1,17 @@
 """Each operator on whole small tables against brute force, and on odd and empty input."""
 
 import hashlib
+import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from oracle import compare, connect
 
 import corpus_pipeline
-from granary.llm import decontaminate, embed, langid, pack, quality, simhash, substring, suffix, token_count, tokenfile
+from granary.llm import decontaminate, embed, langid, nearcopy, pack, quality, simhash, substring, suffix, token_count, tokenfile
 from granary.llm.queries import ORACLES, QUERIES
 from granary.llm.tokens import public_vocabulary
 
@@ -150,6 +151,44 @@ def test_simhash_shards_and_blocks(docs, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs, leaf_rows=100).collect()} == whole
 
 
+def brute_copies(texts, similar=0.8):
+    """The ids that go: of documents joined by a Jaccard similarity of five-word shingles all but the smallest id."""
+    grams = {}
+    for d, t in texts:
+        words = t.encode().lower().split()
+        grams[d] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    holders, root = defaultdict(list), {d: d for d in grams}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for d, g in grams.items():
+        for o, both in Counter(o for x in g for o in holders[x]).items():
+            if both >= similar * (len(g) + len(grams[o]) - both):
+                a, b = sorted((find(d), find(o)))
+                root[b] = a
+        for x in g:
+            holders[x].append(d)
+    return {d for d in grams if find(d) != d}
+
+
+def test_near_duplicates_stage(spark, docs, texts):
+    """Planted copies with every 50th word changed (similarity 0.82 and about it) lie beyond 2 bits of SimHash."""
+    planted, r = [], random.Random(8)
+    for d, t in texts[:150]:
+        words = t.split()
+        for i in range(r.randrange(20, 30), len(words), 50):
+            words[i] = f"changed{i}"
+        planted.append((10_000_000 + d, " ".join(words)))
+    every = [*texts, *planted]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in every], "doc_id long, text string, lang string, source string, n_chars long")
+    want = brute_copies(every)
+    got = {d for d, _ in every} - {row.doc_id for row in corpus_pipeline.near_duplicates(spark, df, SF).select("doc_id").collect()}
+    assert got == want and len(want & {d for d, _ in planted}) > 30
+
+
 def test_embeddings_in_blocks(spark):
     vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
     a = {tuple(r) for r in embed.near_duplicates(vectors).collect()}
