@@ -193,12 +193,13 @@ def _collide(n_parts: int):
 def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
     """Links that join all sets which pairs of Jaccard similarity ``similar`` or more join.
 
-    Sets outside the largest component so far are compared with all by an
+    Sets outside one component, ``largest``, are compared with all by an
     inverted index, so no link from or to any of them is missed; links within
-    that component can't join anything more.
+    that component can't join anything more. When another component takes its
+    place, the sets that were skipped in the old one are looked at again.
     """
     n = len(sets)
-    root = list(range(n))
+    root, members = list(range(n)), [1] * n
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -212,6 +213,7 @@ def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
         a, b = find(i), find(j)
         if a != b:
             root[max(a, b)] = min(a, b)
+            members[min(a, b)] += members[max(a, b)]
             links.append((i, j))
 
     sizes = np.array([len(s) for s in sets])
@@ -232,10 +234,11 @@ def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
     at = np.cumsum(sizes) - sizes
     todo = list(range(n - 1, -1, -1))
     todo.sort(key=lambda i: abs(int(sizes[i]) - int(np.median(sizes))), reverse=True)
-    largest = -1
+    largest, skipped = -1, []
     while todo:
         i = todo.pop()
         if largest >= 0 and find(i) == find(largest):
+            skipped.append(i)
             continue
         mine = token[at[i] : at[i] + sizes[i]]
         spans = begin[mine + 1] - begin[mine]
@@ -243,8 +246,12 @@ def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
         both = np.bincount(hits, minlength=n)
         for j in np.flatnonzero(both >= similar * (sizes + sizes[i] - both)).tolist():
             join(i, j)
-        if largest < 0 or len(links) % 64 == 0:
+        if largest < 0:
             largest = i
+        elif members[find(i)] > 2 * members[find(largest)]:
+            largest = i
+            todo += skipped
+            skipped = []
     return links
 
 

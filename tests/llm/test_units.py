@@ -161,6 +161,42 @@ def test_link_sets_by_all_pairs():
         assert union_min(len(sets), *links.astype(int)).tolist() == union_min(len(sets), a.astype(int), b.astype(int)).tolist()
 
 
+def test_link_sets_joined_by_one_pair():
+    """Two stars of 65 sets that only a leaf of each joins, looked at in the order of the list as all sizes are equal."""
+    fresh = iter(range(1000, 100_000))
+
+    def edited(s, at, n):
+        return [*s[:at], *[next(fresh) for _ in range(n)], *s[at + n :]]
+
+    a0 = list(range(40))
+    a1 = edited(a0, 0, 4)
+    b1 = edited(a1, 4, 4)
+    b0 = edited(b1, 8, 4)
+    leaves = [edited(c, 12 + k % 25, 3) for c in (a0, b0) for k in range(63)]
+    sets = [np.array(sorted(s), np.uint32) for s in (a0, a1, b0, b1, *leaves)]
+    links = np.array(substring.link_sets(sets, 0.8)).T
+    assert set(union_min(len(sets), *links).tolist()) == {0}
+
+
+def test_link_sets_of_long_chains():
+    """One chain of edited copies, each near only a few others, in buckets of hundreds of sets."""
+    r = random.Random(11)
+    for _ in range(20):
+        own, sets = list(range(40)), []
+        for k in range(r.randint(200, 400)):
+            sets.append(np.array(sorted(own), np.uint32))
+            for at in r.sample(range(40), r.randint(1, 5)):
+                own[at] = 100 + k * 50 + at
+        r.shuffle(sets)
+        held = np.zeros((len(sets), 100 + 400 * 50), np.float32)
+        for i, s in enumerate(sets):
+            held[i, s] = 1
+        both = held @ held.T
+        want = union_min(len(sets), *np.nonzero(both >= 0.8 * (80 - both)))
+        links = np.array(substring.link_sets(sets, 0.8)).T
+        assert union_min(len(sets), *links).tolist() == want.tolist()
+
+
 def test_marginals_by_all_chains():
     r = np.random.default_rng(7)
     field = langid.ChainField(["a", "b", "c"], {})
