@@ -3,6 +3,10 @@
 A paragraph is a line of a text, and each sentence of a line that has several:
 so passages are also found inside longer paragraphs. All hashing of words,
 five-word shingles and minima is done on whole arrays of a step's texts.
+
+A passage need not begin and end where a line or sentence does: runs of 50
+words or more that stood earlier word by word are found from word to word by
+op10's suffix sorting, over texts in which each word is two bytes of its hash.
 """
 
 from __future__ import annotations
@@ -15,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm import suffix
 from granary.llm.common import claim, connected_components, steps
 from granary.llm.decontaminate import WORD_BYTES
-from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, release, spans_by_document, undeal, unpack_spans
+from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, release, spans_by_document, undeal, unpack_spans
 from granary.session import materialize
 
 WORDS = 5
@@ -28,6 +33,9 @@ BANDS = {0: (4, 1), 1: (3, 1)}
 MOST = max(b for b, _ in BANDS.values())
 #: Removed runs have at least so many words; shorter lines are common phrases rather than passages.
 MIN_WORDS = 15
+#: Words of a run that goes wherever it begins and ends, if all of it stood earlier.
+RUN_WORDS = 50
+CODE_BYTES = 2
 CHUNK = 1 << 20
 LINE, SENTENCE = 0, 1
 U = np.uint64
@@ -52,6 +60,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts joined by line ends, where each begins, and the first byte, end and hash of every word."""
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    plain = np.frombuffer(raw.tobytes().translate(WORD_BYTES), np.uint8)
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    inside = plain != 0x20
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    first, last = edges[::2], edges[1::2]
+    power, inverse = _powers(len(raw) + 1)
+    sums = np.concatenate([[U(0)], np.cumsum((plain.astype(U) + U(1)) * power[: len(plain)], dtype=U)])
+    return raw, begin, first, last, _mix((sums[last] - sums[first]) * inverse[first])
+
+
 class Paragraphs:
     """The paragraphs of some texts that have at least WORDS words: text, kind, byte range, content id, keys and shingles."""
 
@@ -60,16 +82,7 @@ class Paragraphs:
             self._read(texts)
 
     def _read(self, texts: list[bytes]) -> None:
-        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        plain = np.frombuffer(raw.tobytes().translate(WORD_BYTES), np.uint8)
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        begin = np.cumsum(sizes) - sizes
-        inside = plain != 0x20
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-        first, last = edges[::2], edges[1::2]
-        power, inverse = _powers(len(raw) + 1)
-        sums = np.concatenate([[U(0)], np.cumsum((plain.astype(U) + U(1)) * power[: len(plain)], dtype=U)])
-        word = _mix((sums[last] - sums[first]) * inverse[first])
+        raw, begin, first, last, word = _words(texts)
         newline = raw == 0x0A
         stop = np.isin(raw, np.frombuffer(b".!?", np.uint8)) & np.concatenate([np.isin(raw[1:], np.frombuffer(b" \t\n\r", np.uint8)), [True]])
         line = np.cumsum(newline)[first] if len(first) else first
@@ -353,38 +366,76 @@ def _runs(text: bytes, spans: list[list[int]], min_words: int) -> list[tuple[int
     return runs
 
 
-def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, min_words: int = MIN_WORDS, **limits) -> DataFrame:
+def _code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as CODE_BYTES bytes of each word's hash."""
+    claim()
+    for step in steps(batches, "text", CHUNK):
+        texts = step.column(2).to_pylist()
+        with np.errstate(over="ignore"):
+            _, begin, first, _, word = _words(texts)
+        codes = (word >> U(64 - 8 * CODE_BYTES)).astype("<u2")
+        cuts = np.append(np.searchsorted(first, begin), len(first)).tolist()
+        yield pa.RecordBatch.from_arrays([step.column(0), step.column(1), pa.array([codes[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=["doc", "tie", "text"])
+
+
+def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, tie, spans): ranges of the coded text that windows of RUN_WORDS words which also start earlier cover."""
+    coded = keyed(docs, id_col, text_col).mapInArrow(_code, "doc long, tie int, text binary")
+    return suffix.spans_of(coded, RUN_WORDS * CODE_BYTES)
+
+
+def _with_runs(text: bytes, spans: list[list[int]], runs: list[list[int]]) -> list[list[int]]:
+    """The spans and those of whole words of the coded ranges that hold RUN_WORDS words or more."""
+    whole = [(-(-a // CODE_BYTES), b // CODE_BYTES) for a, b in runs]
+    whole = [(i, j) for i, j in whole if j - i >= RUN_WORDS]
+    if not whole:
+        return spans
+    plain = np.frombuffer(text.translate(WORD_BYTES), np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], plain != 0x20, [False]]).astype(np.int8)))
+    every = np.array([*spans, *([edges[2 * i], edges[2 * j - 1]] for i, j in whole)], np.int64)
+    return np.stack(merge_spans(every[:, 0], every[:, 1]), axis=1).tolist()
+
+
+def remove_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """As ``remove_paragraphs``, and also runs of RUN_WORDS words or more that stood earlier, wherever they begin and end."""
+    return remove_paragraphs(docs, id_col=id_col, text_col=text_col, runs=repeated_runs(docs, id_col=id_col, text_col=text_col), **options)
+
+
+def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, min_words: int = MIN_WORDS, runs: DataFrame | None = None, **limits) -> DataFrame:
     """All columns of ``docs`` with repeated passages cut out of the text, and n_removed (bytes) and n_spans.
 
     A text without a repeat, or null, comes back as it is. Rows that repeat id
     and text are one document and are cut alike; rows of one id with different
     texts are ordered by a hash of the text; null ids come first. Empty tables
     give no rows. Columns named n_removed or n_spans in the input are replaced.
+    Ranges of ``runs`` (see ``repeated_runs``) are cut too.
     """
     spans = repeated_paragraphs(docs, id_col=id_col, text_col=text_col, similar=similar, **limits)
-    spans = spans.select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"))
+    runs = runs if runs is not None else spans.where("1 = 0")
+    spans = spans.join(runs.withColumnRenamed("spans", "runs").hint("shuffle_merge"), ["doc", "tie"], "full")
+    spans = spans.select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"), F.col("runs").alias("__runs"))
     doc = F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID))
     tie = F.hash(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")))
     joined = docs.join(spans.hint("shuffle_merge"), (doc == spans["__doc"]) & (tie == spans["__tie"]), "left").drop("__doc", "__tie", "n_removed", "n_spans")
     names = joined.columns
-    place, spans_at = names.index(text_col), names.index("__spans")
-    rest = [f for f in joined.schema.fields if f.name != "__spans"]
+    place, spans_at, runs_at = names.index(text_col), names.index("__spans"), names.index("__runs")
+    rest = [f for f in joined.schema.fields if f.name not in ("__spans", "__runs")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", n_removed long, n_spans long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, text_col):
             texts, removed, counts = [], [], []
-            for text, blob in zip(step.column(place).cast(pa.binary()).to_pylist(), step.column(spans_at).to_pylist(), strict=True):
-                runs = _runs(text, unpack_spans(blob), min_words) if text is not None else []
+            for text, blob, coded in zip(step.column(place).cast(pa.binary()).to_pylist(), step.column(spans_at).to_pylist(), step.column(runs_at).to_pylist(), strict=True):
+                cuts = _runs(text, _with_runs(text, unpack_spans(blob), unpack_spans(coded)), min_words) if text is not None else []
                 kept, at = [], 0
-                for a, b in runs:
+                for a, b in cuts:
                     kept.append(text[at:a])
                     at = b
                 whole = None if text is None else b"".join([*kept, text[at:]])
                 texts.append(None if whole is None else whole.decode("utf-8", "replace"))
                 removed.append(0 if text is None else len(text) - len(whole))
-                counts.append(len(runs))
-            own = [pa.array(texts, pa.string()) if i == place else step.column(i) for i in range(len(names)) if i != spans_at]
+                counts.append(len(cuts))
+            own = [pa.array(texts, pa.string()) if i == place else step.column(i) for i in range(len(names)) if i not in (spans_at, runs_at)]
             yield pa.RecordBatch.from_arrays([*own, pa.array(removed, pa.int64()), pa.array(counts, pa.int64())], names=[f.name for f in rest] + ["n_removed", "n_spans"])
 
     return joined.mapInArrow(run, schema)

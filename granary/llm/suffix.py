@@ -382,9 +382,13 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     if not GRAM < length <= 4 * GRAM:
         raise ValueError(f"length is from {GRAM + 1} to {4 * GRAM}")
-    spark = docs.sparkSession
+    return spans_of(keyed(docs, id_col, text_col), length, **limits)
+
+
+def spans_of(texts: DataFrame, length: int, **limits) -> DataFrame:
+    """The same for rows that are (doc, tie, text) already."""
+    spark = texts.sparkSession
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    texts = keyed(docs, id_col, text_col)
     flagged, keys = find_repeats(texts, _find(length), "suffix", **limits)
     hot = spark.sparkContext.broadcast(keys)
     rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_contexts(length, hot, n_parts), DEALT)

@@ -136,6 +136,32 @@ def test_passage_inside_a_paragraph(spark):
     assert all("Shared24" not in got[i].text and f"ending {i}" in got[i].text for i in range(1, 40))
 
 
+@pytest.mark.parametrize("joint", [" ", ", "])
+def test_runs_that_begin_and_end_anywhere(spark, joint):
+    """Passages of 50 words and more inside long lines without a full stop, against all 50-word windows."""
+    r = random.Random(5)
+    passages = [[f"p{k}w{i}" for i in range(n)] for k, n in enumerate([50, 51, 59, 80, 120, 49])]
+    rows = []
+    for d in range(120):
+        own = [f"d{d}x{i}" for i in range(r.randint(20, 400))]
+        at, passage = r.randint(0, len(own)), r.choice(passages)
+        cut = r.randint(0, max(0, len(passage) - 50))
+        own[at:at] = passage[cut:]
+        rows.append((d, joint.join(own)))
+    seen, want = set(), {}
+    for d, t in rows:
+        words = decontaminate.words_of(t.encode())
+        gone = np.zeros(len(words), bool)
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            gone[i : i + 50] |= window in seen
+            seen.add(window)
+        want[d] = [w for w, g in zip(words, gone, strict=True) if not g]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: decontaminate.words_of(x.text.encode()) for x in substring.remove_passages(df.repartition(3)).collect()}
+    assert got == want and sum(len(want[d]) < len(t.split()) for d, t in rows) > 70
+
+
 def test_simhash(spark, texts):
     got = {r.doc_id: r for r in QUERIES["op4_simhash"](spark, SF).collect()}
     fps = np.array([simhash.fingerprint(t.encode()) for _, t in texts], np.uint64)
