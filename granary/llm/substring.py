@@ -1,6 +1,6 @@
 """Substring dedup: paragraphs that near-repeat, by MinHash banding, exact Jaccard and components.
 
-A paragraph is a line of a text, and each sentence of a line that has several:
+A paragraph is a line of a text, and each sentence of a line, also the only one:
 so passages are also found inside longer paragraphs. All hashing of words,
 five-word shingles and minima is done on whole arrays of a step's texts.
 
@@ -92,17 +92,12 @@ class Paragraphs:
             shingle = shingle * U(_FACTOR) + word[k : len(word) - WORDS + 1 + k]
         shingle = _mix(shingle)
         parts = []
-        several = np.zeros(int(line[-1]) + 1 if len(line) else 0, np.int64)
         for kind, number in ((LINE, line), (SENTENCE, sentence)):
             if not len(word):
                 continue
             head = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
             count = np.diff(np.append(head, len(word)))
-            if kind == LINE:
-                keep = count >= WORDS
-                several = np.bincount(line, np.concatenate([[1], (sentence[1:] != sentence[:-1]) | (line[1:] != line[:-1])]), len(several))
-            else:
-                keep = (count >= WORDS) & (several[line[head]] > 1)
+            keep = count >= WORDS
             head, count = head[keep], count[keep]
             if not len(head):
                 continue

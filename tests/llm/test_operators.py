@@ -136,6 +136,13 @@ def test_passage_inside_a_paragraph(spark):
     assert all("Shared24" not in got[i].text and f"ending {i}" in got[i].text for i in range(1, 40))
 
 
+def test_sentence_alone_and_inside_a_paragraph(spark):
+    sentence = " ".join(f"shared{i}" for i in range(27)) + "."
+    rows = [(1, f"Own words of the first one here.\n{sentence}\nThe end of the first one."), (2, f"Quite another beginning of two. {sentence} And another ending of it."), (3, f"Third text begins like so.\n{sentence}")]
+    got = {r.doc_id: r.text for r in substring.remove_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and all("shared" not in got[i] for i in (2, 3)) and "And another ending" in got[2]
+
+
 @pytest.mark.parametrize("joint", [" ", ", "])
 def test_runs_that_begin_and_end_anywhere(spark, joint):
     """Passages of 50 words and more inside long lines without a full stop, against all 50-word windows."""
