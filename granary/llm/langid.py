@@ -213,6 +213,14 @@ class ChainField:
         return self
 
 
+def spread(words: list[str], most: int = FIT_WORDS, block: int = 16) -> list[str]:
+    """``most`` words in blocks of ``block``, the first from the start, the last from the end and the others evenly between."""
+    if len(words) <= most:
+        return words
+    n = most // block
+    return [w for k in range(n) for w in words[k * (len(words) - block) // (n - 1) :][:block]]
+
+
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_DOCS) -> ChainField:
     """Fit on spread words of at most ``most`` documents of the learning folds that have a language."""
     bounded_batches(docs.sparkSession)
@@ -225,8 +233,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
             chains = []
             for t in step.column(2).to_pylist():
                 own = [w for w in words_of(t) if has_letter(w)]
-                cut = max(1, len(own) // FIT_WORDS) * 16
-                chains.append([w for i in range(0, len(own), cut) for w in own[i : i + 16]][:FIT_WORDS] if len(own) > FIT_WORDS else own)
+                chains.append(spread(own))
             yield pa.RecordBatch.from_arrays([step.column(0), step.column(1), pa.array(chains, pa.list_(pa.string()))], names=["doc_id", "lang", "words"])
 
     rows = sorted((r for r in texts.mapInArrow(run, "doc_id long, lang string, words array<string>").collect() if r.words), key=lambda r: (r.doc_id, r.words))

@@ -218,6 +218,15 @@ def test_marginals_by_all_chains():
         at += n
 
 
+def test_fit_words_are_spread_over_the_whole_text():
+    for n in (0, 5, 96, 97, 150, 191, 192, 287, 1000, 20_001):
+        got = langid.spread(list(range(n)))
+        assert len(got) == min(n, 96) and got == sorted(set(got))
+        if n > 96:
+            gaps = [b - a - 1 for a, b in zip(got, got[1:], strict=False)]
+            assert got[0] == 0 and got[-1] == n - 1 and max(gaps) - min(gaps[15::16]) <= 1
+
+
 def test_machine_score_by_pairs():
     machine = quality.FactorisationMachine(rank=3)
     machine.w[:] = np.random.default_rng(1).normal(size=quality.DIM)
