@@ -36,18 +36,15 @@ class Packer:
     """
 
     def __init__(self, max_tokens: int, max_segments: int, max_loss: int, pool: int, min_piece: int, base: int, emit):
-        self.limits = np.array([max_tokens, max_segments, max_loss], float)
-        self.size, self.min_piece, self.emit, self.next_id = pool, min_piece, emit, base
-        self.demand = np.zeros((pool, 3))
+        self.limits = (max_tokens, max_segments, max_loss)
+        self.min_piece, self.emit, self.next_id = min_piece, emit, base
+        self.tokens, self.loss = np.zeros(pool), np.zeros(pool)  # a segment each; a free slot demands no tokens
         self.free = list(range(pool))
         self.items: list = [None] * pool
         self.held = 0
 
     def add(self, item: tuple) -> None:
         """item: (doc_id, start, ids, doc_tokens, loss-bearing ids from this index of ids on)."""
-        if len(item[2]) == self.limits[0] and loss_of(item) <= self.limits[2]:
-            self._write([item])
-            return
         if not self.free:
             self._fill()
         self._put(item)
@@ -58,30 +55,33 @@ class Packer:
 
     def _take(self, slot: int) -> tuple:
         item, self.items[slot] = self.items[slot], None
-        self.demand[slot] = 0
+        self.tokens[slot] = self.loss[slot] = 0
         self.free.append(slot)
         self.held -= 1
         return item
 
+    def best(self, room: tuple[float, float, float]) -> int:
+        """The slot whose demand fits the room and has the largest dot product with it, the first of several; -1 if none fits."""
+        tokens, segments, loss = room
+        if segments < 1 or tokens < 1:
+            return -1
+        max_tokens, max_segments, max_loss = self.limits
+        score = self.tokens * (tokens / max_tokens**2) + self.loss * (loss / max_loss**2)
+        score += segments / max_segments**2
+        score[(self.tokens > tokens) | (self.loss > loss) | (self.tokens == 0)] = -1.0
+        slot = int(score.argmax())
+        return slot if score[slot] >= 0 else -1
+
     def _fill(self) -> None:
-        room, chosen, scale = self.limits.copy(), [], 1 / self.limits**2
-        while True:
-            fits = (self.demand[:, 1] > 0) & (self.demand <= room).all(axis=1)
-            if not fits.any():
-                break
-            score = np.where(fits, self.demand @ (room * scale), -1.0)
-            slot = int(score.argmax())
-            room -= self.demand[slot]
+        room, chosen = self.limits, []
+        while (slot := self.best(room)) >= 0:
+            room = room[0] - self.tokens[slot], room[1] - 1, room[2] - self.loss[slot]
             chosen.append(self._take(slot))
         while self.held and room[0] >= self.min_piece and room[1] >= 1 and room[2] >= 1:
-            slot = int(self.demand[:, 0].argmax())
-            doc, start, ids, total, loss_from = self._take(slot)
+            doc, start, ids, total, loss_from = self._take(int(self.tokens.argmax()))
             n = int(min(room[0], len(ids), max(0, loss_from) + room[2]))
-            if n < 1:
-                self._put((doc, start, ids, total, loss_from))
-                break
             chosen.append((doc, start, ids[:n], total, loss_from))
-            room -= n, 1, loss_of(chosen[-1])
+            room = room[0] - n, room[1] - 1, room[2] - loss_of(chosen[-1])
             if n < len(ids):
                 self._put((doc, start + n, ids[n:], total, loss_from - n))
         self._write(chosen)
@@ -89,11 +89,11 @@ class Packer:
     def _put(self, item: tuple) -> None:
         slot = self.free.pop()
         self.items[slot], self.held = item, self.held + 1
-        self.demand[slot] = len(item[2]), 1, loss_of(item)
+        self.tokens[slot], self.loss[slot] = len(item[2]), loss_of(item)
 
     def _write(self, chosen: list) -> None:
         total = sum(len(x[2]) for x in chosen)
-        cap = int(self.limits[0])
+        cap = self.limits[0]
         if total & (total - 1) == 0 or cap - total < max(self.min_piece, cap // 64):
             parts = [total]
         else:
@@ -111,11 +111,12 @@ class Packer:
             self.next_id += 1
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 0, max_tokens: int = 1024, max_segments: int = 512, max_loss: int | None = None, pool: int = 1024, min_piece: int = 4, cache_words: int = WORDS, step_bytes: int = TEXT_STEP) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 0, max_tokens: int = 1024, max_segments: int = 64, max_loss: int | None = None, pool: int = 1024, min_piece: int = 4, cache_words: int = WORDS, step_bytes: int = TEXT_STEP) -> DataFrame:
     """Pack examples into sequences of at most ``max_tokens`` tokens, ``max_segments`` pieces and ``max_loss`` loss-bearing tokens.
 
     An example is the ids of its text and ``end_id``; with ``prompt_col`` the
-    prompt's ids come first and bear no loss. Each task packs what it reads, so
+    prompt's ids come first and bear no loss. Longer ones come in blocks of
+    ``max_tokens``, which go through the same choice as all others. Each task packs what it reads, so
     nothing is shuffled and a lost task is redone alone; sequence ids are made
     of the partition's number and a count. One row per piece; see PIECES.
 
@@ -129,6 +130,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     most_loss = max_tokens if max_loss is None else max_loss
     if min(max_tokens, max_segments, most_loss, pool, min_piece) < 1:
         raise ValueError("limits are whole numbers from 1")
+    if min_piece > max_tokens:
+        raise ValueError("min_piece is at most max_tokens")
     bounded_batches(docs.sparkSession)
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     columns += [F.col(prompt_col).cast("string").alias("prompt")] if prompt_col else []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ class CachedTokenizer:
     across one. ``spaced`` vocabularies (byte-level) give a word's leading space
     to the word, and their texts with any other white space are encoded whole;
     others drop white space. Arrow cuts the texts and finds the distinct words,
-    so Python looks at each once; new words are encoded many to a call.
+    so Python looks at each once; new words are encoded many to a call. A text
+    that holds an added token's characters, in any case, is encoded whole.
     """
 
     def __init__(self, path: str, spaced: bool, limit: int = WORDS):
@@ -41,8 +43,9 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = "(?i)" + "|".join(added) if added else ""
         self.cache = WordCache(self._compute, np.uint32, limit)
         self.odd: set[str] = set()
         vocabulary = self.tokenizer.get_vocab()
@@ -143,6 +146,8 @@ class CachedTokenizer:
         ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         sizes = np.diff(ends)
         strange = [i for i, w in enumerate(distinct) if w in self.odd] if self.odd else []
+        if self.added:  # the library takes these out of a text before anything else
+            strange += np.flatnonzero(pc.match_substring_regex(encoded.dictionary, self.added).to_numpy(zero_copy_only=False)).tolist()
         marked = np.zeros(len(texts), bool)
         for c in "\r\0" if self.spaced else "":
             marked |= pc.match_substring(texts, c).to_numpy(zero_copy_only=False)
