@@ -18,9 +18,8 @@ WORD = re.compile(r"[^\W\d_]+")
 BITS = 15
 DIM = 1 << BITS
 LEXICON = 2000
-MAX_DOCS = 3000
-#: Words of a text that the fit looks at, from evenly spread places; prediction takes all.
-FIT_WORDS = 96
+#: Documents that the fit learns from, each with its whole text.
+MAX_DOCS = 600
 ROW = 64
 UNKNOWN = "und"
 
@@ -91,7 +90,11 @@ class ChainField:
         return self._cache
 
     def marginals(self, emission: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Posterior of each word's label, for texts of ``counts`` words laid one after another.
+        """Posterior of each word's label, for texts of ``counts`` words laid one after another."""
+        return self._expect(emission, counts, False)[0]
+
+    def _expect(self, emission: np.ndarray, counts: np.ndarray, want_moves: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Posteriors of the labels and, if wanted, the expected number of moves from label to label over all texts.
 
         Forward-backward in two levels: texts are cut into rows of ROW words,
         the transfer matrix of each row is made for all rows in step, rows are
@@ -103,30 +106,33 @@ class ChainField:
         n_rows, first = int(rows_of.sum()), np.cumsum(rows_of) - rows_of
         text_of = np.repeat(np.arange(len(counts)), rows_of)
         row_in_text = np.arange(n_rows) - first[text_of]
+        opens = row_in_text == 0  # rows whose first word has no move before it
         begin = (np.cumsum(counts) - counts)[text_of] + row_in_text * ROW
         length = np.minimum(ROW, counts[text_of] - row_in_text * ROW)
         potential = np.exp(emission - emission.max(axis=1, keepdims=True))
         step = np.exp(self.transition - self.transition.max())
+        head = np.exp(self.start - self.start.max())
         index = np.minimum(begin[:, None] + np.arange(ROW), n_words - 1)
         local = potential[index]  # (rows, ROW, k)
         live = np.arange(ROW) < length[:, None]
         transfer = np.broadcast_to(np.eye(k), (n_rows, k, k)).copy()
         for t in range(ROW):
-            moved = (transfer @ step) * local[:, t, None, :]
+            moved = transfer @ step
+            if t == 0:
+                moved[opens] = np.eye(k)
+            moved *= local[:, t, None, :]
             moved /= np.maximum(moved.sum(axis=(1, 2), keepdims=True), 1e-300)
             transfer = np.where(live[:, t, None, None], moved, transfer)
-        # Border vectors: alpha before each row (already past no transition), beta after each row.
-        head = np.exp(self.start - self.start.max())
+        # Border vectors: alpha before each row (of a text's first the start potentials), beta after each row.
         alpha, beta = np.zeros((n_rows, k)), np.ones((n_rows, k))
-        inverse_first = np.linalg.solve(step.T + 1e-12 * np.eye(k), head)  # so that step gives the start vector
         most = int(rows_of.max()) if len(rows_of) else 0
         for r in range(most):
             now = first[rows_of > r] + r
             if r == 0:
-                alpha[now] = inverse_first
+                alpha[now] = head
             else:
                 a = np.einsum("nk,nkj->nj", alpha[now - 1], transfer[now - 1])
-                alpha[now] = a / np.maximum(np.abs(a).sum(axis=1, keepdims=True), 1e-300)
+                alpha[now] = a / np.maximum(a.sum(axis=1, keepdims=True), 1e-300)
         for r in range(most - 2, -1, -1):
             now = first[rows_of > r + 1] + r
             b = np.einsum("nkj,nj->nk", transfer[now + 1], beta[now + 1])
@@ -134,19 +140,40 @@ class ChainField:
         forward = np.zeros((n_rows, ROW, k))
         a = alpha
         for t in range(ROW):
-            a = np.where(live[:, t, None], (a @ step) * local[:, t], a)
-            a = a / np.maximum(np.abs(a).sum(axis=1, keepdims=True), 1e-300)
+            before = a @ step
+            if t == 0:
+                before[opens] = head
+            a = np.where(live[:, t, None], before * local[:, t], a)
+            a = a / np.maximum(a.sum(axis=1, keepdims=True), 1e-300)
             forward[:, t] = a
-        out = np.zeros((n_words, k))
+        out, moves = np.zeros((n_words, k)), np.zeros((k, k))
         b = beta
         for t in range(ROW - 1, -1, -1):
             post = forward[:, t] * b
             post /= np.maximum(post.sum(axis=1, keepdims=True), 1e-300)
             own = live[:, t]
             out[(begin + t)[own]] = post[own]
-            nb = (local[:, t] * b) @ step.T
+            after = local[:, t] * b
+            if want_moves:
+                some = own if t else own & ~opens
+                left, right = (forward[:, t - 1] if t else alpha)[some], after[some]
+                total = np.einsum("nk,kj,nj->n", left, step, right)
+                moves += step * np.einsum("nk,nj->kj", left / np.maximum(total, 1e-300)[:, None], right)
+            nb = after @ step.T
             b = np.where(own[:, None], nb / np.maximum(nb.sum(axis=1, keepdims=True), 1e-300), b)
-        return out
+        return out, moves
+
+    def gradient(self, emission: np.ndarray, counts: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the chains' log-likelihood, by emission score, transition and start: what is seen less what is expected."""
+        k, starts = emission.shape[1], np.cumsum(counts) - counts
+        follows = np.ones(len(gold), bool)
+        follows[starts] = False
+        later = np.flatnonzero(follows)
+        post, moves = self._expect(emission, counts, True)
+        by_word = -post
+        by_word[np.arange(len(gold)), gold] += 1
+        seen = np.bincount(gold[later - 1] * k + gold[later], minlength=k * k).reshape(k, k)
+        return by_word, seen - moves, np.bincount(gold[starts], minlength=k) - post[starts].sum(axis=0)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Per text the language with the largest mean posterior over its words, and that mean."""
@@ -176,53 +203,36 @@ class ChainField:
         """Adam on the likelihood of whole label chains: spans of one language, and spans joined to code-switched ones."""
         k, rng = len(self.languages), np.random.default_rng(seed)
         order = rng.permutation(len(examples))
-        chains = [[(w, y) for w in ws] for ws, y in examples]
+        chains = [(ws, [y] * len(ws)) for ws, y in examples]
         for a, b in zip(order[::2], order[1::2], strict=False):  # joined: half of one text, half of another
             (wa, ya), (wb, yb) = examples[a], examples[b]
-            chains.append([(w, ya) for w in wa[: len(wa) // 2 + 1]] + [(w, yb) for w in wb[len(wb) // 2 :]])
-        chains = [c for c in chains if c]
-        vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for c in chains for w, _ in c))}
+            left, right = wa[: len(wa) // 2 + 1], wb[len(wb) // 2 :]
+            chains.append((left + right, [ya] * len(left) + [yb] * len(right)))
+        chains = [c for c in chains if c[0]]
+        vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for ws, _ in chains for w in ws))}
         slots, lengths = gram_slots(list(vocabulary), self.lexicon)
         begins, scale = np.cumsum(lengths) - lengths, 1 / np.sqrt(lengths)
-        ids = np.array([vocabulary[w] for c in chains for w, _ in c], np.int64)
-        gold = np.array([y for c in chains for _, y in c], np.int64)
-        counts = np.array([len(c) for c in chains], np.int64)
-        starts = np.cumsum(counts) - counts
-        follows = np.ones(len(ids), bool)
-        follows[starts] = False
-        later = np.flatnonzero(follows)
-        gold_moves = np.bincount(gold[later - 1] * k + gold[later], minlength=k * k).reshape(k, k)
-        m, v = np.zeros_like(self.weights), np.zeros_like(self.weights)
+        ids = np.array([vocabulary[w] for ws, _ in chains for w in ws], np.int64)
+        gold = np.array([y for _, ys in chains for y in ys], np.int64)
+        counts = np.array([len(ws) for ws, _ in chains], np.int64)
+        moments = [(np.zeros_like(x), np.zeros_like(x)) for x in (self.weights, self.transition, self.start)]
         weight = 1 / len(ids)
         for i in range(1, rounds + 1):
             per_word = np.add.reduceat(self.weights[slots], begins, axis=0) * scale[:, None]
-            post = self.marginals(per_word[ids].astype(np.float64), counts)
-            wrong = post.copy()
-            wrong[np.arange(len(ids)), gold] -= 1
-            by_word = np.zeros((len(vocabulary), k))
-            for y in range(k):
-                by_word[:, y] = np.bincount(ids, wrong[:, y], len(vocabulary))
+            up, up_moves, up_start = self.gradient(per_word[ids].astype(np.float64), counts, gold)
+            by_word = np.stack([np.bincount(ids, up[:, y], len(vocabulary)) for y in range(k)], axis=1)
             spread = np.repeat(by_word * scale[:, None], lengths, axis=0)
-            gradient = np.stack([np.bincount(slots, spread[:, y], DIM) for y in range(k)], axis=1) * weight + decay * weight * self.weights
-            m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
-            self.weights -= (rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-9)).astype(np.float32)
-            # Transitions: expected moves by the posterior's neighbours against those seen.
-            expected = np.einsum("nk,nj->kj", post[later - 1], post[later])
-            self.transition -= 0.5 * np.clip((expected - gold_moves) / max(1, len(later)) * 4, -1, 1)
-            self.start -= 0.1 * np.clip(post[starts].mean(axis=0) - np.bincount(gold[starts], minlength=k) / len(starts), -1, 1)
+            up_weights = np.stack([np.bincount(slots, spread[:, y], DIM) for y in range(k)], axis=1)
+            for value, up, (m, v) in zip((self.weights, self.transition, self.start), (up_weights, up_moves, up_start), moments, strict=True):
+                down = decay * weight * value - up * weight
+                m += 0.1 * (down - m)
+                v += 0.01 * (down**2 - v)
+                value -= (rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-9)).astype(value.dtype)
         return self
 
 
-def spread(words: list[str], most: int = FIT_WORDS, block: int = 16) -> list[str]:
-    """``most`` words in blocks of ``block``, the first from the start, the last from the end and the others evenly between."""
-    if len(words) <= most:
-        return words
-    n = most // block
-    return [w for k in range(n) for w in words[k * (len(words) - block) // (n - 1) :][:block]]
-
-
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_DOCS) -> ChainField:
-    """Fit on spread words of at most ``most`` documents of the learning folds that have a language."""
+    """Fit on the whole texts of at most ``most`` documents of the learning folds that have a language."""
     bounded_batches(docs.sparkSession)
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL").dropDuplicates(["doc_id"])
     chosen = sampled(labelled, "doc_id", most)
@@ -230,10 +240,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
-            chains = []
-            for t in step.column(2).to_pylist():
-                own = [w for w in words_of(t) if has_letter(w)]
-                chains.append(spread(own))
+            chains = [[w for w in words_of(t) if has_letter(w)] for t in step.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([step.column(0), step.column(1), pa.array(chains, pa.list_(pa.string()))], names=["doc_id", "lang", "words"])
 
     rows = sorted((r for r in texts.mapInArrow(run, "doc_id long, lang string, words array<string>").collect() if r.words), key=lambda r: (r.doc_id, r.words))
@@ -277,7 +284,13 @@ def identify(docs: DataFrame, field: ChainField, *, id_col: str = "doc_id", text
 
 
 def keep_known(docs: DataFrame, field: ChainField, *, certain: float, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a language with a mean posterior of ``certain`` or more, judged in one pass without a join."""
+    """The rows whose text has a language with a mean posterior of ``certain`` or more, judged in one pass without a join.
+
+    Null and empty texts, those without a letter, and all texts where no
+    language was learned, go. Whole texts are judged, whatever their length;
+    equal rows are kept or go alike; all columns come back as they were,
+    whatever their names; an empty table stays empty.
+    """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     place = docs.columns.index(text_col)
