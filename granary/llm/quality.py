@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import WordCache, bounded_batches, claim, fold_held_out, steps
@@ -24,6 +25,8 @@ _HELD: dict[str, WordCache] = {}
 
 _CLASS = bytes(ord("A") if 0x41 <= b <= 0x5A else ord("0") if 0x30 <= b <= 0x39 else ord("a") if 0x61 <= b <= 0x7A or b >= 0x80 else b for b in range(256))
 
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+
 
 def _slot(data: bytes) -> int:
     return STATS_SLOTS + zlib.crc32(data) % (DIM - STATS_SLOTS)
@@ -31,11 +34,7 @@ def _slot(data: bytes) -> int:
 
 def _shape(word: bytes) -> bytes:
     """The word with runs of letters, capitals and digits cut to one."""
-    out = bytearray()
-    for c in word[:64].translate(_CLASS):
-        if not out or out[-1] != c:
-            out.append(c)
-    return bytes(out)
+    return _RUNS.sub(rb"\1", word.translate(_CLASS))
 
 
 def _word_slots(words: list[bytes]) -> tuple[list[int], list[int]]:
@@ -63,11 +62,19 @@ def structure(text: bytes, n_words: int, n_unique: int, n_repeats: int) -> list[
     ]
 
 
+#: Of the text; after them come the bins of the stated size, and one slot for rows that state none.
 N_STATS = 13
 
 
-def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, slots and values of the texts' non-zero features, by row."""
+def size_slots(stated: np.ndarray) -> np.ndarray:
+    """The metadata feature's slot of each row: the logarithm of the stated number of characters, in bins; NaN is none."""
+    known = stated >= 0
+    bins = np.clip(np.log2(1 + np.where(known, stated, 0)) / 20 * BINS, 0, BINS - 1).astype(np.int64)
+    return N_STATS * BINS + np.where(known, bins, BINS)
+
+
+def features(texts: list[bytes | None], stated: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, slots and values of the texts' non-zero features, by row; ``stated`` is the metadata's number of characters."""
     cache = _cache()
     words: list[bytes] = []
     counts = np.zeros(len(texts), np.int64)
@@ -88,9 +95,10 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     unique = np.bincount(np.unique(row_of_word * (len(cache.number) + 1) + numbers) // (len(cache.number) + 1), minlength=len(texts))
     stats = np.array([structure(t or b"", int(n), int(u), int(r)) for t, n, u, r in zip(texts, counts, unique, repeats, strict=True)]).reshape(len(texts), N_STATS)
     bins = np.arange(N_STATS) * BINS + np.clip((stats * BINS).astype(np.int64), 0, BINS - 1)
-    rows = np.concatenate([rows, np.repeat(np.arange(len(texts)), N_STATS)])
+    bins = np.concatenate([bins, size_slots(np.full(len(texts), np.nan) if stated is None else stated)[:, None]], axis=1)
+    rows = np.concatenate([rows, np.repeat(np.arange(len(texts)), N_STATS + 1)])
     slot = np.concatenate([slot, bins.ravel()])
-    value = np.concatenate([value, np.full(bins.size, 1 / math.sqrt(N_STATS))])
+    value = np.concatenate([value, np.full(bins.size, 1 / math.sqrt(N_STATS + 1))])
     order = np.argsort(rows, kind="stable")
     return rows[order], slot[order], value[order].astype(np.float32)
 
@@ -111,8 +119,8 @@ class FactorisationMachine:
         linear = np.add.reduceat(self.w[slots] * values, at)
         return self.bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
-    def score(self, texts: list[bytes | None]) -> np.ndarray:
-        rows, slots, values = features(texts)
+    def score(self, texts: list[bytes | None], stated: np.ndarray | None = None) -> np.ndarray:
+        rows, slots, values = features(texts, stated)
         z, _ = self.raw(rows, slots, values, len(texts))
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
@@ -147,16 +155,25 @@ class FactorisationMachine:
         return self
 
 
-def learning_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
+def _size(docs: DataFrame, size_col: str | None) -> Column:
+    """The stated size as a double; null where there is no such column or no number in it."""
+    return F.col(size_col).cast("string").try_cast("double") if size_col in docs.columns else F.lit(None).cast("double")
+
+
+def _stated(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.float64)
+
+
+def learning_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, size_col: str | None, most: int) -> DataFrame:
     """Features of a bounded sample of labelled documents of the learning folds (at most ``most`` labels)."""
     bounded_batches(docs.sparkSession)
     chosen = sampled(labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")), "doc_id", most)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), _size(docs, size_col).alias("size")).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text", "size")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim(_cache())
         for step in steps(batches, "text"):
-            rows, slots, values = features(step.column(2).to_pylist())
+            rows, slots, values = features(step.column(2).to_pylist(), _stated(step.column(3)))
             at = np.searchsorted(rows, np.arange(step.num_rows + 1))
             cells = [(slots[a:b].astype("<u4").tobytes(), values[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([step.column(0), step.column(1), pa.array([c[0] for c in cells], pa.binary()), pa.array([c[1] for c in cells], pa.binary())], names=["doc_id", "label", "slots", "vals"])
@@ -164,17 +181,18 @@ def learning_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     return texts.mapInArrow(run, "doc_id long, label int, slots binary, vals binary")
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MAX_ROWS) -> FactorisationMachine:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", size_col: str | None = "n_chars", most: int = MAX_ROWS) -> FactorisationMachine:
     """Fit on at most ``most`` labelled documents; only their features come to the driver."""
-    rows = sorted(learning_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, most=most).collect(), key=lambda r: (r.doc_id, bytes(r.slots)))
+    rows = sorted(learning_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, size_col=size_col, most=most).collect(), key=lambda r: (r.doc_id, bytes(r.slots)))
     data = [(np.frombuffer(r.slots, "<u4").astype(np.int64), np.frombuffer(r.vals, np.float32)) for r in rows]
     return FactorisationMachine().fit(data, np.array([r.label for r in rows], np.float32))
 
 
-def score_quality(docs: DataFrame, model: FactorisationMachine, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row, from its whole text alone.
+def score_quality(docs: DataFrame, model: FactorisationMachine, *, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars", threshold: float = 0.7) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row, from its whole text and the size that its metadata states.
 
-    Null and empty texts are scored by their (empty) structure; repeated rows
+    Null and empty texts are scored by their (empty) structure, and a missing
+    or odd stated size has a feature of its own; repeated rows
     give repeated rows; a null id stays null and counts as not held out; empty
     tables give none; other columns are ignored.
     """
@@ -184,7 +202,7 @@ def score_quality(docs: DataFrame, model: FactorisationMachine, *, id_col: str =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim(_cache())
         for step in steps(batches, "text", 2 << 20):
-            yield pa.RecordBatch.from_arrays([step.column(0), pa.array(shared.value.score(step.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([step.column(0), pa.array(shared.value.score(step.column(1).to_pylist(), _stated(step.column(2))), pa.float64())], names=["doc_id", "score"])
 
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, score double")
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), _size(docs, size_col).alias("size")).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", fold_held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
