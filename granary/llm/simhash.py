@@ -15,8 +15,14 @@ from granary.llm.common import bounded_batches, claim, connected_components, ste
 from granary.session import materialize
 
 SHINGLE_STEP = 1 << 15
-#: Rows at most of a shard before it is cut into blocks.
-SHARD_ROWS = 200_000
+#: Rows at most of a shard before it is cut into blocks, which only a dense group of that size does.
+SHARD_ROWS = 4_000_000
+#: Shards at least, and fingerprints that a shard is home to where there would be more in that many.
+SHARDS, HOME_ROWS = 64, 1 << 18
+#: Fingerprints of which the tree is grown at most, and for each leaf.
+SAMPLE, LEAF_SAMPLE = 1 << 17, 128
+#: Fingerprints that go down the tree together.
+ROUTE_ROWS = 1 << 16
 LOCAL_LEAF = 192
 QUERY_STEP = 8192
 
@@ -106,6 +112,19 @@ class VantageTree:
             stack.append((outside, which[far], (home & (d > median))[far]))
 
 
+def _joined(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows`` or more, but for the last."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
+
+
 def link_shard(points: np.ndarray, home: np.ndarray, query: np.ndarray, radius: int) -> np.ndarray:
     """For each point the smallest index that it is linked to, over links between a query point and a home point."""
     n = len(points)
@@ -149,16 +168,18 @@ def link_shard(points: np.ndarray, home: np.ndarray, query: np.ndarray, radius:
     return root
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, sample: int = 8192, leaf_rows: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, shards: int = SHARDS, home_rows: int = HOME_ROWS, least: int = 4096) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; see ``fingerprints`` for the text's part.
 
     Fingerprints at ``radius`` or fewer differing bits link; component_id is
-    the smallest doc_id reached. All distinct fingerprints are sharded by a
-    vantage-point tree grown on a bounded sample (``sample`` of them, by hash
-    order), sent also to every shard that their ball touches, and searched
-    there by a local tree. A shard answers with one link per fingerprint to its
-    local component, never with pairs. Shards over SHARD_ROWS rows, which a
-    dense group makes, are cut into blocks.
+    the smallest doc_id reached. From ``least`` distinct fingerprints on, all
+    are sharded by a vantage-point tree grown on a bounded sample (at most
+    SAMPLE of them, by hash order), sent also to every shard that their ball
+    touches, and searched there by a local tree. There are ``shards`` leaves, and
+    more only where each would be home to over ``home_rows`` fingerprints, so
+    that copies at borders don't multiply as the corpus grows. A shard answers
+    with one link per fingerprint to its local component, never with pairs.
+    Shards over SHARD_ROWS rows, which a dense group makes, are cut into blocks.
 
     Null and empty texts have fingerprint 0 and link like any other. Rows that
     share a doc_id are one node. A null doc_id takes the component of its
@@ -169,18 +190,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     own = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "simhash-fp")
     reps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
     total = reps.count()
-    some = [r.fp for r in reps.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if total > leaf_rows else []
-    tree = spark.sparkContext.broadcast(VantageTree(np.array(some, np.int64).view(np.uint64), min(-(-total // leaf_rows), sample // 4)))
+    leaves = min(max(shards, -(-total // home_rows)), SAMPLE // 4) if total >= least else 1
+    some = [r.fp for r in reps.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE, leaves * LEAF_SAMPLE)).collect()] if leaves > 1 else []
+    tree = spark.sparkContext.broadcast(VantageTree(np.array(some, np.int64).view(np.uint64), leaves))
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _joined(batches, ROUTE_ROWS):
             points = batch.column(0).to_numpy(zero_copy_only=False)
             for leaf, which, home in tree.value.route(points.view(np.uint64), radius):
                 at = pa.array(which)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(which), leaf, np.int32)), batch.column(0).take(at), batch.column(1).take(at), pa.array(home)], names=["leaf", "fp", "rep", "home"])
 
     routed = materialize(reps.where("rep IS NOT NULL").mapInArrow(route, "leaf int, fp long, rep long, home boolean"), "simhash-routed")
-    large = routed.groupBy("leaf").count().where(F.col("count") > SHARD_ROWS).collect()  # at most sample/4 leaves
+    large = routed.groupBy("leaf").count().where(F.col("count") > SHARD_ROWS).collect()  # at most SAMPLE / 4 leaves
     dealt = routed.select("leaf", F.lit(0).alias("b"), F.lit(0).alias("q"), "fp", "rep", "home", F.lit(True).alias("query"))
     if large:
         blocks = F.create_map(*[F.lit(x) for r in large for x in (r.leaf, -(-r["count"] // SHARD_ROWS))])
@@ -197,15 +219,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return pd.DataFrame({"src": rep[moved], "dst": rep[root[moved]]})
 
     links = dealt.groupBy("leaf", "b", "q").applyInPandas(search, "src long, dst long")
+    # A doc_id of several texts joins the groups of all of them.
+    several = own.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("doc_id")
+    links = links.unionByName(own.join(several, "doc_id").join(reps, "fp").where("doc_id <> rep").selectExpr("doc_id AS src", "rep AS dst"))
     components = connected_components(links, "simhash")
     named = materialize(reps.join(components, reps.rep == components.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "simhash-named")
     out = own.join(named, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents whose id is the smallest of their group; rows with a null id stay."""
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = materialize(gone, "simhash-gone")
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
