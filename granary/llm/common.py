@@ -27,6 +27,26 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+#: Bytes of input, by Spark's estimate, that a partition is to stand for.
+PARTITION_BYTES = 128 << 20
+
+
+def partitions_of(df: DataFrame) -> int:
+    """Shuffle partitions for work on ``df``: the session's number, or more where the tables that it reads are large."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    size = sum(x for x in sizes if x < 1 << 60)  # others are rows in memory, whose size Spark doesn't know
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold_held_out(id_col: str) -> Column:
     """True for rows of the held-out fold; a null id belongs to none."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

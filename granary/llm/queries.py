@@ -36,7 +36,7 @@ def op2_quality(spark, sf_dir):
 
 @query
 def op3_paragraphs(spark, sf_dir):
-    return substring.remove_passages(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return substring.remove_passages(_read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=substring.PASSAGE_WORDS)
 
 
 @query

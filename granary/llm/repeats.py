@@ -13,7 +13,6 @@ another content, so that what must be compared further can be told from copies.
 
 from __future__ import annotations
 
-import gc
 import struct
 from collections.abc import Callable, Iterable, Iterator
 
@@ -29,9 +28,12 @@ from granary.session import materialize
 STEP = 6 << 20
 #: Stands for a null id, before all others.
 NO_ID = -(1 << 63)
-#: A key counts as hot from this number of places on, or from the share that leaves at most MAX_HOT of them.
+#: A key counts as hot from this number of places (with contents: of distinct contents) on, or from the share that
+#: leaves at most MAX_HOT of them: 32 MB with their numbers, however large the corpus.
 HOT_PLACES = 512
-MAX_HOT = 1 << 18
+MAX_HOT = 1 << 21
+#: Places go as 32 bits, of which two are taken for marks.
+MAX_TEXT = 1 << 30
 FLAGGED = "part int, entries binary, hot_key long, hot_count long"
 DEALT = "part int, entries binary"
 
@@ -46,12 +48,6 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("tie"), text.alias("text"))
 
 
-def release(df: DataFrame) -> None:
-    """Let Spark drop shuffle files that nothing refers to any more."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def _pack(docs: np.ndarray, ties: np.ndarray, owner: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray, contents: np.ndarray | None) -> bytes:
     """Entries with the documents they name."""
     used, local = np.unique(owner, return_inverse=True)
@@ -76,8 +72,10 @@ def _send(find: Find, n_parts: int, step_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
         for step in steps(batches, "text", step_bytes):
-            docs, ties = step.column(0).to_numpy(), step.column(1).to_numpy()
-            owner, places, keys, contents = find(step.column(2).to_pylist())
+            docs, ties, texts = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist()
+            if max(map(len, texts)) >= MAX_TEXT:
+                raise ValueError(f"a text of {MAX_TEXT} bytes or more can't be searched for repeats")
+            owner, places, keys, contents = find(texts)
             order = np.argsort(keys, kind="stable") if contents is None else np.lexsort((contents, keys))
             owner, places, keys = owner[order], places[order], keys[order]
             contents = None if contents is None else contents[order]
@@ -113,7 +111,7 @@ def _send(find: Find, n_parts: int, step_bytes: int):
     return run
 
 
-def _decide(hot_places: int, n_parts: int):
+def _decide(hot_places: int, n_parts: int, with_contents: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
         entries, known = [], []
@@ -133,11 +131,15 @@ def _decide(hot_places: int, n_parts: int):
             total = np.add.reduceat(counts[order].astype(np.int64), begin)
             size = np.diff(np.append(begin, len(keys)))
             mixed = contents[begin] != contents[begin + size - 1]
+            if with_contents:
+                total_of = np.add.reduceat(np.concatenate([[1], (contents[1:] != contents[:-1]) | (keys[1:] != keys[:-1])]).astype(np.int64), begin)
+            else:
+                total_of = total
             keep = np.repeat(total > 1, size)
             flagged = order[keep]
             found.append((docs[owner[flagged]], ties[owner[flagged]], places[flagged].astype(np.int64) * 2 + np.repeat(mixed, size)[keep]))
-            hot = total >= hot_places
-            hot_keys, hot_counts = keys[begin][hot], total[hot]
+            hot = total_of >= hot_places
+            hot_keys, hot_counts = keys[begin][hot], total_of[hot]
         found += [(k[0][k[2]], k[1][k[2]], k[3].astype(np.int64) * 2) for k in known]
         if found:
             docs, ties, places = (np.concatenate([f[i] for f in found]) for i in range(3))
@@ -195,24 +197,22 @@ def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([table["doc"].combine_chunks().take(pa.array(begin)), table["tie"].combine_chunks().take(pa.array(begin)), pa.array(blobs, pa.binary())], names=["doc", "tie", "places"])
 
 
-def find_repeats(texts: DataFrame, find: Find, label: str, *, hot_places: int = HOT_PLACES, step_bytes: int = STEP) -> tuple[DataFrame, np.ndarray]:
-    """Per document of ``texts`` (doc, tie, text) the places whose keys repeat, and the hot keys.
+def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Per document of ``texts`` (doc, tie, text) the places whose keys repeat; the hot keys, sorted, and their numbers.
 
     ``places`` are u4: twice the place, and one more if its key has other contents.
 
-    Hot keys are those of ``hot_places`` places or more, of which at most MAX_HOT
-    are named: the bar rises with the corpus, so what is broadcast doesn't.
+    Hot keys are those of ``hot_places`` places or more (``with_contents``: of
+    distinct contents), of which at most MAX_HOT are named: the bar rises with
+    the corpus, so what is broadcast doesn't.
     """
-    spark = texts.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sent = texts.mapInArrow(_send(find, n_parts, step_bytes), "part int, entries binary, known binary")
-    found = materialize(sent.repartitionById(n_parts, F.col("part")).mapInArrow(_decide(hot_places, n_parts), FLAGGED), f"{label}-flagged")
-    release(found)
+    found = materialize(sent.repartitionById(n_parts, F.col("part")).mapInArrow(_decide(hot_places, n_parts, with_contents), FLAGGED), f"{label}-flagged")
     hot = found.where("hot_key IS NOT NULL").groupBy("hot_key").agg(F.sum("hot_count").alias("n"))
     total = hot.agg(F.sum("n")).first()[0] or 0
-    keys = [r.hot_key for r in hot.where(F.col("n") >= max(hot_places, total // MAX_HOT)).collect()]
+    named = sorted((r.hot_key & (1 << 64) - 1, r.n) for r in hot.where(F.col("n") >= max(hot_places, total // MAX_HOT)).collect())
     merged = found.where("part IS NOT NULL").select("part", "entries").repartitionById(n_parts, F.col("part")).mapInArrow(_places, "doc long, tie int, places binary")
-    return merged, np.sort(np.array(keys, np.int64).view(np.uint64))
+    return merged, np.array([k for k, _ in named], np.uint64), np.array([n for _, n in named], np.int64)
 
 
 def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

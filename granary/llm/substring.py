@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import suffix
-from granary.llm.common import claim, connected_components, steps
+from granary.llm.common import claim, connected_components, fresh, partitions_of, steps
 from granary.llm.decontaminate import WORD_BYTES
-from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, release, spans_by_document, undeal, unpack_spans
+from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, undeal, unpack_spans
 from granary.session import materialize
 
 WORDS = 5
@@ -31,8 +31,10 @@ SIMILAR = 0.8
 #: gives few false meetings, and 0.8-similar paragraphs meet in 0.998 and 0.992 of cases.
 BANDS = {0: (4, 1), 1: (3, 1)}
 MOST = max(b for b, _ in BANDS.values())
-#: Removed runs have at least so many words; shorter lines are common phrases rather than passages.
-MIN_WORDS = 15
+#: For corpora in which shorter lines are phrases that clean texts share too: the least words of a run that goes.
+PASSAGE_WORDS = 15
+#: Contents of a band's key that are compared with each other in one place.
+BLOCK = 1024
 #: Words of a run that goes wherever it begins and ends, if all of it stood earlier.
 RUN_WORDS = 50
 CODE_BYTES = 2
@@ -75,7 +77,7 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 class Paragraphs:
-    """The paragraphs of some texts that have at least WORDS words: text, kind, byte range, content id, keys and shingles."""
+    """The paragraphs of some texts that have at least WORDS words: text, kind, byte range, content id (two hashes), keys and shingles."""
 
     def __init__(self, texts: list[bytes]):
         with np.errstate(over="ignore"):
@@ -104,7 +106,9 @@ class Paragraphs:
             place = np.repeat(head - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
             within = place - np.repeat(head, count)
             starts = np.cumsum(count) - count
-            content = _mix(np.add.reduceat(_mix(word[place] + U(kind + 1) + within.astype(U) * U(0x9E3779B97F4A7C15)), starts) + count.astype(U))
+            placed = word[place] + U(kind + 1) + within.astype(U) * U(0x9E3779B97F4A7C15)
+            content = _mix(np.add.reduceat(_mix(placed), starts) + count.astype(U))
+            check = _mix(np.add.reduceat(_mix(placed ^ U(0xD1342543DE82EF95)), starts) ^ count.astype(U))
             n_shingles = count - WORDS + 1
             at = np.repeat(head - (np.cumsum(n_shingles) - n_shingles), n_shingles) + np.arange(int(n_shingles.sum()))
             own, cuts = shingle[at], np.cumsum(n_shingles) - n_shingles
@@ -117,18 +121,18 @@ class Paragraphs:
                     key = _mix(key * U(_FACTOR) + np.minimum.reduceat(_mix(own ^ seed), cuts))
                 keys.append(key)
             text = np.searchsorted(begin, first[head], side="right") - 1
-            parts.append((text, np.full(len(head), kind), first[head] - begin[text], last[head + count - 1] - begin[text], content, np.stack(keys + [keys[0]] * (MOST - bands), axis=1), head, n_shingles))
+            parts.append((text, np.full(len(head), kind), first[head] - begin[text], last[head + count - 1] - begin[text], content, np.stack(keys + [keys[0]] * (MOST - bands), axis=1), head, n_shingles, check))
         self.shingle = shingle
-        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros((0, MOST) if i == 5 else 0, U if i in (4, 5) else np.int64) for i in range(8)]
-        self.text, self.kind, self.start, self.end, self.content, self.keys, self._head, self._n = columns
+        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros((0, MOST) if i == 5 else 0, U if i in (4, 5, 8) else np.int64) for i in range(9)]
+        self.text, self.kind, self.start, self.end, self.content, self.keys, self._head, self._n, self.check = columns
         self.place = self.start * 2 + self.kind
 
     def __len__(self) -> int:
         return len(self.text)
 
     def shingles(self, i: int) -> np.ndarray:
-        """The distinct shingles of a paragraph, sorted, as 32 bits of their hashes."""
-        return np.unique((self.shingle[self._head[i] : self._head[i] + self._n[i]] >> U(32)).astype("<u4"))
+        """The hashes of a paragraph's distinct shingles, sorted."""
+        return np.unique(self.shingle[self._head[i] : self._head[i] + self._n[i]])
 
 
 def _groups(texts: list[bytes]) -> Iterator[tuple[int, Paragraphs]]:
@@ -156,39 +160,50 @@ def find_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return np.concatenate(text), np.concatenate(place), np.concatenate(key), np.concatenate(content)
 
 
-BUCKET = [("key", pa.uint64()), ("content", pa.uint64()), ("shingles", pa.binary()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.uint32()), ("end", pa.uint32())]
+BUCKET = [("key", pa.uint64()), ("content", pa.uint64()), ("check", pa.uint64()), ("shingles", pa.binary()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.uint32()), ("end", pa.uint32())]
 #: Rows of ``kind``: 0 a paragraph in a bucket, 1 the first place of a content in a step, 2 a range that goes already.
 MEMBER, FIRST, GONE = 0, 1, 2
 
 
-def _collide(n_parts: int):
+def buckets_of(key: int, content: int, blocks: int) -> list[int]:
+    """Where a content meets the others of its band's key: in one place, or in one for each two blocks of a hot key's contents."""
+    if blocks < 2:
+        return [key]
+    own = content % blocks
+    cells = ((min(own, other), max(own, other)) for other in range(blocks) if other != own)
+    return [int.from_bytes(hashlib.blake2b(b"%d %d %d" % (key, i, j), digest_size=8).digest(), "little") for i, j in cells]
+
+
+def _collide(n_parts: int, hot):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
+        blocks = dict(zip(*(x.tolist() for x in hot.value), strict=True))
         for step in steps(batches, "text", 8 << 20):
             docs, ties, texts, blobs = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist(), step.column(3).to_pylist()
             by = np.lexsort((ties, docs))
             docs, ties, texts = docs[by], ties[by], [texts[i] for i in by]
             told = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(blobs[i], "<u4").astype(np.int64) + (k << 34) for k, i in enumerate(by.tolist())]])
             wanted, mixed = np.unique(told >> 1), told[told & 1 == 1] >> 1
-            sent: set[int] = set()
-            seen: dict[int, tuple] = {}
+            sent: set[tuple] = set()
+            seen: dict[tuple, tuple] = {}
             rows: list[tuple] = []
             for shift, p in _groups(texts):
                 name = p.place + (p.text + shift << 33)
                 compared = np.isin(name, mixed)
                 for i in np.flatnonzero(np.isin(name, wanted)).tolist():
                     k = int(p.text[i]) + shift
-                    own, content = (int(docs[k]), int(ties[k]), int(p.start[i]), int(p.end[i])), int(p.content[i])
+                    own, content = (int(docs[k]), int(ties[k]), int(p.start[i]), int(p.end[i])), (int(p.content[i]), int(p.check[i]))
                     before = seen.get(content)
                     if before is None:
                         seen[content] = own
-                        rows.append((FIRST, content % n_parts, 0, content, None, *own))
+                        rows.append((FIRST, content[0] % n_parts, 0, *content, None, *own))
                     elif before != own:
-                        rows.append((GONE, (own[0] * 31 + own[1]) % n_parts, 0, 0, None, *own))
+                        rows.append((GONE, (own[0] * 31 + own[1]) % n_parts, 0, 0, 0, None, *own))
                     if compared[i] and content not in sent:
                         sent.add(content)
                         shingles = p.shingles(i).tobytes()
-                        rows += [(MEMBER, key % n_parts, key, content, shingles, None, None, None, None) for key in set(p.keys[i].tolist())]
+                        for key in set(p.keys[i].tolist()):
+                            rows += [(MEMBER, b % n_parts, b, *content, shingles, None, None, None, None) for b in buckets_of(key, content[0], blocks.get(key, 1))]
             if rows:
                 kind, part, *columns = zip(*rows, strict=True)
                 table = pa.table([pa.array(kind, pa.int8()), *[pa.array(c, t) for c, (_, t) in zip(columns, BUCKET, strict=True)]], names=["kind", *[n for n, _ in BUCKET]])
@@ -271,26 +286,26 @@ def _judge(n_parts: int, similar: float):
             return
         kind = table["kind"].to_numpy()
         members = table.filter(pa.array(kind == MEMBER))
-        key, content = members["key"].to_numpy(), members["content"].to_numpy()
-        order = np.lexsort((content, key))
-        links: set[tuple[int, int]] = set()
+        key, content, check = (members[n].to_numpy() for n in ("key", "content", "check"))
+        order = np.lexsort((check, content, key))
+        links: set[tuple[int, int, int, int]] = set()
         if len(order):
-            key, content = key[order], content[order]
-            keep = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1])])
-            order, key, content = order[keep], key[keep], content[keep]
+            key, content, check = key[order], content[order], check[order]
+            keep = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1]) | (check[1:] != check[:-1])])
+            order, key, content, check = order[keep], key[keep], content[keep], check[keep]
             begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             size = np.diff(np.append(begin, len(key)))
             some = size > 1
             for a, n in zip(begin[some].tolist(), size[some].tolist(), strict=True):
-                sets = [np.frombuffer(x, "<u4") for x in members["shingles"].take(pa.array(order[a : a + n])).to_pylist()]
-                links.update((int(content[a + i]), int(content[a + j])) for i, j in link_sets(sets, similar))
+                sets = [np.frombuffer(x, "<u8") for x in members["shingles"].take(pa.array(order[a : a + n])).to_pylist()]
+                links.update((int(content[a + i]), int(check[a + i]), int(content[a + j]), int(check[a + j])) for i, j in link_sets(sets, similar))
         if links:
             pairs = np.array(sorted(links), U).view(np.int64)
-            yield _found(len(pairs), src=pa.array(pairs[:, 0]), dst=pa.array(pairs[:, 1]))
+            yield _found(len(pairs), **{n: pa.array(pairs[:, i]) for i, n in enumerate(("content", "check", "other", "other_check"))})
         firsts = table.filter(pa.array(kind == FIRST))
         if firsts.num_rows:
-            columns = [firsts["content"].to_numpy().view(np.int64), *(firsts[n].to_numpy().astype(np.int64) for n in ("doc", "tie", "start", "end"))]
-            yield _found(firsts.num_rows, **{n: pa.array(c, pa.int32() if n == "tie" else pa.int64()) for n, c in zip(("content", "doc", "tie", "start", "end"), columns, strict=True)})
+            columns = [*(firsts[n].to_numpy().view(np.int64) for n in ("content", "check")), *(firsts[n].to_numpy().astype(np.int64) for n in ("doc", "tie", "start", "end"))]
+            yield _found(firsts.num_rows, **{n: pa.array(c, pa.int32() if n == "tie" else pa.int64()) for n, c in zip(("content", "check", "doc", "tie", "start", "end"), columns, strict=True)})
         gone = table.filter(pa.array(kind == GONE))
         if gone.num_rows:
             for batch in deal_spans(*(gone[n].to_numpy().astype(np.int64) for n in ("doc", "tie", "start", "end")), n_parts):
@@ -299,37 +314,45 @@ def _judge(n_parts: int, similar: float):
     return run
 
 
-FOUND = "src long, dst long, content long, doc long, tie int, start long, end long, part int, entries binary"
-_FOUND_TYPES = {"src": pa.int64(), "dst": pa.int64(), "content": pa.int64(), "doc": pa.int64(), "tie": pa.int32(), "start": pa.int64(), "end": pa.int64(), "part": pa.int32(), "entries": pa.binary()}
+FOUND = "content long, check long, other long, other_check long, doc long, tie int, start long, end long, part int, entries binary"
+_FOUND_TYPES = {"content": pa.int64(), "check": pa.int64(), "other": pa.int64(), "other_check": pa.int64(), "doc": pa.int64(), "tie": pa.int32(), "start": pa.int64(), "end": pa.int64(), "part": pa.int32(), "entries": pa.binary()}
 
 
 def _found(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(n, t)) for name, t in _FOUND_TYPES.items()], names=list(_FOUND_TYPES))
 
 
-def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, **limits) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, block: int = BLOCK, **limits) -> DataFrame:
     """(doc, tie, spans): the byte ranges of paragraphs that are not the first of their component.
 
-    Paragraphs of the same words are one content; contents link where bands
-    collide and their five-word shingles have an exact Jaccard similarity of
-    ``similar`` or more. What stays is each component's first place by id and
-    position. A step of a task sends each content on once, however often it
-    holds it, so a passage in a third of all documents isn't gathered anywhere.
+    Paragraphs of the same words are one content, known by 128 bits of hashes;
+    contents link where bands collide and the Jaccard similarity of their
+    five-word shingles is ``similar`` or more. What stays is each component's
+    first place by id and position. A step of a task sends each content on
+    once, however often it holds it, so a passage in a third of all documents
+    isn't gathered anywhere; a band's key of over ``block`` contents is compared
+    in as many places as it has pairs of blocks, so none is held whole.
     """
-    spark = docs.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = partitions_of(docs)
     texts = keyed(docs, id_col, text_col)
-    flagged, _ = find_repeats(texts, find_keys, "paragraph", **limits)
-    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_collide(n_parts), DEALT)
+    flagged, keys, counts = find_repeats(texts, find_keys, "paragraph", with_contents=True, n_parts=n_parts, hot_places=block + 1, **limits)
+    hot = docs.sparkSession.sparkContext.broadcast((keys, -(-counts // block)))
+    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_collide(n_parts, hot), DEALT)
     found = materialize(rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(n_parts, similar), FOUND), "paragraph-found")
-    release(found)
-    components = connected_components(found.where("src IS NOT NULL").select("src", "dst"), "paragraph")
-    firsts = found.where("content IS NOT NULL").select("content", F.struct("doc", "tie", "start", "end").alias("own"))
-    heads = firsts.groupBy("content").agg(F.min("own").alias("own"))
-    grouped = materialize(heads.join(components, heads.content == components.node, "left").select("content", F.coalesce("component", "content").alias("component"), "own"), "paragraph-contents")
-    keepers = materialize(grouped.groupBy("component").agg(F.min("own").alias("keeper")), "paragraph-keepers")
-    kept = materialize(grouped.join(keepers, "component").select("content", "keeper"), "paragraph-kept")
-    gone = firsts.join(kept, "content").where("own <> keeper").select("own.doc", "own.tie", "own.start", "own.end")
+    # Contents that link get a number of their own, as a component's node is one long.
+    links = found.where("other IS NOT NULL").select("content", "check", "other", "other_check")
+    ends = links.select("content", "check").unionByName(links.selectExpr("other AS content", "other_check AS check")).distinct()
+    numbers = materialize(ends.withColumn("node", F.monotonically_increasing_id()), "paragraph-nodes")
+    others = numbers.selectExpr("content AS other", "check AS other_check", "node AS dst")
+    components = connected_components(links.join(numbers, ["content", "check"]).join(others, ["other", "other_check"]).selectExpr("node AS src", "dst"), "paragraph")
+    linked = numbers.join(components, "node", "left").select("content", "check", F.coalesce("component", "node").alias("component"))
+    firsts = found.where("doc IS NOT NULL").select("content", "check", F.struct("doc", "tie", "start", "end").alias("own"))
+    heads = firsts.groupBy("content", "check").agg(F.min("own").alias("own"))
+    grouped = materialize(heads.join(linked, ["content", "check"], "left"), "paragraph-contents")
+    keepers = materialize(grouped.where("component IS NOT NULL").groupBy("component").agg(F.min("own").alias("keeper")), "paragraph-keepers")
+    kept = grouped.join(keepers, "component", "left").select("content", "check", F.coalesce("keeper", "own").alias("keeper"))
+    kept = materialize(kept, "paragraph-kept")
+    gone = firsts.join(kept, ["content", "check"]).where("own <> keeper").select("own.doc", "own.tie", "own.start", "own.end")
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -396,25 +419,33 @@ def remove_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return remove_paragraphs(docs, id_col=id_col, text_col=text_col, runs=repeated_runs(docs, id_col=id_col, text_col=text_col), **options)
 
 
-def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, min_words: int = MIN_WORDS, runs: DataFrame | None = None, **limits) -> DataFrame:
+def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, min_words: int = WORDS, runs: DataFrame | None = None, **limits) -> DataFrame:
     """All columns of ``docs`` with repeated passages cut out of the text, and n_removed (bytes) and n_spans.
 
+    Paragraphs have WORDS words, a shingle's, or more; all that aren't the first
+    of their component go. With a larger ``min_words`` only runs of neighbouring
+    repeated paragraphs go that hold so many words in all.
+
     A text without a repeat, or null, comes back as it is. Rows that repeat id
     and text are one document and are cut alike; rows of one id with different
-    texts are ordered by a hash of the text; null ids come first. Empty tables
-    give no rows. Columns named n_removed or n_spans in the input are replaced.
-    Ranges of ``runs`` (see ``repeated_runs``) are cut too.
+    texts are ordered by a hash of the text; null ids come first. Texts may be
+    of any length below a GiB, beyond which the query fails. Empty tables give
+    no rows. Columns named n_removed or n_spans in the input are replaced; all
+    others come back, whatever their names. Ranges of ``runs`` (see
+    ``repeated_runs``) are cut too.
     """
     spans = repeated_paragraphs(docs, id_col=id_col, text_col=text_col, similar=similar, **limits)
     runs = runs if runs is not None else spans.where("1 = 0")
     spans = spans.join(runs.withColumnRenamed("spans", "runs").hint("shuffle_merge"), ["doc", "tie"], "full")
-    spans = spans.select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"), F.col("runs").alias("__runs"))
+    docs = docs.drop("n_removed", "n_spans")
+    own = {name: fresh(docs, name) for name in ("doc", "tie", "spans", "runs")}
+    spans = spans.select(*[F.col(name).alias(alias) for name, alias in own.items()])
     doc = F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID))
     tie = F.hash(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")))
-    joined = docs.join(spans.hint("shuffle_merge"), (doc == spans["__doc"]) & (tie == spans["__tie"]), "left").drop("__doc", "__tie", "n_removed", "n_spans")
+    joined = docs.join(spans.hint("shuffle_merge"), (doc == spans[own["doc"]]) & (tie == spans[own["tie"]]), "left").drop(own["doc"], own["tie"])
     names = joined.columns
-    place, spans_at, runs_at = names.index(text_col), names.index("__spans"), names.index("__runs")
-    rest = [f for f in joined.schema.fields if f.name not in ("__spans", "__runs")]
+    place, spans_at, runs_at = names.index(text_col), names.index(own["spans"]), names.index(own["runs"])
+    rest = [f for f in joined.schema.fields if f.name not in (own["spans"], own["runs"])]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", n_removed long, n_spans long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,8 +461,8 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 texts.append(None if whole is None else whole.decode("utf-8", "replace"))
                 removed.append(0 if text is None else len(text) - len(whole))
                 counts.append(len(cuts))
-            own = [pa.array(texts, pa.string()) if i == place else step.column(i) for i in range(len(names)) if i not in (spans_at, runs_at)]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(removed, pa.int64()), pa.array(counts, pa.int64())], names=[f.name for f in rest] + ["n_removed", "n_spans"])
+            columns = [pa.array(texts, pa.string()) if i == place else step.column(i) for i in range(len(names)) if i not in (spans_at, runs_at)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(counts, pa.int64())], names=[f.name for f in rest] + ["n_removed", "n_spans"])
 
     return joined.mapInArrow(run, schema)
 

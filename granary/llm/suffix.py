@@ -5,7 +5,9 @@ No string of the wanted length escapes a winnowed anchor: of its 69 windows of
 depends on nothing but the string. Equal strings so have equal anchors at the
 same place, and only texts around anchors that repeat are looked at. Those are
 sorted as suffixes, rightward from the anchor and leftward, by deep-shallow
-sorting; neighbours' common lengths then tell which strings are equal.
+sorting; neighbours' common lengths then tell which strings are equal. Every
+removal comes from such an order, also that of whole contexts that are equal:
+hashes only choose what is sorted together.
 """
 
 from __future__ import annotations
@@ -15,12 +17,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import claim, steps
-from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, release, spans_by_document, undeal, unpack_spans
+from granary.llm.common import claim, partitions_of, ragged, steps
+from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, target_of, undeal, unpack_spans
 from granary.session import materialize
 
 LENGTH = 100
@@ -28,6 +29,8 @@ GRAM = 32
 CHUNK = 1 << 20
 SHALLOW = 64
 POSITION = np.uint64((1 << 24) - 1)
+#: Strings around hot anchors that are sorted at a time.
+STRINGS = 1 << 17
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -112,7 +115,7 @@ class BlindTrie:
     compare with that one string, and branch where they first differ.
     """
 
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: dict[int, bytes]):
         self.strings = strings
         self.root: list | int | None = None  # a leaf is a string's number; a branch is [depth, {byte: child}]
         self.same: dict[int, list[int]] = {}
@@ -175,120 +178,223 @@ def common_prefix(a: bytes, b: bytes) -> int:
     return low
 
 
-def deep_shallow(strings: list[bytes], shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted order of the strings, and each one's common prefix with the one before it.
+def multikey_quicksort(words: np.ndarray, sizes: np.ndarray, group: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strings in order down to ``shallow`` bytes: their numbers, where each one's part of equal strings begins, and how far it is compared.
 
-    Multikey quicksort with eight bytes to a key splits all groups of equal
-    prefixes at once, down to ``shallow`` bytes; groups still together then are
-    ordered by blind tries.
+    A part is split around the middle string's next eight bytes into those
+    below, equal and above; the equal ones go on with the eight bytes after.
+    All parts take their steps together. ``group`` has the parts to begin with:
+    the strings of a group, side by side, are ordered among themselves only.
     """
-    n = len(strings)
-    sizes = np.array([len(s) for s in strings], np.int64)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    width = -(-max(int(sizes.max()), 1) // 8) * 8
-    grid = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), np.uint8).reshape(n, width)
-    words = grid.view(">u8").astype(np.uint64)
-    order, group = np.arange(n), np.zeros(n, np.int64)
-    for d in range(0, min(shallow, width), 8):
-        live = _shared(group)
-        if not live.any():
-            break
-        at = np.flatnonzero(live)
-        some = order[at]
-        key, left = words[some, d // 8], np.clip(sizes[some] - d, 0, 8)
-        by = np.lexsort((left, key, group[at]))
-        order[at] = some[by]
-        key, left, old = key[by], left[by], group[at]
-        differ = np.concatenate([[True], (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (old[1:] != old[:-1])])
-        # A group's number is the place of its first string, so it keeps the order among groups.
-        group[at] = at[np.maximum.accumulate(np.where(differ, np.arange(len(at)), 0))]
-    edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if b - a > 1 and int(sizes[order[a:b]].max()) > shallow:
-            trie = BlindTrie(strings)
-            for i in order[a:b].tolist():
-                trie.insert(i)
-            order[a:b] = trie.order()
+    n = len(sizes)
+    order, depth = np.arange(n), np.zeros(n, np.int64)
+    start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if n else np.zeros(0, np.int64)
+    start = np.repeat(start, np.diff(np.append(start, n)))
+    deepest = min(shallow, 8 * words.shape[1])
+    while True:
+        at = np.flatnonzero(_shared(start) & (depth < deepest))
+        if not len(at):
+            return order, start, depth
+        some, d = order[at], depth[at]
+        begin = np.flatnonzero(np.concatenate([[True], start[at][1:] != start[at][:-1]]))
+        size = np.diff(np.append(begin, len(at)))
+        part = np.repeat(np.arange(len(begin)), size)
+        key, left = words[some, d >> 3], np.clip(sizes[some] - d, 0, 8)
+        middle = begin + (size >> 1)
+        pivot, pivot_left = key[middle][part], left[middle][part]
+        same_key = key == pivot
+        below = (key < pivot) | (same_key & (left < pivot_left))
+        equal = same_key & (left == pivot_left)
+        above = ~(below | equal)
+        ranks = []
+        for side in (below, equal, above):
+            count = np.cumsum(side)
+            ranks.append(count - 1 - np.concatenate([[0], count])[begin][part])
+        n_below, n_equal = np.add.reduceat(below, begin, dtype=np.int64)[part], np.add.reduceat(equal, begin, dtype=np.int64)[part]
+        shift = np.where(below, 0, np.where(equal, n_below, n_below + n_equal))
+        first = at[begin][part]
+        to = first + shift + np.where(below, ranks[0], np.where(equal, ranks[1], ranks[2]))
+        order[to], start[to] = some, first + shift
+        depth[to] = np.where(equal, np.where(left < 8, 1 << 40, d + 8), d)  # strings that end here are equal to their ends
+
+
+def sort_suffixes(grid: np.ndarray, sizes: np.ndarray, group: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the strings (rows of ``grid``, zeros after each one's size) by group, and each one's common prefix with the one before it.
+
+    Multikey quicksort goes ``shallow`` bytes deep; parts still together then
+    are ordered by blind tries. A group's first string has no prefix.
+    """
+    n, width = grid.shape
+    order, start, depth = multikey_quicksort(grid.view(">u8").astype(np.uint64), sizes, group, shallow)
+    edges = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1], [True]])) if n else np.zeros(1, np.int64)
+    deep = (np.diff(edges) > 1) & (depth[edges[:-1]] < 1 << 40) if n else np.zeros(0, bool)
+    for a, b in zip(edges[:-1][deep].tolist(), edges[1:][deep].tolist(), strict=True):
+        trie = BlindTrie({i: grid[i, : sizes[i]].tobytes() for i in order[a:b].tolist()})
+        for i in order[a:b].tolist():
+            trie.insert(i)
+        order[a:b] = trie.order()
     lcp = np.zeros(n, np.int64)
     for i in range(1, n, 1 << 15):
         j = min(n, i + (1 << 15))
-        x, y = grid[order[i:j]], grid[order[i - 1 : j - 1]]
-        differ = x != y
-        lcp[i:j] = np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), width), np.minimum(sizes[order[i:j]], sizes[order[i - 1 : j - 1]]))
+        now, before = order[i:j], order[i - 1 : j - 1]
+        differ = grid[now] != grid[before]
+        lcp[i:j] = np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), width), np.minimum(sizes[now], sizes[before]))
+    if n:
+        lcp[1:][group[order[1:]] != group[order[:-1]]] = 0
     return order, lcp
 
 
+def deep_shallow(strings: list[bytes], shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted order of the strings, and each one's common prefix with the one before it."""
+    raw = np.frombuffer(b"".join(strings) or b"\0", np.uint8)
+    sizes = np.array([len(s) for s in strings], np.int64)
+    return sort_suffixes(strings_of(raw, np.cumsum(sizes) - sizes, sizes), sizes, np.zeros(len(sizes), np.int64), shallow)
+
+
+def strings_of(raw: np.ndarray, at: np.ndarray, sizes: np.ndarray, back: bool = False) -> np.ndarray:
+    """Rows of bytes: those from each place on, or (``back``) those before it, last first; zeros after each one's size."""
+    width = -(-max(int(sizes.max()) if len(sizes) else 1, 1) // 8) * 8
+    steps_ = np.arange(width)
+    place = at[:, None] - 1 - steps_ if back else at[:, None] + steps_
+    out = raw[np.clip(place, 0, len(raw) - 1)]
+    out[steps_ >= sizes[:, None]] = 0
+    return out
+
+
+def same_strings(grid: np.ndarray, sizes: np.ndarray, group: np.ndarray, shallow: int = SHALLOW) -> np.ndarray:
+    """A number for each string that equal ones of a group, and no others, share: by the sorted order."""
+    order, lcp = sort_suffixes(grid, sizes, group, shallow)
+    before, now = order[:-1], order[1:]
+    new = (group[now] != group[before]) | (sizes[now] != sizes[before]) | (lcp[1:] < sizes[now])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.concatenate([[0], np.cumsum(new)])[: len(order)]
+    return out
+
+
+def same_contexts(raw: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """For each context, ``left`` bytes before a place and ``right`` from it on, the first of its group that equals it."""
+    if not len(place):
+        return np.zeros(0, np.int64)
+    rightward = same_strings(strings_of(raw, place, right), right, group)
+    leftward = same_strings(strings_of(raw, place, left, back=True), left, group, 40)
+    _, first, inverse = np.unique(rightward * len(place) + leftward, return_index=True, return_inverse=True)
+    return first[inverse]
+
+
 def _shared(group: np.ndarray) -> np.ndarray:
+    if not len(group):
+        return np.zeros(0, bool)
     same = group[1:] == group[:-1]
     return np.concatenate([same, [False]]) | np.concatenate([[False], same])
 
 
-ROWS = [("key", pa.uint64()), ("more", pa.uint64()), ("context", pa.binary()), ("left", pa.int16()), ("doc", pa.int64()), ("tie", pa.int32()), ("place", pa.uint32()), ("stop", pa.uint32())]
-#: What ``left`` says of rows that are no context: one string by its hash, and a range that goes.
+def _window_hashes(raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes from each place on; it deals strings out and decides nothing."""
+    with np.errstate(over="ignore"):
+        h = np.zeros(len(at), np.uint64)
+        x = raw.astype(np.uint64) + np.uint64(1)
+        factor = np.uint64(0x5851F42D4C957F2D)
+        # Doubling: w[i] covers 2^k bytes from i on; the binary digits of the length put them together.
+        width, power, done = 1, factor, 0
+        while True:
+            if length & width:
+                h = h * power + x[np.minimum(at + done, len(x) - 1)]
+                done += width
+            if width * 2 > length:
+                break
+            x = x[:-width] * power + x[width:]
+            width, power = width * 2, power * power
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(32))
+
+
+ROWS = [("key", pa.uint64()), ("context", pa.binary()), ("left", pa.int16()), ("doc", pa.int64()), ("tie", pa.int32()), ("place", pa.uint32()), ("stop", pa.uint32())]
+#: What ``left`` says of rows that are no context: one string, and a range that goes.
 STRING, GONE = -1, -2
 
 
+def _first_strings(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For strings at ascending places: the place of the first that equals each, and their hashes. STRINGS of them are sorted at a time."""
+    h = _window_hashes(raw, at, length)
+    by = np.argsort(h, kind="stable")
+    first = at.copy()
+    carried, i = by[:0], 0
+    while i < len(by):
+        some = np.concatenate([carried, by[i : i + STRINGS]])
+        i += STRINGS
+        _, group = np.unique(h[some], return_inverse=True)
+        sizes = np.full(len(some), length, np.int64)
+        number = same_strings(strings_of(raw, at[some], sizes), sizes, group)
+        _, head, inverse = np.unique(number, return_index=True, return_inverse=True)
+        first[some] = first[some[head]][inverse]
+        carried = some[head][h[some[head]] == h[some[-1]]]  # the rest of these strings may follow
+    return first, h
+
+
 def _contexts(length: int, hot, n_parts: int):
-    """Rows for the repeats of some documents: a context once per step, hot anchors by single string, and ranges that go already."""
+    """Rows for the repeats of some documents: each context once per step, hot anchors by single strings, and ranges that go already."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
-        for step in steps(batches, "text", 8 << 20):
+        for step in steps(batches, "text", 6 << 20):
             docs, ties, texts = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist()
-            by = np.lexsort((ties, docs))  # documents in order, so the first of equal rows is the earliest
-            texts = [texts[i] for i in by]
-            docs, ties = docs[by], ties[by]
+            by = np.lexsort((ties, docs))  # documents in order, so the first of equal strings is the earliest
             blobs = step.column(3).to_pylist()
-            places = [np.frombuffer(blobs[i], "<u4").astype(np.int64) >> 1 for i in by]
+            docs, ties, texts = docs[by], ties[by], [texts[i] for i in by]
+            raw = np.frombuffer(b"".join(texts) + b"\0", np.uint8)
+            origin = np.cumsum([0, *map(len, texts)])
             text, place, h, first, last = anchors(texts, length)
-            wanted = np.concatenate([np.zeros(0, np.int64), *[p + (k << 33) for k, p in enumerate(places)]])
+            wanted = np.concatenate([np.zeros(0, np.int64), *[(np.frombuffer(blobs[i], "<u4").astype(np.int64) >> 1) + (k << 33) for k, i in enumerate(by.tolist())]])
             keep = np.flatnonzero(np.isin(place + (text << 33), wanted))
-            is_hot = np.isin(h[keep], hot.value)
-            seen: dict[tuple, tuple] = {}
-            rows: list[tuple] = []
-            gone: list[tuple] = []
-            for i, burst in zip(keep.tolist(), is_hot.tolist(), strict=True):
-                k, p, a, b = int(text[i]), int(place[i]), int(first[i]), int(last[i])
-                own = (int(docs[k]), int(ties[k]))
-                key = int(h[i])
-                if not burst:
-                    name = (p - a, texts[k][a : b + length])
-                    before = seen.get(name)
-                    if before is None:
-                        seen[name] = (*own, p)
-                        rows.append((key % n_parts, key, 0, name[1], p - a, *own, p, 0))
-                    elif before != (*own, p):
-                        gone.append((*own, a, b + length))
-                    continue
-                for s in range(a, b + 1):
-                    string = texts[k][s : s + length]
-                    before = seen.get(string)
-                    if before is None:
-                        seen[string] = (*own, s)
-                        one = xxhash.xxh3_128_intdigest(string)
-                        rows.append(((one >> 64) % n_parts, one >> 64, one & (1 << 64) - 1, None, STRING, *own, s, 0))
-                    elif before != (*own, s):
-                        gone.append((*own, s, s + length))
-            for g in _merged(gone):
-                rows.append(((g[0] * 31 + g[1]) % n_parts, 0, 0, None, GONE, *g))
-            if rows:
-                part, *columns = zip(*rows, strict=True)
-                table = pa.table([pa.array(c, t) for c, (_, t) in zip(columns, ROWS, strict=True)], names=[n for n, _ in ROWS])
-                for p, blob in deal(table, np.array(part, np.int64), n_parts):
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "entries"])
+            text, place, h, first, last = (x[keep] for x in (text, place, h, first, last))
+            doc, tie = docs[text], ties[text]
+            _, key = np.unique(h, return_inverse=True)
+            order = np.argsort(key, kind="stable")  # a key's contexts side by side, each in the corpus' order
+            head = np.empty(len(order), np.int64)
+            head[order] = order[same_contexts(raw, (origin[text] + place)[order], (place - first)[order], (last + length - place)[order], key[order])]
+            other = (doc != doc[head]) | (tie != tie[head]) | (place != place[head])  # else the same document in two rows
+            gone = [(doc[other], tie[other], first[other], last[other] + length)]
+            reps = np.flatnonzero(head == np.arange(len(head)))
+            is_hot = np.isin(h[reps], hot.value)
+            burst, calm = reps[is_hot], reps[~is_hot]
+            contexts = [texts[k][a:b] for k, a, b in zip(text[calm].tolist(), first[calm].tolist(), (last[calm] + length).tolist(), strict=True)]
+            parts = [(h[calm] % np.uint64(n_parts), h[calm], contexts, place[calm] - first[calm], doc[calm], tie[calm], place[calm], np.zeros(len(calm), np.int64))]
+            if len(burst):
+                at = np.sort(ragged((origin[text] + first)[burst], (last - first + 1)[burst]))
+                earliest, window = _first_strings(raw, at, length)
+                of, of_first = np.searchsorted(origin, at, side="right") - 1, np.searchsorted(origin, earliest, side="right") - 1
+                s, s_first = at - origin[of], earliest - origin[of_first]
+                again = (docs[of] != docs[of_first]) | (ties[of] != ties[of_first]) | (s != s_first)
+                gone.append((docs[of][again], ties[of][again], s[again], s[again] + length))
+                own = np.flatnonzero(at == earliest)
+                strings = [texts[k][a : a + length] for k, a in zip(of[own].tolist(), s[own].tolist(), strict=True)]
+                parts.append((window[own] % np.uint64(n_parts), window[own], strings, np.full(len(own), STRING), docs[of[own]], ties[of[own]], s[own], np.zeros(len(own), np.int64)))
+            ranges = _merged(*(np.concatenate([g[i] for g in gone]) for i in range(4)))
+            n = len(ranges[0])
+            parts.append((target_of(ranges[0], ranges[1], n_parts), np.zeros(n, np.uint64), [None] * n, np.full(n, GONE), *ranges))
+            part = np.concatenate([p[0].astype(np.int64) for p in parts])
+            if len(part):
+                columns = [sum((p[i] for p in parts), []) if i == 2 else np.concatenate([p[i] for p in parts]) for i in range(1, 8)]
+                table = pa.table([pa.array(c, t) if isinstance(c, list) else pa.array(c.astype(t.to_pandas_dtype())) for c, (_, t) in zip(columns, ROWS, strict=True)], names=[n for n, _ in ROWS])
+                for q, blob in deal(table, part, n_parts):
+                    yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([blob], pa.binary())], names=["part", "entries"])
 
     return run
 
 
-def _merged(ranges: list[tuple]) -> list[tuple]:
-    out: list[list] = []
-    for doc, tie, a, b in sorted(ranges):
-        if out and out[-1][:2] == [doc, tie] and a <= out[-1][3]:
-            out[-1][3] = max(out[-1][3], b)
-        else:
-            out.append([doc, tie, a, b])
-    return [tuple(x) for x in out]
+def _merged(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The union of ranges of each document."""
+    if not len(doc):
+        return doc, tie, start, end
+    _, number = np.unique(np.stack([doc, tie.astype(np.int64)], axis=1), axis=0, return_inverse=True)
+    number = number.ravel()
+    shift = number.astype(np.int64) << 31  # places are below 2^30
+    _, example = np.unique(number, return_index=True)
+    a, b = merge_spans(start + shift, end + shift)
+    of = example[a >> 31]
+    low = (1 << 31) - 1
+    return doc[of], tie[of], a & low, b & low
 
 
 def _covered(contexts: list[bytes], left: np.ndarray, rank: np.ndarray, length: int) -> list[tuple[int, int, int]]:
@@ -334,41 +440,37 @@ def _judge(length: int, n_parts: int):
         table = undeal(batches)
         if table is None:
             return
-        key, more, left, doc, tie, place, stop = (table[n].to_numpy().astype(np.uint64 if n in ("key", "more") else np.int64) for n in ("key", "more", "left", "doc", "tie", "place", "stop"))
-        contexts = table["context"].to_pylist()
+        key, left, doc, tie, place, stop = (table[n].to_numpy().astype(np.uint64 if n == "key" else np.int64) for n in ("key", "left", "doc", "tie", "place", "stop"))
         spans = [(doc[left == GONE], tie[left == GONE], place[left == GONE], stop[left == GONE])]
-        at = np.flatnonzero(left == STRING)
-        at = at[np.lexsort((place[at], tie[at], doc[at], more[at], key[at]))]
-        if len(at):
-            new = np.concatenate([[True], (key[at][1:] != key[at][:-1]) | (more[at][1:] != more[at][:-1])])
-            head = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-            other = (doc[at] != doc[head]) | (tie[at] != tie[head]) | (place[at] != place[head])
-            spans.append((doc[at[other]], tie[at[other]], place[at[other]], place[at[other]] + length))
-        at = np.flatnonzero(left >= 0)
-        at = at[np.lexsort((place[at], tie[at], doc[at], key[at]))]
-        classes: dict[tuple, int] = {}
-        firsts: list[int] = []
-        gone: list[tuple] = []
-        for i in at.tolist():  # equal contexts: the first stands for all, the others go whole
-            name = (int(left[i]), contexts[i])
-            c = classes.setdefault(name, i)
-            if c == i:
-                firsts.append(i)
-            elif (doc[c], tie[c], place[c]) != (doc[i], tie[i], place[i]):
-                gone.append((doc[i], tie[i], place[i] - left[i], place[i] - left[i] + len(contexts[i])))
-        some = np.array(firsts, np.int64)
-        if len(some):
-            same = np.flatnonzero(_shared(key[some]))
-            some = some[same]
-        if len(some):
+        order = np.lexsort((place, tie, doc, key))
+        for strings in (True, False):
+            at = order[left[order] == STRING] if strings else order[left[order] >= 0]
+            at = at[_shared(key[at])]
+            if not len(at):
+                continue
+            contexts = table["context"].take(pa.array(at)).combine_chunks()
+            contexts = contexts.chunk(0) if isinstance(contexts, pa.ChunkedArray) else contexts
+            offsets = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset : contexts.offset + len(at) + 1].astype(np.int64)
+            raw = np.frombuffer(contexts.buffers()[2], np.uint8)
+            before = np.zeros(len(at), np.int64) if strings else left[at]
+            head = same_contexts(raw, offsets[:-1] + before, before, np.diff(offsets) - before, key[at])
+            first = at[head]
+            other = (doc[at] != doc[first]) | (tie[at] != tie[first]) | (place[at] != place[first])
+            begin = place[at] - before
+            spans.append((doc[at][other], tie[at][other], begin[other], (begin + np.diff(offsets))[other]))
+            some = np.flatnonzero(head == np.arange(len(at)))  # a class of equal contexts goes on by its first
+            some = some[_shared(key[at[some]])]
+            if strings or not len(some):
+                continue
+            own = at[some]
             rank = np.empty(len(some), np.int64)
-            rank[np.lexsort((place[some], tie[some], doc[some]))] = np.arange(len(some))
-            for i, least, greatest in _covered([contexts[k] for k in some.tolist()], left[some].astype(np.int64), rank, length):
-                k = some[i]
-                gone.append((doc[k], tie[k], place[k] - greatest, place[k] - least + length))
-        if gone:
-            spans.append(tuple(np.array(c, np.int64) for c in zip(*gone, strict=True)))
-        yield from deal_spans(*(np.concatenate([np.asarray(s[k], np.int64) for s in spans]) for k in range(4)), n_parts)
+            rank[np.lexsort((place[own], tie[own], doc[own]))] = np.arange(len(some))
+            found = _covered([raw[a:b].tobytes() for a, b in zip(offsets[some].tolist(), offsets[some + 1].tolist(), strict=True)], left[own], rank, length)
+            if found:
+                i, least, greatest = (np.array(c, np.int64) for c in zip(*found, strict=True))
+                k = own[i]
+                spans.append((doc[k], tie[k], place[k] - greatest, place[k] - least + length))
+        yield from deal_spans(*(np.concatenate([s[k] for s in spans]) for k in range(4)), n_parts)
 
     return run
 
@@ -377,8 +479,9 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """(doc, tie, spans): the ranges of bytes that ``length``-byte strings which also start earlier cover.
 
     Null ids count as the least id. What is sent of a repeat is its context
-    (under 2 * length bytes), once per step of a task; around hot anchors, it is
-    the hash of each string, so that no anchor's contexts meet in one task.
+    (under 2 * length bytes), once per step of a task; around hot anchors it is
+    each string, once per step and dealt by its hash, so that no anchor's
+    contexts meet in one task.
     """
     if not GRAM < length <= 4 * GRAM:
         raise ValueError(f"length is from {GRAM + 1} to {4 * GRAM}")
@@ -387,15 +490,12 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def spans_of(texts: DataFrame, length: int, **limits) -> DataFrame:
     """The same for rows that are (doc, tie, text) already."""
-    spark = texts.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    flagged, keys = find_repeats(texts, _find(length), "suffix", **limits)
-    hot = spark.sparkContext.broadcast(keys)
+    n_parts = partitions_of(texts)
+    flagged, keys, _ = find_repeats(texts, _find(length), "suffix", with_contents=False, n_parts=n_parts, **limits)
+    hot = texts.sparkSession.sparkContext.broadcast(keys)
     rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_contexts(length, hot, n_parts), DEALT)
     spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(length, n_parts), DEALT)
-    spans = materialize(spans, "suffix-spans")
-    release(spans)
-    return spans_by_document(spans, n_parts)
+    return spans_by_document(materialize(spans, "suffix-spans"), n_parts)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False, **limits) -> DataFrame:

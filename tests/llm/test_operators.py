@@ -68,7 +68,7 @@ def test_language_held_out(spark, docs):
     assert len(rows) == len(known) and np.mean(held) > 0.95
 
 
-def brute_paragraphs(texts, similar=0.8):
+def brute_paragraphs(texts, min_words, similar=0.8):
     units, out = [], {}
     for doc, text in texts:
         at = 0
@@ -114,20 +114,50 @@ def brute_paragraphs(texts, similar=0.8):
             else:
                 merged.append([a, b])
         kept, at = [], 0
-        for a, b in substring._runs(text, merged, substring.MIN_WORDS):
+        for a, b in substring._runs(text, merged, min_words):
             kept.append(text[at:a])
             at = b
         out[doc] = b"".join([*kept, text[at:]]).decode()
     return out
 
 
-def test_paragraphs(docs, texts):
-    got = {r.doc_id: r.text for r in substring.remove_paragraphs(docs.repartition(5), step_bytes=300_000).collect()}
-    want = brute_paragraphs([(d, t.encode()) for d, t in texts])
+@pytest.mark.parametrize(("min_words", "block"), [(5, 1024), (5, 2), (15, 1024)])
+def test_paragraphs(docs, texts, min_words, block):
+    """Of all lengths; with blocks of two contents also the keys of few contents are split."""
+    got = {r.doc_id: r.text for r in substring.remove_paragraphs(docs.repartition(5), step_bytes=300_000, min_words=min_words, block=block).collect()}
+    want = brute_paragraphs([(d, t.encode()) for d, t in texts], min_words)
     assert sum(want[d] != t for d, t in texts) > 50
     assert sum(got[d] != want[d] for d in want) <= 0.01 * len(want)  # MinHash misses a few near pairs
 
 
+def test_short_lines_go_by_default(spark):
+    line = "one line of just twelve words that stands in all five documents"
+    rows = [(i, f"Own words number {i} {i * 7} at the beginning here.\n{line}\nfew words here\n") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in substring.remove_paragraphs(df).collect()}
+    assert [got[i].n_removed > 0 for i in range(5)] == [False, True, True, True, True]
+    assert all(line not in got[i].text and "few words here" in got[i].text for i in range(1, 5))
+    assert all(r.n_removed == 0 for r in substring.remove_paragraphs(df, min_words=15).collect())
+
+
+def test_paragraphs_keep_columns_of_any_name(spark):
+    rows = [(i, f"the very same line of words in both documents\nown {i}", "a", "b", "c", "d") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __doc string, tie string, spans string, n_removed string")
+    got = substring.remove_passages(df).orderBy("doc_id").collect()
+    assert [(r["__doc"], r.tie, r.spans) for r in got] == [("a", "b", "c")] * 2 and got[0].n_removed == 0 < got[1].n_removed
+
+
+def test_paragraphs_of_a_hot_key(spark):
+    """4000 variants of one paragraph, each a small step from the one before: one component, whatever the blocks."""
+    words, rows = [f"w{i}" for i in range(60)], []
+    for i in range(4000):
+        words[i * 7 % 60] = f"v{i}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = substring.remove_paragraphs(df, block=300).where("n_removed > 0").count()
+    assert 3990 <= got <= 3999  # a missed band may part the chain
+
+
 def test_passage_inside_a_paragraph(spark):
     passage = " ".join(f"shared{i}" + ("." if i % 12 == 11 else "") for i in range(60)).replace(". s", ". S")
     rows = [(i, f"Own beginning {i} of the text here. {passage} Own ending {i} {i * 7} of this text.") for i in range(40)] + [(99, "A clean document of quite other words, which stays as it is.")]
@@ -178,10 +208,18 @@ def test_simhash(spark, texts):
         assert got[d].fingerprint == f"{int(fps[i]):016x}" and got[d].component_id == ids[root[i]]
 
 
+def test_simhash_of_repeated_ids(spark):
+    """Rows of one id are one node, so its texts' groups are one."""
+    a, b, c = "first text of some words here", "another text of quite other words", "a third one that stands alone"
+    df = spark.createDataFrame([(0, a), (1, a), (1, b), (2, b), (7, c), (None, b), (None, c)], "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(df, shards=2, least=1).collect())
+    assert got == [(False, 0, 0), (False, 1, 0), (False, 1, 0), (False, 2, 0), (False, 7, 7), (True, 0, 0), (True, 0, 7)]
+
+
 def test_simhash_shards_and_blocks(docs, monkeypatch):
     whole = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
     monkeypatch.setattr(simhash, "SHARD_ROWS", 60)
-    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs, leaf_rows=100).collect()} == whole
+    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs, home_rows=100, shards=2, least=10).collect()} == whole
 
 
 def brute_copies(texts, similar=0.8):
@@ -238,11 +276,51 @@ def test_embeddings_odd(spark):
     assert embed.near_duplicates(df.where("1 = 0")).count() == 0
 
 
+def test_embeddings_of_repeated_ids(spark):
+    """Vectors of one id are vectors of their own, also in different labels; extreme numbers are compared like others."""
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (1, [0.0, 1.0], 2), (3, [0.01, 1.0], 2), (1, [0.0, -1.0], 2), (4, [1e-200, 0.0], 3), (5, [1e200, 1e198], 3), (6, [-5e-324, 0.0], 3), (7, [1e308, 1e308], 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "'x' AS node", "'x' AS rep", "'x' AS emb", "'x' AS part")
+    for options in ({}, {"exact": True}):
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in embed.near_duplicates(df, **options).collect())
+        assert got == [(1, 0, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (5, 1, 4), (6, 0, 6), (7, 0, 7)]
+
+
+@pytest.mark.parametrize("width", [None, 12, 19])
+def test_embeddings_recall(spark, width):
+    """Planted pairs at a cosine of just 0.98 and above, against all pairs, at the key widths of larger tables too."""
+    r = np.random.default_rng(9)
+    base = r.normal(size=(4000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    noise = r.normal(size=base.shape)
+    noise -= (noise * base).sum(axis=1, keepdims=True) * base
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    cos = r.uniform(0.9801, 0.999, (4000, 1))
+    every = np.concatenate([base, cos * base + np.sqrt(1 - cos**2) * noise])
+    want = (every @ every.T >= 0.98).sum() - len(every)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(every)], "vec_id long, embedding array<double>, label int")
+    found = sum(x.n_links for x in embed.near_duplicates(df, width=width).collect())
+    assert 0.9 * want <= found <= want
+    if width is None:
+        assert sum(x.n_links for x in embed.near_duplicates(df, exact=True).collect()) == want
+
+
+def test_embeddings_recall_on_all_pairs(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    by = {}
+    for x in vectors.collect():
+        by.setdefault(x.label, []).append(x.embedding)
+    want = 0
+    for rows in by.values():
+        u = embed.units(np.array(rows, np.float64))
+        want += int((u @ u.T >= 0.98).sum()) - len(u)
+    found = sum(x.n_links for x in embed.near_duplicates(vectors).collect())
+    assert 0.9 * want <= found <= want and want > 0
+
+
 def ids_of(path, texts, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return {d: np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4") for d, x in texts}
 
 

@@ -1,5 +1,6 @@
 """Small parts against plain definitions."""
 
+import itertools
 import random
 import zlib
 
@@ -33,9 +34,8 @@ def test_cached_tokenizer_equals_whole_texts(name, spaced):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(public_vocabulary(name))
-    whole.encode_special_tokens = True
     r = random.Random(3)
-    parts = ["a", "B", "é", "ß", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "\x1c", ".", "!!", "'s", "12", "♥", "İ", "Σ", "é", "<|endoftext|>", "日本", "\x00", " don't", ", ", ". ", "., ", ", , ", "x, ", "é. ", ".\n"]
+    parts = ["a", "B", "é", "ß", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "\x1c", ".", "!!", "'s", "12", "♥", "İ", "Σ", "é", "<|endoftext|>", "a <|endoftext|> b", "<|startoftext|>", "<|ENDOFTEXT|>", "日本", "\x00", " don't", ", ", ". ", "., ", ", , ", "x, ", "é. ", ".\n"]
     texts = ["".join(r.choices(parts, k=r.randint(0, 30))) for _ in range(1500)] + [None, "", " ", "\n"]
     cached = CachedTokenizer(public_vocabulary(name), spaced, limit=300)
     for i in range(0, len(texts), 400):
@@ -116,6 +116,18 @@ def test_link_shard_by_all_pairs():
     assert union_min(len(points), *np.array(links).T).tolist() == want.tolist()
 
 
+def test_groups_of_strings_are_sorted_by_themselves():
+    r = random.Random(14)
+    for _ in range(40):
+        strings = [bytes(r.choices(b"ab", k=r.randint(0, 70))) + r.choice([b"", b"tail" * 20]) for _ in range(r.randint(1, 80))]
+        group = np.sort(np.array([r.randrange(5) for _ in strings]))
+        sizes = np.array([len(s) for s in strings])
+        grid = suffix.strings_of(np.frombuffer(b"".join(strings) + b"\0", np.uint8), np.cumsum(sizes) - sizes, sizes)
+        number = suffix.same_strings(grid, sizes, group, 16)
+        name = [(g, s) for g, s in zip(group.tolist(), strings, strict=True)]
+        assert len(set(number.tolist())) == len(set(name)) == len(set(zip(number.tolist(), name, strict=True)))
+
+
 def test_deep_shallow_order():
     r = random.Random(4)
     for _ in range(120):
@@ -197,34 +209,82 @@ def test_link_sets_of_long_chains():
         assert union_min(len(sets), *links).tolist() == want.tolist()
 
 
-def test_marginals_by_all_chains():
-    r = np.random.default_rng(7)
-    field = langid.ChainField(["a", "b", "c"], {})
-    field.transition, field.start = r.normal(size=(3, 3)), r.normal(size=3)
-    counts = np.array([1, 5, 64, 65, 200, 2])
+def chains_of(field, emission):
+    """Every chain of labels with its weight: all k^n of them."""
+    n, k = emission.shape
+    for ys in itertools.product(range(k), repeat=n):
+        score = field.start[ys[0]] + sum(emission[t, y] for t, y in enumerate(ys)) + sum(field.transition[a, b] for a, b in itertools.pairwise(ys))
+        yield ys, np.exp(score)
+
+
+def random_field(seed, k=3):
+    r = np.random.default_rng(seed)
+    field = langid.ChainField(["a", "b", "c"][:k], {})
+    field.transition, field.start = r.normal(size=(k, k)), r.normal(size=k)
+    return field, r
+
+
+@pytest.mark.parametrize("row", [2, 3, 64])
+def test_expectations_by_all_chains(row, monkeypatch):
+    """Texts of 1 to 7 words, cut into rows of 2, 3 or 64, against the sum over all chains."""
+    monkeypatch.setattr(langid, "ROW", row)
+    field, r = random_field(7)
+    counts = np.array([1, 5, 7, 2, 3, 6])
     emission = r.normal(size=(int(counts.sum()), 3))
-    got, at = field.marginals(emission, counts), 0
+    got, moves = field._expect(emission, counts, True)
+    want_moves, at = np.zeros((3, 3)), 0
     for n in counts:
-        e, alpha, beta = np.exp(emission[at : at + n]), [], [np.ones(3)]
-        move = np.exp(field.transition)
-        for t in range(n):
-            a = e[t] * (np.exp(field.start) if t == 0 else alpha[-1] @ move)
-            alpha.append(a / a.sum())
-        for t in range(n - 1, 0, -1):
-            b = move @ (e[t] * beta[0])
-            beta.insert(0, b / b.sum())
-        want = np.array(alpha) * np.array(beta)
-        assert np.allclose(got[at : at + n], want / want.sum(axis=1, keepdims=True), atol=1e-6)
+        post, total, own = np.zeros((n, 3)), 0.0, np.zeros((3, 3))
+        for ys, w in chains_of(field, emission[at : at + n]):
+            total += w
+            for t, y in enumerate(ys):
+                post[t, y] += w
+            for a, b in itertools.pairwise(ys):
+                own[a, b] += w
+        assert np.allclose(got[at : at + n], post / total, atol=1e-9)
+        want_moves += own / total
         at += n
+    assert np.allclose(moves, want_moves, atol=1e-9)
+
+
+def test_singular_transitions_do_no_harm():
+    """Equal rows make the transition matrix singular; the words then are independent but for the columns' weights."""
+    field, r = random_field(3)
+    field.transition[:] = field.transition[0]
+    emission = r.normal(size=(70, 3))
+    want = np.exp(emission + np.where(np.arange(70)[:, None] == 0, field.start, field.transition[0]))
+    assert np.allclose(field.marginals(emission, np.array([70])), want / want.sum(axis=1, keepdims=True))
 
 
-def test_fit_words_are_spread_over_the_whole_text():
-    for n in (0, 5, 96, 97, 150, 191, 192, 287, 1000, 20_001):
-        got = langid.spread(list(range(n)))
-        assert len(got) == min(n, 96) and got == sorted(set(got))
-        if n > 96:
-            gaps = [b - a - 1 for a, b in zip(got, got[1:], strict=False)]
-            assert got[0] == 0 and got[-1] == n - 1 and max(gaps) - min(gaps[15::16]) <= 1
+def test_gradient_is_that_of_the_likelihood():
+    field, r = random_field(11)
+    counts, gold = np.array([4, 1, 6]), r.integers(0, 3, 11)
+    emission = r.normal(size=(11, 3))
+
+    def likelihood():
+        total, at = 0.0, 0
+        for n in counts:
+            weights = dict(chains_of(field, emission[at : at + n]))
+            total += np.log(weights[tuple(gold[at : at + n])] / sum(weights.values()))
+            at += n
+        return total
+
+    for value, up in zip((emission, field.transition, field.start), field.gradient(emission, counts, gold), strict=True):
+        for place in np.ndindex(value.shape):
+            value[place] += 1e-5
+            more = likelihood()
+            value[place] -= 2e-5
+            less = likelihood()
+            value[place] += 1e-5
+            assert abs((more - less) / 2e-5 - up[place]) < 1e-6
+
+
+def test_fit_learns_from_the_end_of_a_text():
+    """Texts whose first 300 words are shared by both languages are told apart by their last ones."""
+    common = [f"w{i}" for i in range(300)]
+    examples = [([*common, *[f"{'ab'[y]}x{i % 7}" for i in range(40)]], y) for y in (0, 1) for _ in range(6)]
+    field = langid.ChainField(["a", "b"], {}).fit(examples, rounds=30)
+    assert field.predict([" ".join(["bx"] * 9), " ".join(["ax"] * 9)])[0] == ["b", "a"]
 
 
 def test_machine_score_by_pairs():
@@ -267,6 +327,70 @@ def test_packer_limits():
     assert len(seen) == 300 and all(t <= 64 and k <= 4 and loss <= 40 for t, k, loss in by.values())
 
 
+@pytest.mark.parametrize("limits", [(64, 50, 64), (64, 3, 64), (64, 50, 20)])
+def test_packer_takes_the_largest_dot_product(limits):
+    """Every choice against all held examples, where tokens, segments or loss bind."""
+    r, placed = random.Random(4), []
+    packer = pack.Packer(*limits, 16, 64, 0, placed.append)
+    best = packer.best
+
+    def checked(room):
+        slot = best(room)
+        able = {i: np.array([len(x[2]), 1, pack.loss_of(x)]) for i, x in enumerate(packer.items) if x is not None}
+        able = {i: float(d / limits @ (np.array(room) / limits)) for i, d in able.items() if (d <= room).all()}
+        assert (slot < 0) == (not able) and (slot < 0 or able[slot] >= max(able.values()) - 1e-12)
+        return slot
+
+    packer.best = checked
+    for doc in range(200):
+        n = r.randint(1, 20)
+        packer.add((doc, 0, np.arange(n, dtype="<u4"), n, r.randint(0, n)))
+    packer.finish()
+    sums = {}
+    for _, _, n, _, _, seq, _, loss in placed:
+        s = sums.setdefault(seq, [0, 0, 0])
+        sums[seq] = [s[0] + n, s[1] + 1, s[2] + loss]
+    assert all(x <= m for s in sums.values() for x, m in zip(s, limits, strict=True))
+    assert sum(any(x == m for x, m in zip(s, limits, strict=True)) for s in sums.values()) > 5
+
+
+@pytest.mark.parametrize("limits", [(12, 9, 12), (30, 2, 30), (30, 9, 6)])
+def test_packer_against_every_partition(limits):
+    """Uncut examples: as many groups as the best of all partitions needs, or one more."""
+    r = random.Random(2)
+
+    def fits(group):
+        return all(sum(d[k] for d in group) <= limits[k] for k in range(3))
+
+    def fewest(items):
+        least = [len(items)]
+
+        def go(i, groups):
+            if len(groups) >= least[0]:
+                return
+            if i == len(items):
+                least[0] = len(groups)
+                return
+            for g in groups:
+                if fits([*g, items[i]]):
+                    g.append(items[i])
+                    go(i + 1, groups)
+                    g.pop()
+            go(i + 1, [*groups, [items[i]]])
+
+        go(0, [])
+        return least[0]
+
+    for _ in range(25):
+        demands = [(n, 1, r.randint(0, min(n, limits[2]))) for n in (r.randint(1, limits[0] // 2) for _ in range(7))]
+        packer, groups = pack.Packer(*limits, 8, limits[0], 0, lambda row: None), []
+        packer._write = lambda chosen, groups=groups: groups.append(chosen)
+        for i, (n, _, loss) in enumerate(demands):
+            packer.add((i, 0, np.zeros(n, "<u4"), n, n - loss))
+        packer.finish()
+        assert sum(map(len, groups)) == 7 and len(groups) <= fewest(demands) + 1
+
+
 def test_words_of_benchmarks():
     assert decontaminate.words_of("Ab-c9 É_x".encode()) == [b"ab", b"c9", "É".encode(), b"x"]
     assert decontaminate.words_of(None) == []
