@@ -2,14 +2,19 @@
 
 A block holds a run of ids in ``lanes`` equal parts that are coded in step,
 each by its own range coder, all with one model that starts empty in every
-block. At each step the model predicts for every lane: an id from the last two
-ids (order 2), an id from the last one (order 1), and adaptive frequencies of
-all ids (order 0). The three are mixed to one distribution,
-
-    P(x) = w2 [x = order-2 id] + w1 [x = order-1 id] + (1 - w2 - w1) P0(x),
-
-whose weights adapt by how sure the two predictions have been so far and
-whether they agree. All arithmetic is in whole numbers, so any machine decodes
+block. Three predictions share the range of an id that follows the ids b and a
+(a the nearer):
+
+    w2        order 2: the id that last followed b and a;
+    w1 P1     order 1: the ids that followed a so far, by how often each did;
+    w0 P0     order 0: all ids, by how often each came so far.
+
+The weights add up to the whole and are learned: w2 by how often b and a were
+seen and the last follower was right, w1 by how many of a's followers were new
+ones and whether a is frequent. An id is coded in the part where it has most
+room. The model is brought up to date when the block has doubled, on both
+sides alike, so a whole round of ids is looked up at once. All arithmetic is in
+whole numbers, or in quotients of doubles that are exact, so any machine decodes
 what another has coded. A header has counts and checksums of payload and ids.
 """
 
@@ -36,16 +41,25 @@ BLOCK_IDS = 1 << 20
 TEXT_STEP = 18 << 20
 #: Words that a worker keeps.
 WORDS = 1_300_000
-MAX_LANES = 8192
+MAX_LANES = 4096
 LANE_IDS = 64
-TOTAL_BITS, ORDER0_BITS = 26, 20
-TOTAL = 1 << TOTAL_BITS
-HASH_BITS = 18
-REFRESH = 1 << 15
-SURE = 7
+#: Bits of a step's whole range, of which the lower ones are for a prediction's parts and the others for weights.
+TOTAL_BITS, PART_BITS = 32, 20
+PART, WEIGHT = 1 << PART_BITS, 1 << TOTAL_BITS - PART_BITS
+#: The largest w2, and the largest share of the rest that w1 takes, which leave every id some room.
+MOST_W2, MOST_W1 = WEIGHT - 64, WEIGHT - 64
+#: A smaller w2 isn't worth its room.
+LEAST_W2 = WEIGHT // 10
+HASH_BITS = 16
+#: Slots of P1 for each id that followed, at least, and bits of them at most.
+FINE, MOST_FINE = 3, 19
+#: Of the ids that order 1 and 0 coded, each so-many-th is learned from.
+LEARN = 4
+#: How much more an id that was seen counts than one that wasn't.
+SEEN = 24
 U = np.uint64
 _16, _48, _T = U(16), U(48), U(TOTAL_BITS)
-_BOTTOM, _LOW32 = U(1 << 32), U((1 << 32) - 1)
+_BOTTOM, _LOW32, _LOW48 = U(1 << 32), U((1 << 32) - 1), U((1 << 48) - 1)
 
 
 class CorruptBlock(ValueError):
@@ -58,66 +72,89 @@ def lanes_of(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def rounds_of(length: int) -> list[int]:
+    """The steps at which the model is brought up to date, from 0 to ``length``."""
+    out = [0]
+    while out[-1] < length:
+        out.append(min(length, max(1, 2 * out[-1])))
+    return out
+
+
+def _divided(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """part // whole for whole numbers below 2^40 and 2^21: at such sizes the quotient of doubles is never rounded up to the next."""
+    return np.floor(part / whole.astype(np.float64)).astype(np.int64)
+
+
 class _Model:
-    """Predictions and weights of one block; coder and decoder run it alike."""
-
-    def __init__(self, alphabet: int, lanes: int, inverse: bool = False):
-        if alphabet > 1 << (ORDER0_BITS - 1):
-            raise ValueError(f"ids must be below {1 << (ORDER0_BITS - 1)}")
-        self.alphabet, self.inverse, self.coded = alphabet, inverse, 0
-        self.order1 = np.zeros(alphabet + 1, np.int32)  # id << 3 | how sure
-        self.order2 = np.zeros(1 << HASH_BITS, np.int32)
-        self.last = np.full(lanes, alphabet, np.int32)
-        self.hash2 = np.zeros(lanes, np.int32)
-        self.seen, self.hit2, self.hit1 = np.full(128, 4, np.int64), np.full(128, 1, np.int64), np.full(128, 1, np.int64)
+    """What a block's coder and decoder both know of the ids before a round. Pairs are ``before * alphabet + id``."""
+
+    def __init__(self, alphabet: int):
+        if alphabet > PART >> 1:
+            raise ValueError(f"ids must be below {PART >> 1}")
+        self.alphabet = alphabet  # also stands for no id before
         self.counts = np.ones(alphabet, np.int64)
-        self.pending = 0
-        self.recent: list[np.ndarray] = []
-        self._weights()
-        self._frequencies()
-
-    def _weights(self) -> None:
-        room = TOTAL - (1 << ORDER0_BITS)
-        context = np.arange(128)
-        w2 = np.where(context >> 4 > 0, self.hit2 * room // (self.seen + 1), 0)
-        w1 = np.where((context >> 1 & 7 > 0) & (context & 1 == 0), self.hit1 * room // (self.seen + 1), 0)
-        over = np.maximum(w2 + w1, room)
-        self.w2, self.w1 = (w2 * room // over).astype(np.int32), (w1 * room // over).astype(np.int32)
-
-    def _frequencies(self) -> None:
-        if self.recent:
-            self.counts += 24 * np.bincount(np.concatenate(self.recent), minlength=self.alphabet)
-            self.recent.clear()
+        self.times, self.kinds = np.zeros(alphabet + 1, np.int64), np.zeros(alphabet + 1, np.int64)
+        self.bin_w1, self.w1 = np.full(64, WEIGHT // 2), np.zeros(alphabet + 1, np.int64)
+        self.successor, self.seen, self.right = (np.zeros(1 << HASH_BITS, np.int32) for _ in range(3))
+        self.context, self.bin_w2 = np.zeros(1 << HASH_BITS, np.uint8), np.zeros(64, np.int64)
+        self.tried, self.hit = np.full(64, 4), np.full(64, 1)
+        self._spread()
+
+    def _spread(self) -> None:
         sums = np.concatenate([[0], np.cumsum(self.counts)])
-        self.cumulative = (sums * ((1 << ORDER0_BITS) - self.alphabet) // sums[-1] + np.arange(self.alphabet + 1)).astype(np.int32)
-        if self.inverse:
-            self.owner = np.repeat(np.arange(self.alphabet, dtype=np.int32), np.diff(self.cumulative))
-        self.due, self.pending = max(REFRESH, self.coded >> 2), 0
-
-    def predict(self, n: int) -> None:
-        """For the first n lanes: predicted ids, their weights, and the contexts."""
-        self.state2, self.state1 = self.order2[self.hash2[:n]], self.order1[self.last[:n]]
-        self.id2, self.id1 = self.state2 >> 3, self.state1 >> 3
-        sure2, sure1 = self.state2 & 7, self.state1 & 7
-        self.context = (sure2 << 4) + (sure1 << 1) + ((self.id2 == self.id1) & (sure2 > 0))
-        self.p2, self.p1 = self.w2[self.context], self.w1[self.context]
-
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        n = len(ids)
-        for states, at, state, right in ((self.order2, self.hash2[:n], self.state2, self.id2 == ids), (self.order1, self.last[:n], self.state1, self.id1 == ids)):
-            sure = state & 7
-            kept = (state - sure) + (sure >> 1)
-            states[at] = np.where(right & (sure > 0), state + (sure < SURE), np.where(sure > 1, kept, (ids << 3) + 1))
-        self.seen += np.bincount(self.context, minlength=128)
-        self.hit2 += np.bincount(self.context[hit2], minlength=128)
-        self.hit1 += np.bincount(self.context[hit1], minlength=128)
-        self._weights()
-        self.hash2[:n] = (self.last[:n] * np.int32(40503) + ids * np.int32(30011)) & np.int32((1 << HASH_BITS) - 1)
-        self.last[:n] = ids
-        self.recent.append(ids)
-        self.pending, self.coded = self.pending + n, self.coded + n
-        if self.pending >= self.due:
-            self._frequencies()
+        self.order0 = sums * (PART - self.alphabet) // sums[-1] + np.arange(self.alphabet + 1)
+
+    def slots(self, before2: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Where order 2 keeps what followed two ids."""
+        h = before2.astype(np.uint32) * np.uint32(0x9E3779B1) + before.astype(np.uint32) * np.uint32(0x85EBCA6B)
+        return ((h ^ h >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - HASH_BITS)).astype(np.int64)
+
+    def fineness(self) -> np.ndarray:
+        """Bits of P1's slots after each id."""
+        return np.minimum(np.frexp(self.kinds.astype(float))[1] + FINE, MOST_FINE)
+
+    def order1(self, own: np.ndarray, times: np.ndarray, head: np.ndarray, fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """P1's first slot and number of slots for each pair, by what stood before (``own``), how often it was seen, and where a's pairs begin."""
+        there = times > 0
+        sums, ranks = np.concatenate([[0], np.cumsum(times)]), np.concatenate([[0], np.cumsum(there)])
+        first = head[own]
+        below, rank = sums[:-1] - sums[first], ranks[:-1] - ranks[first]
+        room, whole = (1 << fine[own]) - self.kinds[own], np.maximum(self.times[own], 1)
+        low = _divided(below * room, whole) + rank
+        return low, np.where(there, _divided((below + times) * room, whole) + rank + 1 - low, 0)
+
+    def weights(self, before: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w2 = self.bin_w2.take(self.context.take(slot))
+        return w2, (WEIGHT - w2) * self.w1.take(before) >> TOTAL_BITS - PART_BITS
+
+    def update(self, before: np.ndarray, slot: np.ndarray, ids: np.ndarray, fresh: np.ndarray, order: np.ndarray) -> None:
+        """Learn a round: the ids with what stood before them, the new pairs, and the order by which each id was coded."""
+        some = np.flatnonzero(order < 2)[::LEARN]
+        a = before[some]
+        known = self.times[a] > 0
+        bins = self._bins(a)[known]
+        gained, tried = np.bincount(bins[order[some][known] == 1], minlength=64), np.bincount(bins, minlength=64)
+        self.bin_w1 = np.minimum((gained * WEIGHT + 20 * self.bin_w1) // (tried + 20), MOST_W1)
+        hit = self.successor[slot] == ids
+        context = self.context[slot]
+        self.tried += np.bincount(context, minlength=64)
+        self.hit += np.bincount(context[hit], minlength=64)
+        self.counts += SEEN * np.bincount(ids, minlength=self.alphabet)
+        self._spread()
+        self.times += np.bincount(before, minlength=self.alphabet + 1)
+        self.kinds += np.bincount(fresh // self.alphabet, minlength=self.alphabet + 1)
+        self.w1 = np.where(self.times > 0, self.bin_w1[self._bins(slice(None))], 0)
+        self.right += np.bincount(slot[hit], minlength=len(self.right)).astype(np.int32)
+        self.seen += np.bincount(slot, minlength=len(self.seen)).astype(np.int32)
+        self.successor[slot] = ids  # of several the last
+        self.context[:] = np.minimum(self.seen, 7) * 8 + np.minimum(self.right, 7)
+        of_bin = np.minimum(self.hit * WEIGHT // (self.tried + 1), MOST_W2)
+        self.bin_w2 = np.where((of_bin < LEAST_W2) | (np.arange(64) < 8), 0, of_bin)
+
+    def _bins(self, a: np.ndarray | slice) -> np.ndarray:
+        """Contexts of w1: how much of a's followers were no new ones, and whether a is frequent."""
+        times = self.times[a]
+        return times * 32 // (times + self.kinds[a] + 1) + 32 * (times > 64)
 
 
 def _grow(low: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -131,6 +168,19 @@ def _grow(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.flatnonzero(settled)
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, each key's number among them, and which keys are the first of their kind."""
+    n = len(keys)
+    bits = max(1, (n - 1).bit_length())
+    both = np.sort(keys << bits | np.arange(n))
+    key, place = both >> bits, both & ((1 << bits) - 1)
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    number, first = np.empty(n, np.int64), np.zeros(n, bool)
+    number[place] = np.cumsum(new) - 1
+    first[place[new]] = True
+    return key[new], number, first
+
+
 def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
     """A block of ids, each below ``alphabet``."""
     ids = np.ascontiguousarray(ids, np.int32)
@@ -139,50 +189,86 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
     if not n:
         return HEADER.pack(MAGIC, 0, 0, alphabet, 0, check)
     lanes, length = lanes_of(n)
-    padded = np.zeros(lanes * length, np.int32)
+    padded = np.zeros(lanes * length, np.int64)
     padded[:n] = ids
-    by_step = np.ascontiguousarray(padded.reshape(lanes, length).T)
-    model = _Model(alphabet, lanes)
+    by_step = padded.reshape(lanes, length).T
+    active = -(-(n - np.arange(length)) // length)  # lanes that have a step's id: the first ones
+    begin = np.concatenate([[0], np.cumsum(active)])
+    x = np.concatenate([by_step[t, :a] for t, a in enumerate(active.tolist())])
+    before, before2 = np.full(n, alphabet, np.int64), np.full(n, alphabet, np.int64)
+    for t in range(1, length):
+        at, was = slice(begin[t], begin[t + 1]), slice(begin[t - 1], begin[t - 1] + active[t])
+        before[at], before2[at] = x[was], before[was]
+    model = _Model(alphabet)
+    pairs, number, first = _numbered(before * alphabet + x)
+    own, head = pairs // alphabet, np.searchsorted(pairs, np.arange(alphabet + 1) * alphabet)  # a's first pair
+    slots = model.slots(before2, before)
+    times = np.zeros(len(pairs), np.int64)
     low, size = np.zeros(lanes, U), np.full(lanes, U((1 << 64) - 1))
     out, used = np.zeros((lanes, 2 * length + 8), np.uint16), np.zeros(lanes, np.int64)
+    rounds = rounds_of(length)
     with np.errstate(over="ignore"):
-        for t in range(length):
-            a = -(-(n - t) // length)
-            x = by_step[t, :a]
-            model.predict(a)
-            hit2 = (x == model.id2) & (model.p2 > 0)
-            hit1 = (x == model.id1) & (model.p1 > 0) & ~hit2
-            both = model.p2 + model.p1
-            rest = (TOTAL - both).astype(np.int64)
-            begin = rest * model.cumulative[x] >> ORDER0_BITS
-            end = rest * model.cumulative[x + 1] >> ORDER0_BITS
-            at = np.where(hit2, 0, np.where(hit1, model.p2, both + begin)).astype(U)
-            width = np.where(hit2, model.p2, np.where(hit1, model.p1, end - begin)).astype(U)
-            lo, sz = low[:a], size[:a]
-            unit = sz >> _T
-            lo += unit * at
-            np.multiply(unit, width, out=sz)
-            move = _grow(lo, sz)
-            while len(move):
-                here = lo[move]
-                out[move, used[move]] = (here >> _48).astype(np.uint16)
-                used[move] += 1
-                if int(used.max()) + 4 > out.shape[1]:
+        for s, e in zip(rounds, rounds[1:], strict=False):
+            now = slice(begin[s], begin[e])
+            a, c, of, slot = before[now], x[now], number[now], slots[now]
+            fine = model.fineness()
+            low1, n1 = model.order1(own, times, head, fine)
+            w2, w1 = model.weights(a, slot)
+            w0, low0 = WEIGHT - w2 - w1, model.order0[c]
+            shift = PART_BITS - fine[a]
+            width2 = np.where(model.successor[slot] == c, w2, 0) << PART_BITS
+            width1, width0 = w1 * n1[of] << shift, w0 * (model.order0[c + 1] - low0)
+            order = np.where(width1 > width0, 1, 0)
+            starts, widths = np.where(order == 1, (w2 << PART_BITS) + (w1 * low1[of] << shift), (w2 + w1 << PART_BITS) + w0 * low0), np.maximum(width1, width0)
+            second = width2 > widths
+            starts[second], widths[second], order[second] = 0, width2[second], 2
+            starts, widths = starts.view(U), widths.view(U)
+            for t in range(s, e):
+                some = slice(begin[t] - begin[s], begin[t + 1] - begin[s])
+                lo, sz = low[: active[t]], size[: active[t]]
+                unit = sz >> _T
+                lo += unit * starts[some]
+                np.multiply(unit, widths[some], out=sz)
+                move = _grow(lo, sz)
+                while len(move):
+                    here = lo[move]
+                    out[move, used[move]] = (here >> _48).astype(np.uint16)
+                    used[move] += 1
+                    here, there = here << _16, sz[move] << _16
+                    again = _grow(here, there)
+                    lo[move], sz[move] = here, there
+                    move = move[again]
+                if int(used.max()) + 8 > out.shape[1]:
                     out = np.concatenate([out, np.zeros((lanes, length + 8), np.uint16)], axis=1)
-                here, there = here << _16, sz[move] << _16
-                again = _grow(here, there)
-                lo[move], sz[move] = here, there
-                move = move[again]
-            model.update(x, hit2, hit1)
-        final = (low + _LOW32) >> U(32)  # within the range, and its lower half is 0
+            model.update(a, slot, c, pairs[of[first[now]]], order)
+            times += np.bincount(of, minlength=len(times))
+        # The shortest end: the words after it count as 0.
+        one = (low + _LOW48 >> _48) << _48
+        final = np.where(one - low < size, one, (low + _LOW32 >> U(32)) << U(32))
     every = np.arange(lanes)
-    out[every, used], out[every, used + 1] = (final >> _16).astype(np.uint16), final.astype(np.uint16)
-    used += 2
+    out[every, used], out[every, used + 1] = (final >> _48).astype(np.uint16), (final >> U(32)).astype(np.uint16)
+    used += np.where(final & _LOW48, 2, 1)
     words = out[np.arange(out.shape[1]) < used[:, None]]
-    payload = used.astype("<u4").tobytes() + words.astype("<u2").tobytes()
+    payload = used.astype(_used_kind(length)).tobytes() + words.astype("<u2").tobytes()
     return HEADER.pack(MAGIC, n, lanes, alphabet, zlib.crc32(payload), check) + payload
 
 
+def _used_kind(length: int) -> str:
+    """A step moves two words out at most in the long run, as no id has less than 2^-32 of the range."""
+    return "<u2" if 2 * length + 8 < 1 << 16 else "<u4"
+
+
+def _merge(pairs: np.ndarray, times: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted pairs and how often each was seen, with those of a round; and the pairs that are new."""
+    more, counts = np.unique(more, return_counts=True)
+    at = np.searchsorted(pairs, more)
+    known = np.zeros(len(more), bool)
+    inside = at < len(pairs)
+    known[inside] = pairs[at[inside]] == more[inside]
+    times[at[known]] += counts[known]
+    return np.insert(pairs, at[~known], more[~known]), np.insert(times, at[~known], counts[~known]), more[~known]
+
+
 def decode_block(block: bytes) -> np.ndarray:
     """The ids of a block; CorruptBlock if a checksum differs."""
     if len(block) < HEADER.size:
@@ -194,53 +280,79 @@ def decode_block(block: bytes) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint32)
     length = lanes_of(n)[1]
-    used = np.frombuffer(payload, "<u4", lanes).astype(np.int64)
-    words = np.concatenate([np.frombuffer(payload, "<u2", offset=4 * lanes), np.zeros(8, "<u2")]).astype(U)
+    kind = _used_kind(length)
+    used = np.frombuffer(payload, kind, lanes).astype(np.int64)
+    words = np.concatenate([np.frombuffer(payload, "<u2", offset=int(kind[-1]) * lanes), np.zeros(8, "<u2")]).astype(U)
     at = np.cumsum(used) - used
     ends = at + used
     code = np.zeros(lanes, U)
     for _ in range(4):
-        code = code << _16 | np.where(at < ends, words[at], U(0))
+        code = code << _16 | np.where(at < ends, words[np.minimum(at, len(words) - 1)], U(0))
         at = at + 1
-    model = _Model(alphabet, lanes, inverse=True)
+    model = _Model(alphabet)
     low, size = np.zeros(lanes, U), np.full(lanes, U((1 << 64) - 1))
+    last, last2 = np.full(lanes, alphabet, np.int64), np.full(lanes, alphabet, np.int64)
     by_step = np.zeros((length, lanes), np.int32)
+    pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rounds = rounds_of(length)
     with np.errstate(over="ignore"):
-        for t in range(length):
-            a = -(-(n - t) // length)
-            model.predict(a)
-            lo, sz, cd = low[:a], size[:a], code[:a]
-            unit = sz >> _T
-            value = np.minimum((cd - lo) // unit, U(TOTAL - 1)).astype(np.int64)
-            both = model.p2 + model.p1
-            hit2 = value < model.p2
-            hit1 = (value < both) & ~hit2
-            x = np.where(hit2, model.id2, model.id1)
-            start = np.where(hit2, 0, model.p2).astype(np.int64)
-            width = np.where(hit2, model.p2, model.p1).astype(np.int64)
-            other = np.flatnonzero(value >= both)
-            if len(other):
-                base = both[other].astype(np.int64)
-                rest = TOTAL - base
-                q = ((value[other] - base + 1 << ORDER0_BITS) - 1) // rest
-                found = model.owner[q]
-                begin = rest * model.cumulative[found] >> ORDER0_BITS
-                x[other] = found
-                start[other] = base + begin
-                width[other] = (rest * model.cumulative[found + 1] >> ORDER0_BITS) - begin
-            lo += unit * start.astype(U)
-            np.multiply(unit, width.astype(U), out=sz)
-            move = _grow(lo, sz)
-            while len(move):
-                here, there = lo[move] << _16, sz[move] << _16
-                place = at[move]
-                cd[move] = cd[move] << _16 | np.where(place < ends[move], words[np.minimum(place, len(words) - 1)], U(0))
-                at[move] += 1
-                again = _grow(here, there)
-                lo[move], sz[move] = here, there
-                move = move[again]
-            by_step[t, :a] = x
-            model.update(x, hit2, hit1)
+        for s, e in zip(rounds, rounds[1:], strict=False):
+            own = pairs // alphabet
+            symbol = pairs - own * alphabet
+            fine = model.fineness()
+            low1, n1 = model.order1(own, times, np.searchsorted(pairs, np.arange(alphabet + 1) * alphabet), fine)
+            table = np.append(np.repeat(np.arange(len(pairs), dtype=np.int32), n1), len(pairs)).astype(np.int32)  # the pair of each slot
+            entries = np.append(symbol << 2 * PART_BITS | low1 << PART_BITS | n1, 0)
+            room = np.where(model.times > 0, 1 << fine, 0)
+            begins = np.cumsum(room) - room << 5 | PART_BITS - fine
+            owner = np.repeat(np.arange(alphabet, dtype=np.int32), np.diff(model.order0))
+            kept = []
+            for t in range(s, e):
+                a = -(-(n - t) // length)
+                before = last[:a]
+                slot = model.slots(last2[:a], before)
+                w2, w1 = model.weights(before, slot)
+                lo, sz, cd = low[:a], size[:a], code[:a]
+                unit = sz >> _T
+                value = ((cd - lo) // unit).view(np.int64)
+                base = w2 << PART_BITS
+                inside = value - base
+                # Order 1 first, as if it had coded all; then those that it hasn't.
+                own_begin = begins.take(before)
+                shift = own_begin & 31
+                within = (np.maximum(inside, 0) >> shift) + 0.5
+                within /= np.maximum(w1, 1)
+                pair = entries.take(table.take(np.minimum((own_begin >> 5) + within.astype(np.int64), len(table) - 1)))
+                c, shift = pair >> 2 * PART_BITS, w1 << shift
+                start, width = base + (pair >> PART_BITS & PART - 1) * shift, (pair & PART - 1) * shift
+                order = np.ones(a, np.int8)
+                some = np.flatnonzero(inside < 0)
+                if len(some):
+                    c[some], start[some], width[some], order[some] = model.successor[slot[some]], 0, base[some], 2
+                some = np.flatnonzero(inside >= w1 << PART_BITS)
+                if len(some):
+                    w = WEIGHT - w2[some] - w1[some]
+                    skip = w1[some] << PART_BITS
+                    x = owner.take(np.minimum(((inside[some] - skip + 0.5) / w).astype(np.int64), PART - 1))
+                    low0 = model.order0[x]
+                    c[some], start[some], width[some], order[some] = x, base[some] + skip + w * low0, w * (model.order0[x + 1] - low0), 0
+                lo += unit * start.view(U)
+                np.multiply(unit, width.view(U), out=sz)
+                move = _grow(lo, sz)
+                while len(move):
+                    here, there = lo[move] << _16, sz[move] << _16
+                    place = at[move]
+                    cd[move] = cd[move] << _16 | np.where(place < ends[move], words[np.minimum(place, len(words) - 1)], U(0))
+                    at[move] += 1
+                    again = _grow(here, there)
+                    lo[move], sz[move] = here, there
+                    move = move[again]
+                by_step[t, :a] = c
+                kept.append((before.copy(), slot, c, order))
+                last2[:a], last[:a] = before, c
+            before, slot, c, order = (np.concatenate(k) for k in zip(*kept, strict=True))
+            pairs, times, fresh = _merge(pairs, times, before * alphabet + c)
+            model.update(before, slot, c, fresh, order)
     ids = by_step.T.reshape(-1)[:n].astype("<u4")
     if zlib.crc32(ids.tobytes()) != ids_check:
         raise CorruptBlock("ids don't match their checksum")

@@ -19,6 +19,13 @@ _HELD: dict[tuple, CachedTokenizer] = {}
 #: Characters that may part new words in one call, as far as the vocabulary has an id of its own for one.
 MARKERS = "\u2603\u2665\u266b\u2728\u2764"
 JOINED = 1 << 17
+#: Words that tell whether a vocabulary's model gives the ids of a word of letters by itself.
+SAMPLES = ["a", "é", "straße", "größenordnungsmäßig", "ŝĝœ", "the", "it", "hello", "don", "re", "internationalisation", "zqxjkvw", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "schifffahrt", "s", "ll"]
+#: Letters up to the second Latin extension: composed, so normal forms leave them.
+LETTERS = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Byte-level vocabularies write a byte as the character of its number where that is printed, the others as those from 256 on.
+SYMBOLS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 #: Before a line's first word, a text's, and a mark that was cut off the word before it.
 MARKS = ("\n", "\r", "\0")
 TAILS = ",."
@@ -59,6 +66,9 @@ class CachedTokenizer:
             alone = {c: self._ids([c])[0] for c in MARKERS}
             self.marker, self.marker_id = next(((c, int(i[0])) for c, i in alone.items() if len(i) == 1), ("", -1))
 
+        self.model, self.lead = self.tokenizer.model, "\u0120" if spaced else ""  # the byte-level sign of a space
+        self.direct = self._same(SAMPLES)
+
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = list(map(len, ids))
@@ -85,7 +95,34 @@ class CachedTokenizer:
         lengths = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
         return np.delete(ids, marks), lengths
 
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters by the vocabulary's model alone: nothing that comes before it alters or cuts them."""
+        flat: list[int] = []
+        lengths = np.empty(len(words), np.int64)
+        for k, w in enumerate(words):
+            own = [t.id for t in self.model.tokenize(self.lead + (w if w.isascii() else w.encode().decode("latin-1").translate(SYMBOLS)))]
+            flat += own
+            lengths[k] = len(own)
+        return np.array(flat, np.uint32), lengths
+
     def _compute(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids by word; words of letters go to the model, some of them the long way too, to see that it is the same."""
+        if not self.direct:
+            return self._compute_others(words)
+        plain = np.fromiter((LETTERS.fullmatch(w) is not None and (self.spaced or w.islower()) for w in words), bool, len(words))
+        letters = [w for w, p in zip(words, plain.tolist(), strict=True) if p]
+        if not self._same(letters[:: max(1, len(letters) // 4)]):
+            self.direct = False
+            return self._compute_others(words)
+        ids, sizes = self._compute_others([w for w, p in zip(words, plain.tolist(), strict=True) if not p])
+        return _interleave(ids, sizes, *self._letters(letters), np.flatnonzero(plain))
+
+    def _same(self, words: list[str]) -> bool:
+        ids, sizes = self._letters(words)
+        whole, whole_sizes = self._ids([" " * self.spaced + w for w in words])
+        return sizes.tolist() == whole_sizes and ids.tolist() == whole.tolist()
+
+    def _compute_others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids by word; in ``spaced`` mode a word whose inner white space forbids cutting gets no ids and is noted."""
         flat, lengths = [], []
         i = 0

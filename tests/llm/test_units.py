@@ -35,7 +35,7 @@ def test_cached_tokenizer_equals_whole_texts(name, spaced):
 
     whole = Tokenizer.from_file(public_vocabulary(name))
     r = random.Random(3)
-    parts = ["a", "B", "é", "ß", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "\x1c", ".", "!!", "'s", "12", "♥", "İ", "Σ", "é", "<|endoftext|>", "a <|endoftext|> b", "<|startoftext|>", "<|ENDOFTEXT|>", "日本", "\x00", " don't", ", ", ". ", "., ", ", , ", "x, ", "é. ", ".\n"]
+    parts = ["a", "B", "é", "ß", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "\x1c", ".", "!!", "'s", "12", "♥", "İ", "Σ", "é", "<|endoftext|>", "a <|endoftext|> b", "<|startoftext|>", "<|ENDOFTEXT|>", "日本", "\x00", " don't", " schön", " é", " straße", " ŝŒĝ", " ﬁ", " ª", " ǅ", " œuvre", ", ", ". ", "., ", ", , ", "x, ", "é. ", ".\n"]
     texts = ["".join(r.choices(parts, k=r.randint(0, 30))) for _ in range(1500)] + [None, "", " ", "\n"]
     cached = CachedTokenizer(public_vocabulary(name), spaced, limit=300)
     for i in range(0, len(texts), 400):
@@ -65,6 +65,25 @@ def test_model_predicts():
     assert len(tokenfile.encode_block(ids, 49_408)) * 8 / len(ids) < 4  # 15.6 bits an id without a model
 
 
+def test_model_gains_on_text():
+    """Ids of real texts take well under their order-0 entropy, in blocks of the size that files have."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].combine_chunks()[:2500]
+    ids = CachedTokenizer(public_vocabulary("word_bpe_49k.json"), False).encode(texts)[0][: tokenfile.BLOCK_IDS].astype(np.int32)
+    share = np.bincount(ids) / len(ids)
+    entropy = -float((share[share > 0] * np.log2(share[share > 0])).sum())
+    block = tokenfile.encode_block(ids, 49_408)
+    assert len(ids) == tokenfile.BLOCK_IDS and len(block) * 8 / len(ids) < 6.8 < entropy - 1.4
+    assert np.array_equal(tokenfile.decode_block(block), ids)
+
+
+@pytest.mark.parametrize("ids", [[0] * 5000, list(range(5000)), [7], [524_287, 0] * 700, [3, 1, 4, 1, 5] * 300])
+def test_odd_blocks(ids):
+    alphabet = max(ids) + 1
+    assert tokenfile.decode_block(tokenfile.encode_block(np.array(ids, np.int32), alphabet)).tolist() == ids
+
+
 def test_joined_checksum():
     assert tokenfile.crc32_join(zlib.crc32(b"ab"), zlib.crc32(b"cdefg"), 5) == zlib.crc32(b"abcdefg")
 
