@@ -5,9 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SIGNED = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 SIGNED_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 UNSIGNED_BITS = {"utinyint": 8, "usmallint": 16, "uint": 32, "ubigint": 64}
 
@@ -16,10 +14,6 @@ class PromotionError(TypeError):
     """Two files hold a column in types that no storage type can hold together."""
 
 
-def is_unsigned(name: str) -> bool:
-    return name in UNSIGNED_BITS
-
-
 def promote(left: str, right: str) -> str:
     """The narrowest logical type that holds both, by name (``tinyint`` .. ``ubigint``, ``float``, ...).
 
@@ -75,11 +69,6 @@ def storage_name(logical: str) -> str:
     return {"utinyint": "smallint", "usmallint": "int", "uint": "bigint", "ubigint": "decimal(20,0)"}.get(logical, logical)
 
 
-def wide_integers_as_text(df: DataFrame, *names: str) -> DataFrame:
-    """128-bit integers beyond 38 digits have no Spark number; keep their decimal text instead."""
-    return df.withColumns({n: F.col(n).cast("string") for n in names})
-
-
 def reject_nulls(df: DataFrame) -> DataFrame:
     """Fail the job at the first NULL, for sinks that promise there are none."""
     checked = {

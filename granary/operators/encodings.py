@@ -2,11 +2,11 @@
 
 Storage picks its own encodings; these show what each would do to a column,
 with positions 0.. in ``pos`` and values in ``val``, cut into vectors of
-``VECTOR`` rows. Encoders and decoders are inverse to each other.
+``VECTOR`` rows. Encoders and decoders are inverse to each other, NULLs included.
 
 Runs, codes and widths are found per vector or per key, so every window is
-partitioned: by vector, or by block of ``RUN_BLOCK`` vectors for runs across
-vectors, whose block borders are then joined by a second, small pass.
+partitioned: by vector, or by block for runs across vectors, whose border runs
+meet in larger blocks, step by step, until few are left.
 """
 
 from __future__ import annotations
@@ -16,8 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.session import materialize
+
 VECTOR = 1024
-RUN_BLOCK = 64
+#: Rows to a block in which runs are joined; only the first and last run of each go on to the next.
+RUN_BLOCKS = (1 << 16, 1 << 22, 1 << 28)
 
 
 def with_vector(df: DataFrame, pos: str = "pos") -> DataFrame:
@@ -26,28 +29,25 @@ def with_vector(df: DataFrame, pos: str = "pos") -> DataFrame:
 
 def rle_encode(df: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
     """Runs of equal neighbours over the whole column: run_start, run_length, val."""
-    block = F.floor(F.col(pos) / (VECTOR * RUN_BLOCK))
-    w = Window.partitionBy("__b").orderBy(pos)
-    marked = df.withColumn("__b", block).withColumn("__new", F.when((F.row_number().over(w) == 1) | ~F.col(val).eqNullSafe(F.lag(val).over(w)), 1).otherwise(0))
-    runs = (
-        marked.withColumn("__run", F.sum("__new").over(w))
-        .groupBy("__b", "__run")
-        .agg(F.min(pos).alias("run_start"), F.count(F.lit(1)).alias("run_length"), F.first(val).alias(val))
-    )
-    # Runs that go on over a block's border: only first and last runs of blocks can.
-    edge = Window.partitionBy("__b")
-    tagged = runs.withColumn("__lo", F.min("__run").over(edge)).withColumn("__hi", F.max("__run").over(edge))
-    inner = tagged.where((F.col("__run") != F.col("__lo")) & (F.col("__run") != F.col("__hi"))).select("run_start", "run_length", val)
-    outer = tagged.where((F.col("__run") == F.col("__lo")) | (F.col("__run") == F.col("__hi")))
-    order = Window.orderBy("run_start")  # at most two rows a block
-    joined = (
-        outer.withColumn("__new", F.when(F.col(val).eqNullSafe(F.lag(val).over(order)) & (F.col("run_start") == F.lag(F.col("run_start") + F.col("run_length")).over(order)), 0).otherwise(1))
-        .withColumn("__id", F.sum("__new").over(order))
-        .groupBy("__id")
-        .agg(F.min("run_start").alias("run_start"), F.sum("run_length").alias("run_length"), F.first(val).alias(val))
-        .select("run_start", "run_length", val)
-    )
-    return inner.unionByName(joined)
+    runs = df.select(F.col(pos).alias("run_start"), F.lit(1).cast("bigint").alias("run_length"), val)
+    done = None
+    for block in RUN_BLOCKS:
+        joined = _join_runs(runs, F.floor(F.col("run_start") / block), val)
+        edge = Window.partitionBy("__b")
+        tagged = joined.withColumn("__edge", (F.col("run_start") == F.min("run_start").over(edge)) | (F.col("run_start") == F.max("run_start").over(edge)))
+        inner = tagged.where("NOT __edge").select("run_start", "run_length", val)
+        done = inner if done is None else done.unionByName(inner)
+        runs = tagged.where("__edge").select("run_start", "run_length", val)
+    return done.unionByName(_join_runs(runs, F.lit(0), val).select("run_start", "run_length", val))  # two rows a block of the largest
+
+
+def _join_runs(runs: DataFrame, block: Column, val: str) -> DataFrame:
+    """Neighbouring runs of one value joined within each block."""
+    w = Window.partitionBy("__b").orderBy("run_start")
+    goes_on = F.col(val).eqNullSafe(F.lag(val).over(w)) & (F.col("run_start") == F.lag(F.col("run_start") + F.col("run_length")).over(w))
+    marked = runs.withColumn("__b", block).withColumn("__new", F.when(goes_on, 0).otherwise(1))
+    numbered = marked.withColumn("__run", F.sum("__new").over(w))
+    return numbered.groupBy("__b", "__run").agg(F.min("run_start").alias("run_start"), F.sum("run_length").alias("run_length"), F.first(val).alias(val))
 
 
 def rle_decode(runs: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
@@ -67,12 +67,19 @@ def rle_map_decode(values: DataFrame, index: DataFrame, pos: str = "pos", val: s
 
 
 def dict_encode(df: DataFrame, pos: str = "pos", val: str = "val") -> tuple[DataFrame, DataFrame]:
-    """The sorted distinct values with codes 0.., and the code of each position.
+    """The sorted distinct values with codes 0.., and the code of each position (NULL for NULL).
 
-    Codes rank the distinct values only, never the rows.
+    The values are ranked by ranges of them, so any number will do: each range
+    is sorted by itself, and only the ranges' sizes meet in one place.
     """
-    keys = df.where(F.col(val).isNotNull()).select(val).distinct()
-    keys = keys.withColumn("code", (F.row_number().over(Window.orderBy(val)) - 1).cast("bigint"))
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = df.where(F.col(val).isNotNull()).select(val).distinct().repartitionByRange(n, val).sortWithinPartitions(val)
+    keys = materialize(keys.withColumn("__id", F.monotonically_increasing_id()), "dict-keys")  # the range's number is in the upper bits
+    of_range, rank = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = keys.groupBy(of_range.alias("__range")).count()
+    before = sizes.select("__range", (F.sum("count").over(Window.orderBy("__range")) - F.col("count")).alias("__before"))  # a row a range
+    keys = keys.withColumn("__range", of_range).join(F.broadcast(before), "__range").select(val, (F.col("__before") + rank).alias("code"))
     return keys, df.join(keys, val, "left").select(pos, "code")
 
 
@@ -116,11 +123,29 @@ def for_decode(offsets: DataFrame, pos: str = "pos", val: str = "val") -> DataFr
     return offsets.select(pos, (F.col("base") + F.col("offset")).alias(val))
 
 
-def patched_exceptions(df: DataFrame, share: float = 0.95, pos: str = "pos", val: str = "val") -> DataFrame:
-    """Offsets wider than the width that ``share`` of a vector's offsets need, with their places."""
+def _patched(df: DataFrame, share: float, pos: str, val: str) -> DataFrame:
+    """Offsets with the width that ``share`` of a vector's offsets need."""
     off = for_offsets(df, pos, val).withColumn("width", bits(F.col("offset")))
     cap = off.groupBy("vec").agg(F.expr(f"percentile_disc({share}) within group (order by width)").cast("bigint").alias("cap"))
-    return off.join(cap, "vec").where(F.col("width") > F.col("cap")).select("vec", pos, "cap", "offset")
+    return off.join(cap, "vec")
+
+
+def patched_exceptions(df: DataFrame, share: float = 0.95, pos: str = "pos", val: str = "val") -> DataFrame:
+    """Offsets wider than the width that ``share`` of a vector's offsets need, with their places."""
+    return _patched(df, share, pos, val).where(F.col("width") > F.col("cap")).select("vec", pos, "cap", "offset")
+
+
+def patched_encode(df: DataFrame, share: float = 0.95, pos: str = "pos", val: str = "val") -> tuple[DataFrame, DataFrame]:
+    """Per position the vector's base and width and the lowest bits of the offset; and the bits above them of wider offsets."""
+    off = _patched(df, share, pos, val)
+    low = F.expr("CAST(offset AS bigint) & (shiftleft(1L, CAST(cap AS int)) - 1)")
+    high = F.expr("shiftrightunsigned(CAST(offset AS bigint), CAST(cap AS int))")
+    return off.select(pos, "vec", "base", "cap", low.alias("low")), off.where(F.col("width") > F.col("cap")).select(pos, high.alias("high"))
+
+
+def patched_decode(packed: DataFrame, patches: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
+    whole = F.col("low") + F.coalesce(F.expr("shiftleft(high, CAST(cap AS int))"), F.lit(0))
+    return packed.join(patches, pos, "left").select(pos, (F.col("base") + whole).alias(val))
 
 
 def constant_vectors(df: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
@@ -129,31 +154,68 @@ def constant_vectors(df: DataFrame, pos: str = "pos", val: str = "val") -> DataF
     return g.where((F.col("val") == F.col("__hi")) & (F.col("__n") == F.col("n"))).select("vec", "val", "n")
 
 
-def alp_exponent(df: DataFrame, pos: str = "pos", val: str = "val", most: int = 10) -> DataFrame:
-    """Per vector, the least e with round(x * 10^e) / 10^e = x for all its numbers; -1 if none up to ``most``."""
-    x = F.col(val)
+def constant_encode(df: DataFrame, pos: str = "pos", val: str = "val") -> tuple[DataFrame, DataFrame]:
+    """Vectors of one value as their first position, length and value; and the rows of all others."""
+    rows = with_vector(df, pos)
+    g = rows.groupBy("vec").agg(F.min(pos).alias("first"), F.count(F.lit(1)).alias("n"), F.min(val).alias("val"), F.max(val).alias("__hi"), F.count(val).alias("__n"))
+    constant = g.where((F.col("val") == F.col("__hi")) & (F.col("__n") == F.col("n"))).select("vec", "first", "n", "val")
+    return constant, rows.join(constant.select("vec"), "vec", "left_anti").select(pos, val)
+
+
+def constant_decode(constant: DataFrame, rest: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
+    return constant.select(F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias(pos), F.col("val").alias(val)).unionByName(rest)
+
+
+def _least_exponent(x: Column, most: int) -> Column:
     least = F.lit(-1)
     for e in range(most, -1, -1):
         scale = F.lit(float(10**e))
         least = F.when(F.round(x * scale) / scale == x, F.lit(e)).otherwise(least)
-    per_row = with_vector(df, pos).withColumn("__e", least)
+    return least
+
+
+def alp_exponent(df: DataFrame, pos: str = "pos", val: str = "val", most: int = 10) -> DataFrame:
+    """Per vector, the least e with round(x * 10^e) / 10^e = x for all its numbers; -1 if none up to ``most``."""
+    per_row = with_vector(df, pos).withColumn("__e", _least_exponent(F.col(val), most))
     return per_row.groupBy("vec").agg(F.when(F.min("__e") < 0, -1).otherwise(F.max("__e")).cast("bigint").alias("exponent"))
 
 
+def alp_encode(df: DataFrame, pos: str = "pos", val: str = "val", most: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Numbers as whole ``digits`` over a power of ten of their vector; and those that are none, with NULLs, as they are."""
+    rows = with_vector(df, pos).withColumn("__e", _least_exponent(F.col(val), most))
+    exponent = rows.groupBy("vec").agg(F.greatest(F.max("__e"), F.lit(0)).alias("exponent"))
+    rows = rows.join(exponent, "vec")
+    scale = F.pow(F.lit(10.0), F.col("exponent"))
+    digits = F.round(F.col(val) * scale)
+    # 2^53: beyond it doubles skip whole numbers. A zero with a sign isn't the digit 0.
+    exact = F.coalesce((digits / scale == F.col(val)) & (F.abs(digits) < float(1 << 53)) & ~((F.col(val) == 0) & F.col(val).cast("string").startswith("-")), F.lit(False))
+    return rows.where(exact).select(pos, "vec", "exponent", digits.cast("bigint").alias("digits")), rows.where(~exact).select(pos, val)
+
+
+def alp_decode(packed: DataFrame, exceptions: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
+    number = F.col("digits").cast("double") / F.pow(F.lit(10.0), F.col("exponent"))
+    return packed.select(pos, number.alias(val)).unionByName(exceptions)
+
+
 def uncompressed_bytes(df: DataFrame, pos: str = "pos", val: str = "val") -> DataFrame:
     """Plain size of a text column per vector."""
     return with_vector(df, pos).groupBy("vec").agg(F.sum(F.octet_length(val)).cast("bigint").alias("n_bytes"))
 
 
-def transpose_lanes(df: DataFrame, lanes: int = 32, pos: str = "pos", val: str = "val") -> DataFrame:
-    """Each full vector seen as rows of ``lanes`` values and turned: a permutation of positions."""
+def transpose_lanes(df: DataFrame, lanes: int = 32, pos: str = "pos", val: str = "val", rows: int | None = None) -> DataFrame:
+    """Each full vector seen as rows of ``lanes`` values and turned: a permutation of positions.
+
+    With ``rows``, the column's length, a last vector that isn't full stays as it is.
+    """
     p = F.col(pos) % VECTOR
-    turned = (p % lanes) * (VECTOR // lanes) + F.floor(p / lanes)
-    return df.select((F.col(pos) - p + turned).cast("bigint").alias(pos), val)
+    turned = F.col(pos) - p + (p % lanes) * (VECTOR // lanes) + F.floor(p / lanes)
+    if rows is not None:
+        turned = F.when(F.col(pos) < rows // VECTOR * VECTOR, turned).otherwise(F.col(pos))
+    return df.select(turned.cast("bigint").alias(pos), val)
 
 
-def untranspose_lanes(df: DataFrame, lanes: int = 32, pos: str = "pos", val: str = "val") -> DataFrame:
-    return transpose_lanes(df, VECTOR // lanes, pos, val)
+def untranspose_lanes(df: DataFrame, lanes: int = 32, pos: str = "pos", val: str = "val", rows: int | None = None) -> DataFrame:
+    return transpose_lanes(df, VECTOR // lanes, pos, val, rows)
 
 
 def symbol_table(df: DataFrame, val: str = "val", size: int = 255) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from granary.operators.joins import asof_join, range_join
 from granary.plans.tables import ORACLES, QUERIES, query, table, views
 from granary.session import scratch_path
+from granary.sources.reader import read_table
 from granary.sources.writer import write_table
-from granary.streaming import stream_table, tumbling_counts
+from granary.streaming import append_table, distinct_rows, running_totals, session_counts, sliding_counts, stream_table, tumbling_counts
 
 #: name: (tables, SQL that both engines run, or the pair of Spark's and the oracle's)
 SQL = {
@@ -65,7 +68,16 @@ PAIRS = {
     "pivot": ("orders", "SELECT * FROM (SELECT o_orderpriority, o_orderstatus FROM orders) PIVOT (count(*) FOR o_orderstatus IN ('F' AS f, 'O' AS o))", "SELECT o_orderpriority, nullif(count(*) FILTER (WHERE o_orderstatus = 'F'), 0) AS f, nullif(count(*) FILTER (WHERE o_orderstatus = 'O'), 0) AS o FROM orders GROUP BY o_orderpriority"),
     "unpivot": ("nation", "SELECT n_nationkey, k, v FROM (SELECT n_nationkey, n_regionkey AS a, n_nationkey * 2 AS b FROM nation) UNPIVOT (v FOR k IN (a, b))", "SELECT n_nationkey, 'a' AS k, n_regionkey AS v FROM nation UNION ALL SELECT n_nationkey, 'b', n_nationkey * 2 FROM nation"),
     "array_functions": ("embeddings", "SELECT vec_id, cast(size(embedding) as bigint) AS n, round(aggregate(embedding, 0D, (a, x) -> a + x * cast(x as double)), 4) AS sq, embedding[0] AS f FROM embeddings", "SELECT vec_id, len(embedding)::BIGINT AS n, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 4) AS sq, embedding[1] AS f FROM embeddings"),
-    "json_fields": ("events", "SELECT event_id, cast(length(get_json_object(props, '$')) as bigint) > 0 AS has FROM events", "SELECT event_id, length(json(props)) > 0 AS has FROM events"),
+    "json_fields": ("events", "SELECT event_id, get_json_object(j, '$.id') AS id, get_json_object(j, '$.tags[1]') AS tag, get_json_object(j, '$.in.kind') AS kind, get_json_object(j, '$.none') AS none FROM (SELECT event_id, to_json(named_struct('id', event_id, 'tags', array('t', event_type), 'in', named_struct('kind', event_type))) AS j FROM events)", "SELECT event_id, j->>'$.id' AS id, j->>'$.tags[1]' AS tag, j->>'$.in.kind' AS kind, j->>'$.none' AS none FROM (SELECT event_id, json_object('id', event_id, 'tags', ['t', event_type], 'in', json_object('kind', event_type)) AS j FROM events)"),
+    "json_parsed": ("events", "SELECT event_id, p.k AS k, p.xs AS xs FROM (SELECT event_id, from_json(concat('{\"k\": ', event_id, ', \"xs\": [1, ', event_id % 5, ']}'), 'k bigint, xs array<bigint>') AS p FROM events)", "SELECT event_id, event_id AS k, [1, event_id % 5] AS xs FROM events"),
+    "map_functions": ("nation", "SELECT n_nationkey, element_at(m, 'b') AS b, array_sort(map_keys(m)) AS ks, array_sort(map_values(transform_values(m, (k, v) -> v * 2))) AS vs, cast(size(map_filter(m, (k, v) -> v > 5)) as bigint) AS n, map_contains_key(m, 'z') AS z FROM (SELECT n_nationkey, map('a', n_nationkey, 'b', n_regionkey) AS m FROM nation)", "SELECT n_nationkey, n_regionkey AS b, ['a', 'b'] AS ks, list_sort([n_nationkey * 2, n_regionkey * 2]) AS vs, (n_nationkey > 5)::BIGINT + (n_regionkey > 5)::BIGINT AS n, false AS z FROM nation"),
+    "struct_functions": ("nation", "SELECT n_nationkey, s.name AS name, s.inner.r AS r, u.extra AS extra, s = named_struct('name', n_name, 'inner', named_struct('r', n_regionkey)) AS same FROM (SELECT *, struct(s.*, 1 AS extra) AS u FROM (SELECT *, named_struct('name', n_name, 'inner', named_struct('r', n_regionkey)) AS s FROM nation))", "SELECT n_nationkey, n_name AS name, n_regionkey AS r, 1 AS extra, true AS same FROM nation"),
+    "higher_order": ("nation", "SELECT n_nationkey, transform(xs, x -> x * 2) AS doubled, filter(xs, x -> x % 2 = 0) AS even, exists(xs, x -> x > 20) AS big, forall(xs, x -> x >= 0) AS all_up, zip_with(xs, array(1L, 2L, 3L), (a, b) -> a + b) AS zipped, array_sort(xs, (a, b) -> int(sign(b - a))) AS down FROM (SELECT n_nationkey, array(n_nationkey, n_regionkey, 7L) AS xs FROM nation)", "SELECT n_nationkey, list_transform(xs, lambda x: x * 2) AS doubled, list_filter(xs, lambda x: x % 2 = 0) AS even, len(list_filter(xs, lambda x: x > 20)) > 0 AS big, true AS all_up, [xs[1] + 1, xs[2] + 2, xs[3] + 3] AS zipped, list_reverse_sort(xs) AS down FROM (SELECT n_nationkey, [n_nationkey, n_regionkey, 7::BIGINT]::BIGINT[] AS xs FROM nation)"),
+    "collected_sets": ("orders", "SELECT o_orderpriority, array_sort(collect_set(o_orderstatus)) AS statuses, array_sort(collect_list(o_orderkey % 3)) AS all_of FROM orders WHERE o_orderkey < 300 GROUP BY o_orderpriority", "SELECT o_orderpriority, list_sort(list(DISTINCT o_orderstatus)) AS statuses, list_sort(list(o_orderkey % 3)) AS all_of FROM orders WHERE o_orderkey < 300 GROUP BY o_orderpriority"),
+    "more_aggregates": ("orders", "SELECT o_orderstatus, bool_and(o_totalprice > 0) AS a, bool_or(o_orderkey = 7) AS o, bit_xor(o_orderkey) AS x, max_by(o_orderkey, o_totalprice) AS dearest, count_if(o_custkey % 2 = 0) AS even, round(stddev_samp(o_totalprice), 3) AS sd, round(corr(o_orderkey, o_totalprice), 6) AS c, array_join(array_sort(collect_set(o_orderpriority)), ',') AS listed FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, bool_and(o_totalprice > 0) AS a, bool_or(o_orderkey = 7) AS o, bit_xor(o_orderkey) AS x, max_by(o_orderkey, o_totalprice) AS dearest, count_if(o_custkey % 2 = 0)::BIGINT AS even, round(stddev_samp(o_totalprice), 3) AS sd, round(corr(o_orderkey, o_totalprice), 6) AS c, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS listed FROM orders GROUP BY o_orderstatus"),
+    "approx_distinct": ("orders", "SELECT o_orderpriority, abs(approx_count_distinct(o_custkey, 0.02) - count(DISTINCT o_custkey)) <= 0.1 * count(DISTINCT o_custkey) AS close FROM orders GROUP BY o_orderpriority", "SELECT o_orderpriority, true AS close FROM orders GROUP BY o_orderpriority"),
+    "approx_percentiles": ("orders", "SELECT o_orderpriority, transform(percentile_approx(o_orderkey, array(0.1D, 0.5D, 0.9D), 100000), x -> x) AS q FROM orders GROUP BY o_orderpriority", "SELECT o_orderpriority, quantile_disc(o_orderkey, [0.1, 0.5, 0.9]) AS q FROM orders GROUP BY o_orderpriority"),
+    "exact_percentiles": ("orders", "SELECT o_orderstatus, round(percentile_cont(0.25) WITHIN GROUP (ORDER BY o_totalprice), 4) AS q, percentile_disc(0.75) WITHIN GROUP (ORDER BY o_orderkey) AS d, mode() WITHIN GROUP (ORDER BY o_orderpriority) IS NOT NULL AS m FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.25), 4) AS q, quantile_disc(o_orderkey, 0.75)::DOUBLE AS d, true AS m FROM orders GROUP BY o_orderstatus"),
     "explode": ("nation", "SELECT n_nationkey, w FROM (SELECT n_nationkey, explode(split(n_name, '')) AS w FROM nation) WHERE w <> ''", "SELECT n_nationkey, unnest(string_split(n_name, '')) AS w FROM nation"),
     "median": ("orders", "SELECT o_orderstatus, round(median(o_totalprice), 4) AS med FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, round(median(o_totalprice), 4) AS med FROM orders GROUP BY o_orderstatus"),
     "generate_series": ("region", "SELECT id FROM range(1, 1025)", "SELECT unnest(generate_series(1, 1024)) AS id"),
@@ -84,6 +96,15 @@ def asof(spark, d):
     return asof_join(events.select("event_id", "user_id", "ts"), buys, "user_id", "ts", "ts", "bought", "last_id").select("event_id", "last_id")
 
 
+@query("asof_join_nulls", """SELECT l.id, r.val FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_custkey % 20 END AS k, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey END AS t FROM orders) l
+ASOF LEFT JOIN (SELECT CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_suppkey % 20 END AS k, s_suppkey * 15 AS t, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_suppkey END AS val FROM supplier) r ON l.k = r.k AND l.t >= r.t""")
+def asof_nulls(spark, d):
+    """NULL keys and times match nothing; the last row's value counts, NULL or not."""
+    left = table(spark, d, "orders").selectExpr("o_orderkey AS id", "if(o_orderkey % 9 = 0, null, o_custkey % 20) AS k", "if(o_orderkey % 13 = 0, null, o_orderkey) AS t")
+    right = table(spark, d, "supplier").selectExpr("if(s_suppkey % 7 = 0, null, s_suppkey % 20) AS k", "s_suppkey * 15 AS t", "if(s_suppkey % 3 = 0, null, s_suppkey) AS val")
+    return asof_join(left, right, "k", "t", "t", "val", "val").select("id", "val")
+
+
 @query("range_join", "SELECT o_orderkey, s_suppkey FROM orders JOIN supplier ON o_custkey >= s_suppkey * 10 AND o_custkey < s_suppkey * 10 + 5")
 def ranges(spark, d):
     spans = table(spark, d, "supplier").selectExpr("s_suppkey", "s_suppkey * 10 AS lo", "s_suppkey * 10 + 5 AS hi")
@@ -95,6 +116,46 @@ def sample_rows(spark, d):
     return table(spark, d, "orders").sample(0.1, seed=7).select("o_orderkey")
 
 
+@query("sample_share", "SELECT true AS close, true AS all_known")
+def sample_share(spark, d):
+    """A sample's size, and that its rows are rows of the table."""
+    orders = table(spark, d, "orders").select("o_orderkey")
+    found = orders.sample(0.1, seed=7).join(orders.withColumn("known", F.lit(True)), "o_orderkey", "left")
+    n = orders.count()
+    return found.agg((F.abs(F.count(F.lit(1)) - n * 0.1) < n * 0.03).alias("close"), F.bool_and(F.coalesce("known", F.lit(False))).alias("all_known"))
+
+
+@query("scalar_udf", "SELECT o_orderkey, upper(o_orderpriority) || '/' || length(o_orderstatus) AS tag FROM orders")
+def scalar_udf(spark, d):
+    @F.pandas_udf(StringType())
+    def tag(priority: pd.Series, status: pd.Series) -> pd.Series:
+        return priority.str.upper() + "/" + status.str.len().astype(str)
+
+    return table(spark, d, "orders").select("o_orderkey", tag("o_orderpriority", "o_orderstatus").alias("tag"))
+
+
+@query("aggregate_udf", "SELECT o_orderstatus, max(o_orderkey) - min(o_orderkey) AS spread FROM orders GROUP BY o_orderstatus")
+def aggregate_udf(spark, d):
+    @F.pandas_udf(LongType())
+    def spread(x: pd.Series) -> int:
+        return int(x.max() - x.min())
+
+    return table(spark, d, "orders").groupBy("o_orderstatus").agg(spread("o_orderkey").alias("spread"))
+
+
+@query("table_udf", "SELECT n_nationkey, i - 1 AS i, substr(n_name, i::INTEGER, 1) AS letter FROM (SELECT n_nationkey, n_name, unnest(generate_series(1, length(n_name))) AS i FROM nation)")
+def table_udf(spark, d):
+    class Letters:
+        def eval(self, text: str):
+            for i, c in enumerate(text):
+                yield i, c
+
+    schema = StructType([StructField("i", LongType()), StructField("letter", StringType())])
+    spark.udtf.register("letters_of", F.udtf(Letters, returnType=schema))
+    views(spark, d, "nation")
+    return spark.sql("SELECT n_nationkey, t.i, t.letter FROM nation, LATERAL letters_of(n_name) t")
+
+
 @query("view_over_scan", "SELECT count(*) AS n, max(o_orderkey) AS hi FROM orders")
 def view_over_scan(spark, d):
     views(spark, d, "orders")
@@ -108,16 +169,62 @@ def create_table_as(spark, d):
     return spark.sql(f"SELECT * FROM parquet.`{path}`")
 
 
+def _stream(spark, d, files=1, per_trigger=None):
+    path = scratch_path(spark, "stream")
+    events = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id")
+    write_table(events.repartitionByRange(files, "ts").sortWithinPartitions("ts"), path)
+    return stream_table(spark, path, events.schema, per_trigger)
+
+
+def _run(spark, stream, mode):
+    name = "t" + scratch_path(spark, "s").rsplit("-", 1)[-1]
+    stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
+
+
 @query("stream_tumbling_counts", "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_tumbling_counts(spark, d):
-    path = scratch_path(spark, "stream")
-    events = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    write_table(events, path)
-    name = "counts_" + path.rsplit("-", 1)[-1]
-    stream = tumbling_counts(stream_table(spark, path, events.schema), "ts", "event_type")
-    running = stream.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
-    running.awaitTermination()
-    return spark.table(name).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+    rows = _run(spark, tumbling_counts(_stream(spark, d), "ts", "event_type"), "complete")
+    return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+@query("stream_sliding_counts", "SELECT w AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 1 HOUR, ts), time_bucket(INTERVAL 1 HOUR, ts - INTERVAL 30 MINUTE) + INTERVAL 30 MINUTE]) AS w FROM events) GROUP BY 1, 2")
+def stream_sliding_counts(spark, d):
+    rows = _run(spark, sliding_counts(_stream(spark, d), "ts", "event_type"), "complete")
+    return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+@query("stream_session_counts", """SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, user_id, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
+FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""")
+def stream_session_counts(spark, d):
+    rows = _run(spark, session_counts(_stream(spark, d), "ts", "user_id"), "complete")
+    return rows.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")], "user_id", "n")
+
+
+@query("stream_running_totals", "SELECT event_type, count(*) AS n, max(event_id) AS most FROM events GROUP BY 1")
+def stream_running_totals(spark, d):
+    """State carried over several micro-batches: the last total of each key."""
+    rows = _run(spark, running_totals(_stream(spark, d, 3, 1), "event_type", "event_id"), "update")
+    return rows.groupBy("event_type").agg(F.max("n").alias("n"), F.max("most").alias("most"))
+
+
+@query("stream_distinct", "SELECT DISTINCT event_type FROM events")
+def stream_distinct(spark, d):
+    """A watermark far behind, so that no key is forgotten within the table."""
+    return _run(spark, distinct_rows(_stream(spark, d, 3, 1), "ts", ["event_type"], "3650 days"), "append").select("event_type")
+
+
+@query("stream_append", "SELECT event_id, event_type FROM events")
+def stream_append(spark, d):
+    path = scratch_path(spark, "stream-out")
+    append_table(_stream(spark, d, 3, 1).select("event_id", "event_type"), path, scratch_path(spark, "stream-state"), row_group_size=500).awaitTermination()
+    return read_table(spark, path)
+
+
+@query("stream_static_join", "SELECT event_id, name FROM events JOIN (SELECT 'purchase' AS event_type, 'bought' AS name UNION ALL SELECT 'click', 'clicked') USING (event_type)")
+def stream_static_join(spark, d):
+    names = spark.createDataFrame([("purchase", "bought"), ("click", "clicked")], "event_type string, name string")
+    return _run(spark, _stream(spark, d).join(F.broadcast(names), "event_type").select("event_id", "name"), "append")
 
 
 __all__ = ["ORACLES", "QUERIES"]

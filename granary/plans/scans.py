@@ -8,9 +8,10 @@ from granary.functions.types import PromotionError
 from granary.operators.compare import compare_roundtrip
 from granary.plans.tables import query, rewritten, table
 from granary.session import scratch_path
-from granary.sources.metadata import count_exact, estimate_cardinality, partition_stats, row_group_stats, table_stats
-from granary.sources.reader import SchemaMismatch, read_table
-from granary.sources.writer import with_row_group, write_table
+from granary.sources.metadata import count_exact, estimate_cardinality, file_heads, partition_stats, row_group_stats, table_stats
+from granary.sources.reader import SchemaMismatch, bound_options, read_table
+from granary.sources.reader import file_row_number as row_number_column
+from granary.sources.writer import append_from, write_table
 
 Q1_SQL = """
 SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
@@ -81,10 +82,16 @@ for _name, _where in FILTERS.items():
 
 
 def _sorted_orders(spark, d, **options):
-    df = table(spark, d, "orders").repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey")
+    """Files of ranges of the key, each sorted, in path order."""
+    df = table(spark, d, "orders").repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey")
     return rewritten(spark, df, "orders", **options)
 
 
+def _one_file(spark, d):
+    """A sorted excerpt that one file is meant to hold."""
+    return table(spark, d, "orders").where("o_orderkey < 5000").coalesce(1).sortWithinPartitions("o_orderkey")
+
+
 @query("filter_row_group_skipping", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > 1400")
 def filter_row_group_skipping(spark, d):
     return _sorted_orders(spark, d, row_group_size=512).where("o_orderkey > 1400").select("o_orderkey", "o_totalprice")
@@ -95,27 +102,61 @@ def filter_only_columns(spark, d):
     return table(spark, d, "orders").where("o_custkey < 100").select("o_totalprice")
 
 
-NUMBERED = "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS file_row_number FROM orders"
+NUMBERED = "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS file_row_number FROM orders WHERE o_orderkey < 5000"
 
 
 @query("file_row_number", NUMBERED)
 def file_row_number(spark, d):
-    return _sorted_orders(spark, d, read={"file_row_number": True}).select("o_orderkey", "file_row_number")
+    return rewritten(spark, _one_file(spark, d), "numbered", read={"file_row_number": True}).select("o_orderkey", "file_row_number")
 
 
 @query("file_row_number_filter", f"SELECT * FROM ({NUMBERED}) WHERE file_row_number BETWEEN 100 AND 299")
 def file_row_number_filter(spark, d):
-    return _sorted_orders(spark, d, read={"file_row_number": True}).select("o_orderkey", "file_row_number").where("file_row_number BETWEEN 100 AND 299")
+    return file_row_number(spark, d).where("file_row_number BETWEEN 100 AND 299")
 
 
 @query("file_row_number_kept_by_filter", f"SELECT * FROM ({NUMBERED}) WHERE o_orderkey % 3 = 0")
 def file_row_number_kept_by_filter(spark, d):
-    return _sorted_orders(spark, d, read={"file_row_number": True}).select("o_orderkey", "file_row_number").where("o_orderkey % 3 = 0")
+    return file_row_number(spark, d).where("o_orderkey % 3 = 0")
+
+
+@query("virtual_row_number", NUMBERED)
+def virtual_row_number(spark, d):
+    """Selected without the option."""
+    return rewritten(spark, _one_file(spark, d), "virtual").select("o_orderkey", row_number_column())
+
+
+@query("virtual_row_number_sql", f"SELECT o_orderkey, file_row_number FROM ({NUMBERED}) WHERE file_row_number % 10 = 0")
+def virtual_row_number_sql(spark, d):
+    path = scratch_path(spark, "virtual")
+    write_table(_one_file(spark, d), path)
+    return spark.sql(f"SELECT o_orderkey, _metadata.row_index AS file_row_number FROM parquet.`{path}` WHERE _metadata.row_index % 10 = 0")
 
 
-@query("row_id", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 400 AS file_index, (row_number() OVER (ORDER BY o_orderkey) - 1) % 400 AS file_row_number FROM orders")
+@query("table_row_number", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS table_row_number FROM orders")
+def table_row_number(spark, d):
+    return _sorted_orders(spark, d, read={"table_row_number": True}).select("o_orderkey", "table_row_number")
+
+
+@query("row_id", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 400 AS file_index, (row_number() OVER (ORDER BY o_orderkey) - 1) % 400 AS file_row_number FROM orders WHERE o_orderkey < 5000")
 def row_id(spark, d):
-    return _sorted_orders(spark, d, row_group_size=400, row_groups_per_file=1, read={"file_index": True, "file_row_number": True}).select("o_orderkey", "file_index", "file_row_number")
+    read = {"file_index": True, "file_row_number": True}
+    return rewritten(spark, _one_file(spark, d), "rowid", row_group_size=400, row_groups_per_file=1, read=read).select("o_orderkey", "file_index", "file_row_number")
+
+
+@query("row_id_of_equal_names", "SELECT 0 AS file_index, n_nationkey AS id FROM nation UNION ALL SELECT 1, n_nationkey FROM nation WHERE n_regionkey = 1")
+def row_id_of_equal_names(spark, d):
+    """Files of one name in two folders, copied there by the file system."""
+    path = scratch_path(spark, "names")
+    nation = table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey")
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    for name, df in (("a", nation), ("b", nation.where("n_regionkey = 1"))):
+        write_table(df.select("id").coalesce(1), f"{path}/{name}-written")
+        [file] = spark.read.parquet(f"{path}/{name}-written").inputFiles()
+        system = hadoop.Path(path).getFileSystem(conf)
+        system.mkdirs(hadoop.Path(f"{path}/{name}"))
+        system.rename(hadoop.Path(file), hadoop.Path(f"{path}/{name}/same.parquet"))
+    return read_table(spark, [f"{path}/a", f"{path}/b"], file_index=True).select(F.col("file_index").cast("int").alias("file_index"), "id")
 
 
 query("explicit_cardinality", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")(
@@ -142,14 +183,11 @@ def min_max_stats(spark, d):
     return table_stats(spark, f"{d}/orders.parquet", {"o_orderkey": "bigint", "o_orderstatus": "string"}).select("column_name", "min_value", "max_value", "row_count")
 
 
-@query("row_group_min_max", "SELECT rn // 500 AS file_index, min(o_orderkey)::VARCHAR AS min_value, max(o_orderkey)::VARCHAR AS max_value, count(*) AS row_count FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders) GROUP BY 1")
+@query("row_group_min_max", "SELECT rn // 500 AS row_group, min(o_orderkey)::VARCHAR AS min_value, max(o_orderkey)::VARCHAR AS max_value, count(*) AS row_count FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders WHERE o_orderkey < 5000) GROUP BY 1")
 def row_group_min_max(spark, d):
     path = scratch_path(spark, "groups")
-    write_table(table(spark, d, "orders").repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey"), path, row_group_size=500, row_groups_per_file=1)
-    from pyspark.sql import Window
-
-    stats = row_group_stats(spark, path).where("column_name = 'o_orderkey'")
-    return stats.select((F.dense_rank().over(Window.orderBy("file")) - 1).cast("bigint").alias("file_index"), "min_value", "max_value", "row_count")
+    write_table(_one_file(spark, d), path, row_group_size=500)
+    return row_group_stats(spark, path).where("column_name = 'o_orderkey'").select("row_group", "min_value", "max_value", "row_count")
 
 
 @query("partition_row_counts", "SELECT count(*) AS row_count FROM orders")
@@ -159,22 +197,59 @@ def partition_row_counts(spark, d):
     return partition_stats(spark, path).agg(F.sum("row_count").cast("bigint").alias("row_count"))
 
 
+@query("row_group_offsets", "SELECT rn // 300 AS row_group, min(rn) AS row_start, count(*) AS row_count, min(o_orderkey) AS first_key FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders WHERE o_orderkey < 5000) GROUP BY 1")
+def row_group_offsets(spark, d):
+    """Each group's first row by the footers, and the key that stands there."""
+    path = scratch_path(spark, "offsets")
+    write_table(_one_file(spark, d), path, row_group_size=300)
+    rows = read_table(spark, path, file_row_number=True).select(F.col("o_orderkey").alias("first_key"), F.col("file_row_number").alias("row_start"))
+    return partition_stats(spark, path).select("row_group", "row_start", "row_count").join(rows, "row_start").select("row_group", "row_start", "row_count", "first_key")
+
+
 @query("rotate_files", "SELECT f AS file_index, least(3000, 10000 - f * 3000) AS n FROM (SELECT unnest(generate_series(0, 3)) AS f)")
 def rotate_files(spark, d):
     df = rewritten(spark, spark.range(10_000).coalesce(1), "rotate", row_group_size=1000, row_groups_per_file=3, read={"file_index": True})
     return df.groupBy("file_index").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("row_group_split", "SELECT rn // 1024 AS row_group, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders) GROUP BY 1")
+@query("row_group_split", "SELECT rn // 1024 AS row_group, count(*) AS n, min(o_orderkey)::VARCHAR AS lo, max(o_orderkey)::VARCHAR AS hi FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders WHERE o_orderkey < 5000) GROUP BY 1")
 def row_group_split(spark, d):
-    numbered = _sorted_orders(spark, d, read={"file_row_number": True})
-    return with_row_group(numbered, "file_row_number", 1024).groupBy("row_group").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    """The groups that the file's footer names."""
+    path = scratch_path(spark, "split")
+    write_table(_one_file(spark, d), path, row_group_size=1024)
+    return row_group_stats(spark, path).where("column_name = 'o_orderkey'").selectExpr("row_group", "row_count AS n", "min_value AS lo", "max_value AS hi")
 
 
-@query("ordered_write", "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS file_row_number FROM events")
+@query("ordered_write", "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS table_row_number FROM events")
 def ordered_write(spark, d):
-    df = table(spark, d, "events").select("event_id").repartitionByRange(1, "event_id").sortWithinPartitions("event_id")
-    return rewritten(spark, df, "ordered", preserve_order=True, partitions=1, read={"file_row_number": True})
+    df = table(spark, d, "events").select("event_id").repartitionByRange(6, "event_id").sortWithinPartitions("event_id")
+    return rewritten(spark, df, "ordered", preserve_order=True, partitions=3, read={"table_row_number": True})
+
+
+@query("append_write", "SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region")
+def append_write(spark, d):
+    """Rows appended to a table that is there already."""
+    path = scratch_path(spark, "append")
+    write_table(table(spark, d, "nation").selectExpr("n_nationkey AS k"), path)
+    write_table(table(spark, d, "region").selectExpr("r_regionkey AS k"), path, mode="append")
+    return read_table(spark, path)
+
+
+@query("append_from_files", "SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey + 100, n_name FROM nation")
+def append_from_files(spark, d):
+    """A table loaded from other tables' files."""
+    path, other = scratch_path(spark, "into"), scratch_path(spark, "from")
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
+    write_table(nation, path)
+    write_table(nation.selectExpr("n_nationkey + 100 AS n_nationkey", "n_name"), other)
+    append_from(spark, path, other)
+    return read_table(spark, path)
+
+
+@query("bound_options", "SELECT 'file_row_number' AS name, 'true' AS value UNION ALL SELECT 'explicit_cardinality', '7' UNION ALL SELECT 'union_by_name', 'false' UNION ALL SELECT 'filename', 'false' UNION ALL SELECT 'file_index', 'false' UNION ALL SELECT 'table_row_number', 'false' UNION ALL SELECT 'widen', 'true'")
+def bound_options_of_a_scan(spark, d):
+    bound = bound_options(FILE_ROW_NUMBER=True, explicit_cardinality=7)
+    return spark.createDataFrame([(k, str(v).lower()) for k, v in bound.items()], "name string, value string")
 
 
 @query("unordered_write", "SELECT event_id, value FROM events")
@@ -192,6 +267,7 @@ def combine_remainders(spark, d):
 def sidecar_manifest(spark, d):
     path = scratch_path(spark, "manifest")
     write_table(table(spark, d, "orders"), path, inline_footer=False, partitions=3, preserve_order=False)
+    assert len(file_heads(spark, [path])) == 3  # by the manifest
     return spark.read.json(f"{path}/_manifest").agg(F.sum("row_count").cast("bigint").alias("n"))
 
 
@@ -209,7 +285,7 @@ ROUNDTRIPS = {
     "float": ("cast(cast(id as float) / 100 as float)", "(id::FLOAT / 100)::FLOAT"),
     "double": ("id / 1000D", "id / 1000::DOUBLE"),
     "decimal": ("cast(id / 10.0 as decimal(12,3))", "(id::DECIMAL(12,3) / 10)::DECIMAL(12,3)"),
-    "decimal38": ("cast(id as decimal(38,2))", "id::DECIMAL(38,2)"),
+    "decimal38": ("cast(concat('9', lpad(id, 35, '7'), '.25') as decimal(38,2))", "('9' || lpad(id::VARCHAR, 35, '7') || '.25')::DECIMAL(38,2)"),
     "varchar": ("concat('Value ', id)", "'Value ' || id"),
     "date": ("date_add(date'1992-03-22', cast(id as int))", "DATE '1992-03-22' + id::INTEGER"),
     "timestamp": ("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)", "TIMESTAMP '2025-01-01 00:00:00' + to_seconds(id)"),
@@ -218,7 +294,8 @@ ROUNDTRIPS = {
     "timestamp_us": ("timestamp_ntz'2025-01-01 00:00:00.123456' + make_dt_interval(0, 0, 0, id)", "TIMESTAMP '2025-01-01 00:00:00.123456' + to_seconds(id)"),
     "blob": ("cast(md5(cast(id as string)) as binary)", "encode(md5(id::VARCHAR))"),
     "nulls": ("if(id % 5 = 0, null, id)", "CASE WHEN id % 5 = 0 THEN NULL ELSE id END"),
-    "array": ("size(array(id, id + 1))", "len([id, id + 1])::INTEGER"),
+    "array": ("array(id, if(id % 3 = 0, null, id + 1))", "[id, CASE WHEN id % 3 = 0 THEN NULL ELSE id + 1 END]"),
+    "empty_array": ("if(id % 2 = 0, array(), if(id % 3 = 0, null, array(id)))", "CASE WHEN id % 2 = 0 THEN [] WHEN id % 3 = 0 THEN NULL ELSE [id] END"),
 }
 
 

@@ -7,6 +7,7 @@ footer per row of a small DataFrame, and only the digest comes back.
 from __future__ import annotations
 
 import json
+from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -70,10 +71,37 @@ def _over_files(spark: SparkSession, files: list[str], function, schema: str) ->
     return spark.createDataFrame(frame).repartition(min(len(files), 512)).mapInPandas(function, schema)
 
 
+def manifest(spark: SparkSession, path: str, files: list[str]) -> DataFrame | None:
+    """The manifest that was written beside a table's files, if there is one and it names just these files."""
+    where = f"{path.rstrip('/')}/_manifest"
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(where)
+    if "*" in path or not hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path):
+        return None
+    rows = spark.read.schema(HEAD_SCHEMA).json(where)
+    told = rows.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("file"))).first()
+    here = spark.createDataFrame([(f,) for f in files], "file string").agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("file"))).first()
+    return rows if told == here else None
+
+
+def schema_heads(spark: SparkSession, paths: list[str]) -> list[dict]:
+    """One head for each distinct schema: its first file, and the sums over its files. No row per file comes to the driver."""
+    files = list_files(spark, paths)
+    rows = manifest(spark, paths[0], files) if len(paths) == 1 else None
+    if rows is None and len(files) <= DRIVER_FILES:
+        return file_heads(spark, paths)
+    rows = rows if rows is not None else _over_files(spark, files, _heads, HEAD_SCHEMA)
+    kinds = rows.groupBy("columns").agg(F.min("file").alias("file"), F.sum("row_count").alias("row_count"), F.sum("n_row_groups").alias("n_row_groups")).collect()
+    return [r.asDict() | {"columns": json.loads(r["columns"])} for r in sorted(kinds, key=lambda r: r["file"])]
+
+
 def file_heads(spark: SparkSession, paths: list[str]) -> list[dict]:
     """Per file: name, row count, number of row groups, and (column, logical type) pairs."""
     files = list_files(spark, paths)
-    if len(files) <= DRIVER_FILES:
+    written = manifest(spark, paths[0], files) if len(paths) == 1 else None
+    if written is not None:
+        rows = [r.asDict() for r in written.toLocalIterator()]
+    elif len(files) <= DRIVER_FILES:
         rows = pd.concat([pd.DataFrame(columns=["file", "row_count", "n_row_groups", "columns"]), *_heads([pd.DataFrame({"file": files})])]).to_dict("records")
     else:
         rows = [r.asDict() for r in _over_files(spark, files, _heads, HEAD_SCHEMA).toLocalIterator()]
@@ -92,22 +120,27 @@ def partition_stats(spark: SparkSession, *paths: str) -> DataFrame:
 
 def table_stats(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Merged min/max per column over all row groups; ``columns`` maps a name to the type to compare in."""
-    stats = row_group_stats(spark, path)
-    parts = []
-    for name, kind in columns.items():
-        parts.append(
-            stats.where(F.col("column_name") == name).agg(
-                F.lit(name).alias("column_name"),
-                F.min(F.col("min_value").cast(kind)).cast("string").alias("min_value"),
-                F.max(F.col("max_value").cast(kind)).cast("string").alias("max_value"),
-                F.sum("null_count").alias("null_count"),
-                F.sum("row_count").alias("row_count"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    stats = row_group_stats(spark, path).where(F.col("column_name").isin(list(columns)))
+    sums = []
+    for i, kind in enumerate(columns.values()):
+        sums += [F.min(F.col("min_value").try_cast(kind)).cast("string").alias(f"lo{i}"), F.max(F.col("max_value").try_cast(kind)).cast("string").alias(f"hi{i}")]
+    merged = stats.groupBy("column_name").agg(*sums, F.sum("null_count").alias("null_count"), F.sum("row_count").alias("row_count"))
+    pick = lambda side: F.coalesce(*[F.when(F.col("column_name") == name, F.col(f"{side}{i}")) for i, name in enumerate(columns)])
+    return merged.select("column_name", pick("lo").alias("min_value"), pick("hi").alias("max_value"), "null_count", "row_count")
+
+
+def file_starts(spark: SparkSession, *paths: str) -> DataFrame:
+    """The number of rows in the files before each one, in path order, and its rank: (file, file_index, first_row)."""
+    at, rows = 0, []
+    for i, h in enumerate(file_heads(spark, list(paths))):
+        rows.append((path_of(h["file"]), i, at))
+        at += int(h["row_count"])
+    return spark.createDataFrame(rows, "file string, file_index long, first_row long")
+
+
+def path_of(uri: str) -> str:
+    """A file's path below its store's root, as ``file_path`` has it but for how the store is written."""
+    return "/" + unquote(uri).split(":", 1)[-1].lstrip("/")
 
 
 def count_exact(spark: SparkSession, *paths: str) -> int:

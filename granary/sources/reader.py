@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.types import promote, storage_name
-from granary.sources.metadata import file_heads
+from granary.sources.metadata import file_starts, schema_heads
 
-OPTIONS = {"union_by_name", "file_row_number", "filename", "file_index", "explicit_cardinality", "widen"}
+OPTIONS = {"union_by_name", "file_row_number", "filename", "file_index", "table_row_number", "explicit_cardinality", "widen"}
 BROADCAST_ROWS = 100_000
 
 
@@ -31,6 +31,12 @@ def _options(given: dict) -> dict:
     return out
 
 
+def bound_options(**given) -> dict:
+    """What a scan with these options is bound to: all options, those not given with their defaults."""
+    defaults = {name: name == "widen" for name in OPTIONS if name != "explicit_cardinality"}
+    return defaults | {"explicit_cardinality": None} | _options(given)
+
+
 def merged_schema(heads: list[dict], union_by_name: bool, widen: bool = True) -> T.StructType:
     """The schema of the scan: names of the first file (strict) or of all files (union), types widened over files."""
     if not heads:
@@ -61,14 +67,16 @@ def read_table(spark: SparkSession, paths: str | list[str], **given) -> DataFram
         otherwise the first file's columns, and a file that lacks one is an error.
     file_row_number: append the 0-based position of the row in its file.
     filename, file_index: append the file's path, or its rank in path order.
+    table_row_number: append the 0-based position in the table, files in path order.
     widen: hold a column in the type that covers all files (default true).
     explicit_cardinality: rows to plan with; small ones become a broadcast hint.
 
     Columns, filters and row-group skipping reach the scan through Catalyst.
+    ``file_row_number()`` can be selected from any scan, also without the option.
     """
     options = _options(given)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    heads = file_heads(spark, paths)
+    heads = schema_heads(spark, paths)
     schema = merged_schema(heads, options.get("union_by_name", False), options.get("widen", True))
     kinds = {tuple(map(tuple, h["columns"])) for h in heads}
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
@@ -78,16 +86,28 @@ def read_table(spark: SparkSession, paths: str | list[str], **given) -> DataFram
         out.append(F.col("_metadata.row_index").alias("file_row_number"))
     if options.get("filename"):
         out.append(F.col("_metadata.file_path").alias("filename"))
-    if options.get("file_index"):
-        ranks = F.create_map(*[F.lit(x) for i, h in enumerate(heads) for x in (h["file"].rsplit("/", 1)[-1], i)])
-        out.append(F.element_at(ranks, F.col("_metadata.file_name")).cast("bigint").alias("file_index"))
-    if len(out) > len(schema.names) or len(kinds) > 1:
+    ranked = [n for n in ("file_index", "table_row_number") if options.get(n)]
+    if ranked:
+        # A row per file; joined by the whole path, as files in several folders may share a name.
+        starts = file_starts(spark, *paths)
+        starts = F.broadcast(starts) if len(df.inputFiles()) <= BROADCAST_ROWS else starts
+        path = F.concat(F.lit("/"), F.regexp_replace("_metadata.file_path", "^([A-Za-z0-9+.-]+:)?/*", ""))
+        df = df.select(*out, path.alias("__file"), F.col("_metadata.row_index").alias("__row")).join(starts, F.col("__file") == F.col("file"))
+        number = F.col("first_row") + F.col("__row")
+        extra = {"file_index": F.col("file_index"), "table_row_number": number.alias("table_row_number")}
+        df = df.select(*[F.col(f"`{n}`") for n in df.columns[: len(out)]], *[extra[n] for n in ranked])
+    elif len(out) > len(schema.names) or len(kinds) > 1:
         df = df.select(*out)
     if options.get("explicit_cardinality", BROADCAST_ROWS + 1) <= BROADCAST_ROWS and sum(int(h["row_count"]) for h in heads) <= BROADCAST_ROWS:
         df = df.hint("broadcast")  # the stated size is checked against the footers first
     return df
 
 
+def file_row_number() -> Column:
+    """The 0-based position of a row in its file, from any scan; SQL finds it as ``_metadata.row_index``."""
+    return F.col("_metadata.row_index").alias("file_row_number")
+
+
 def create_view(spark: SparkSession, name: str, paths: str | list[str], **given) -> DataFrame:
     """A temporary view over a scan, for SQL."""
     df = read_table(spark, paths, **given)
