@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
+import threading
 import uuid
+import weakref
+from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,16 +34,47 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_LOCK = threading.Lock()
+_HELD: Counter = Counter()
+_BEFORE: dict[tuple[int, str], str | None] = {}
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the length of a block; of several blocks at once, in threads too, the last to end puts back what was."""
+    key = (id(spark), name)
+    with _LOCK:
+        if not _HELD[key]:
+            _BEFORE[key] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+        _HELD[key] += 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _HELD[key] -= 1
+            if not _HELD[key]:
+                before = _BEFORE.pop(key)
+                if before is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, one machine) a local folder is
-    made, and set as the checkpoint folder of this session.
+    Only where the session names none and runs on one machine (tests) a local
+    folder is made, and set as the checkpoint folder of this session; on a
+    cluster that is an error, as executors wouldn't see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="granary-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")
@@ -55,19 +90,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     The copy survives the loss of any executor, unlike a local checkpoint. The
     shuffle files of the write go with it: nothing reads them once it is done.
+    Who knows that nothing will read the copy again may ``discard`` it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with setting(spark, CLEANUP, "true"):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``materialize`` gave, once all that reads them has run."""
+    for df in frames:
+        path = _PATHS.pop(df, None)
+        if path is not None:
+            remove_path(df.sparkSession, path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -75,11 +114,3 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):].replace("//", "/", 1) if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
