@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import gc
 import weakref
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -14,16 +14,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.session import materialize
+from granary.session import discard, materialize
 
 #: Bytes of text that one step of a Python worker holds at a time.
 STEP_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Fewer rows to an Arrow batch where the session has Spark's default: batches of whole texts are held off-heap more than once."""
+    """Fewer rows to an Arrow batch, for this session, where it names no number: batches of whole texts are held off-heap more than once.
+
+    The setting is read when a frame runs, which is after the call that made it.
+    """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
+    if not spark.conf.get(name, ""):
         spark.conf.set(name, str(rows))
 
 
@@ -142,6 +145,8 @@ class WordCache:
 
 
 _CACHES: weakref.WeakSet[WordCache] = weakref.WeakSet()
+#: Called with a task's own caches; each lets go what other tasks have left, and says whether there was any.
+STORES: list[Callable[[tuple[WordCache, ...]], bool]] = []
 
 
 def claim(*own: WordCache, tidy: bool = True) -> None:
@@ -152,7 +157,8 @@ def claim(*own: WordCache, tidy: bool = True) -> None:
     others = [c for c in _CACHES if all(c is not o for o in own) and c.number]
     for c in others:
         c._clear()
-    if not tidy and not others:
+    freed = [let_go(own) for let_go in STORES]
+    if not tidy and not others and not any(freed):
         return
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -203,8 +209,8 @@ def connected_components(links: DataFrame, label: str) -> DataFrame:
     edges = materialize(edges.mapInArrow(_forest, "src long, dst long").distinct(), f"{label}-links")
     before = None
     while True:
-        edges = materialize(_star(edges, label, large=True), f"{label}-large")
-        edges = materialize(_star(edges, label, large=False), f"{label}-small")
+        edges = _star(edges, label, large=True)
+        edges = _star(edges, label, large=False)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.selectExpr("src AS node", "dst AS component")
@@ -212,6 +218,7 @@ def connected_components(links: DataFrame, label: str) -> DataFrame:
 
 
 def _star(edges: DataFrame, label: str, large: bool) -> DataFrame:
+    """One step, written; what it was made of is deleted."""
     both = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))
     if large:
         both = both.unionByName(edges.select(F.col("dst").alias("u"), F.col("src").alias("v")))
@@ -221,4 +228,6 @@ def _star(edges: DataFrame, label: str, large: bool) -> DataFrame:
         moved = joined.where("v > u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
     else:
         moved = joined.select(F.col("v").alias("src"), F.col("m").alias("dst")).unionByName(least.select(F.col("u").alias("src"), F.col("m").alias("dst")))
-    return moved.where("src <> dst").distinct()
+    out = materialize(moved.where("src <> dst").distinct(), f"{label}-{'large' if large else 'small'}")
+    discard(edges, least)
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -10,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from granary.llm.common import bounded_batches, claim, steps
+from granary.llm.common import bounded_batches, claim, fresh, steps
 from granary.session import materialize
 
 #: Bytes 0-9, A-Z as a-z and everything from 80 on are parts of words; the rest separates them.
@@ -24,27 +24,29 @@ def words_of(data: bytes | None) -> list[bytes]:
     return data.translate(WORD_BYTES).split() if data else []
 
 
+#: Bytes of items and names to a set at most: a window takes 60 bytes and begins with a word, so a set of 4 MB takes 0.3 GB at worst.
+SET_BYTES = 4 << 20
+
+
 class NgramSet:
     """All windows of the items: by length, sorted hashes with the word numbers to verify a hit by."""
 
     def __init__(self, items: list[tuple[str, bytes | None]], n: int, seed: int = 42):
         self.vocabulary: dict[bytes, int] = {}
-        self.names: list[str] = []
-        windows: dict[tuple[int, ...], set[int]] = {}
-        for name, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for i in range(max(1, len(ids) - n + 1)) if ids else ():
-                windows.setdefault(tuple(ids[i : i + n]), set()).add(len(self.names))
-            self.names.append(name)
+        self.names = [name for name, _ in items]
+        number = self.vocabulary.setdefault
+        ids = [np.array([number(w, len(self.vocabulary) + 1) for w in words_of(text)], np.int32) for _, text in items]
         self.code = np.random.default_rng(seed).integers(1, 2**63, len(self.vocabulary) + 1).astype(np.uint64)
         self.by_length = {}
-        for size in sorted({len(w) for w in windows}):
-            grams = [w for w in windows if len(w) == size]
-            ids = np.array(grams, np.int32)
-            hashes = self.hashes(ids.T)
-            order = np.argsort(hashes, kind="stable")
-            owners = [sorted(windows[grams[i]]) for i in order]
-            self.by_length[size] = (hashes[order], ids[order], np.cumsum([0, *map(len, owners)]), np.array([x for o in owners for x in o], np.int64))
+        for size in sorted({min(n, len(x)) for x in ids if len(x)}):
+            some = [(k, np.lib.stride_tricks.sliding_window_view(x, size)) for k, x in enumerate(ids) if min(n, len(x)) == size]
+            grams, owner = np.concatenate([g for _, g in some]), np.repeat([k for k, _ in some], [len(g) for _, g in some])
+            hashes = self.hashes(grams.T)
+            order = np.lexsort((owner, *grams.T, hashes))
+            hashes, grams, owner = hashes[order], grams[order], owner[order]
+            new = np.concatenate([[True], (grams[1:] != grams[:-1]).any(axis=1)])
+            once = new | np.concatenate([[True], owner[1:] != owner[:-1]])
+            self.by_length[size] = (hashes[new], grams[new], np.append(np.flatnonzero(new[once]), once.sum()), owner[once])
 
     def hashes(self, columns: Iterable[np.ndarray]) -> np.ndarray:
         out = None
@@ -118,7 +120,7 @@ def _scan(index: NgramSet, want_spans: bool):
     return run
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_set_bytes: int = 32 << 20, spans: bool = False) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_set_bytes: int = SET_BYTES, spans: bool = False) -> DataFrame:
     """Per document: words, words inside an occurrence of an item's n-gram, and the items hit.
 
     Items of fewer than ``n`` words, but not none, are one window. Null texts
@@ -130,16 +132,26 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, id
     The items are broadcast as a hash set when their texts hold at most
     ``max_set_bytes``. A larger benchmark is dealt into as many sets of that
     size as it takes, each broadcast in its own pass, and the passes' word runs
-    are merged per document.
+    are merged per document: the result is the same.
     """
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.col(item_text_col).cast("binary").alias("text")).where("text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
+    items, total = _items(benchmark, item_col, item_text_col)
     if total <= max_set_bytes:
         index = NgramSet([(r.name, bytes(r.text)) for r in _sorted_items(items)], n)
         return _pass(texts, index, spans)
-    return _in_passes(texts, items, n, max_set_bytes, total)
+    keyed = materialize(texts.withColumn("key", F.monotonically_increasing_id()), "decontaminate-texts")
+    words = _pass(keyed.select(F.col("key").alias("doc_id"), "text"), NgramSet([], n), False).selectExpr("doc_id AS key", "n_words")
+    merged = _in_passes(keyed.select("key", "text"), items, n, max_set_bytes, total)
+    out = keyed.select("key", "doc_id").join(words, "key").join(merged, "key", "left")
+    n_hit = F.expr("aggregate(spans, 0L, (a, x) -> a + x.last - x.first)")
+    empty = F.expr("cast(array() as array<struct<first:long,last:long>>)")
+    return out.select("doc_id", "n_words", F.coalesce(n_hit, F.lit(0)).alias("n_hit"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), F.coalesce("spans", empty).alias("spans"))
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text_col: str) -> tuple[DataFrame, int]:
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.col(item_text_col).cast("binary").alias("text")).where("text IS NOT NULL")
+    return items, items.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
 
 
 def _pass(texts: DataFrame, index: NgramSet, spans: bool) -> DataFrame:
@@ -156,17 +168,16 @@ def _sorted_items(items: DataFrame):
     return sorted(items.collect(), key=lambda r: (r.name, bytes(r.text)))
 
 
-def _in_passes(texts: DataFrame, items: DataFrame, n: int, max_set_bytes: int, total: int) -> DataFrame:
+def _in_passes(keyed: DataFrame, items: DataFrame, n: int, max_set_bytes: int, total: int) -> DataFrame:
+    """(key, items, spans) of the texts (key, text) that any of the sets hits, each set in a pass of its own."""
     n_sets = -(-total // max_set_bytes) * 2
     dealt = materialize(items.withColumn("part", F.pmod(F.xxhash64("name", "text"), F.lit(n_sets))), "benchmark")
-    keyed = materialize(texts.withColumn("key", F.monotonically_increasing_id()), "decontaminate-texts")
     hits = None
     for part in range(n_sets):
         index = NgramSet([(r.name, bytes(r.text)) for r in _sorted_items(dealt.where(F.col("part") == part))], n)
         found = _pass(keyed.select(F.col("key").alias("doc_id"), "text"), index, True).where("n_hit > 0")
         found = materialize(found.withColumnRenamed("doc_id", "key"), "decontaminate-pass")
         hits = found if hits is None else hits.unionByName(found)
-    words = _pass(keyed.select(F.col("key").alias("doc_id"), "text"), NgramSet([], n), False).selectExpr("doc_id AS key", "n_words")
     merged = hits.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("runs"))
     joined = F.expr(
         """aggregate(runs, cast(array() as array<struct<first:long,last:long>>), (a, x) ->
@@ -174,49 +185,58 @@ def _in_passes(texts: DataFrame, items: DataFrame, n: int, max_set_bytes: int, t
               concat(slice(a, 1, size(a) - 1), array(named_struct('first', element_at(a, -1).first, 'last', greatest(element_at(a, -1).last, x.last)))),
               concat(a, array(x))))"""
     )
-    merged = merged.withColumn("spans", joined)
-    out = keyed.select("key", "doc_id").join(words, "key").join(merged.select("key", "items", "spans"), "key", "left")
-    n_hit = F.expr("aggregate(spans, 0L, (a, x) -> a + x.last - x.first)")
-    empty = F.expr("cast(array() as array<struct<first:long,last:long>>)")
-    return out.select("doc_id", "n_words", F.coalesce(n_hit, F.lit(0)).alias("n_hit"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), F.coalesce("spans", empty).alias("spans"))
+    return merged.select("key", "items", joined.alias("spans"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", unit: str = "document", max_set_bytes: int = 32 << 20) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", unit: str = "document", max_set_bytes: int = SET_BYTES) -> DataFrame:
     """The documents without contaminated ones, or (unit='span') without the hit runs of words.
 
-    A cleaned text keeps all bytes outside the runs; a null text stays. The
-    texts are judged and cut in the same pass over the rows, so no join is
-    needed. Only a benchmark that fits in one set is taken here.
+    A cleaned text keeps all bytes outside the runs. Texts are judged once, as
+    they came, and then cut: with one set in one pass over the rows without a
+    join; with a benchmark over ``max_set_bytes`` by the merged hits of all sets.
+
+    Null texts and texts without words are hit by nothing and stay; texts may be
+    of any length; repeated rows are judged alike; an empty benchmark leaves all
+    rows, empty tables give none; all columns come back, whatever their names.
     """
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.col(item_text_col).cast("binary").alias("text")).where("text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
-    sets = -(-total // max_set_bytes) * 2 if total > max_set_bytes else 1
+    if unit not in ("document", "span"):
+        raise ValueError("unit is 'document' or 'span'")
     bounded_batches(docs.sparkSession)
-    out = docs
-    for part in range(sets):
-        own = items if sets == 1 else items.where(F.pmod(F.xxhash64("name", "text"), F.lit(sets)) == part)
-        out = _clean(out, NgramSet([(r.name, bytes(r.text)) for r in _sorted_items(own)], n), text_col, unit)
-    return out
-
-
-def _clean(docs: DataFrame, index: NgramSet, text_col: str, unit: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    items, total = _items(benchmark, item_col, item_text_col)
+    if total <= max_set_bytes:
+        return _clean(docs, text_col, unit, NgramSet([(r.name, bytes(r.text)) for r in _sorted_items(items)], n))
+    key, runs = fresh(docs, "key"), fresh(docs, "runs")
+    keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "decontaminate-docs")
+    merged = _in_passes(keyed.select(F.col(key).alias("key"), F.col(text_col).cast("binary").alias("text")), items, n, max_set_bytes, total)
+    joined = keyed.join(merged.select(F.col("key").alias(key), F.col("spans").alias(runs)), key, "left").drop(key)
+    if unit == "document":
+        return joined.where(F.col(runs).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _clean(joined.select(*[F.col(f"`{c}`") for c in docs.columns], runs), text_col, unit, None)
+
+
+def _clean(docs: DataFrame, text_col: str, unit: str, index: NgramSet | None) -> DataFrame:
+    """Judge and cut by a set, or cut by the runs in the last column."""
+    shared = docs.sparkSession.sparkContext.broadcast(index) if index is not None else None
     place = docs.columns.index(text_col)
+    fields = docs.schema.fields if shared else docs.schema.fields[:-1]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
-        scan = _scan(shared.value, True)
+        scan = _scan(shared.value, True) if shared else None
         for batch in steps(batches, text_col):
             raw = batch.column(place).cast(pa.binary())
-            numbers = pa.array(np.arange(batch.num_rows))
-            hits = [h for got in scan([pa.RecordBatch.from_arrays([numbers, raw], names=["doc_id", "text"])]) for h in got.column(4).to_pylist()]
+            if scan:
+                numbers = pa.array(np.arange(batch.num_rows))
+                hits = [h for got in scan([pa.RecordBatch.from_arrays([numbers, raw], names=["doc_id", "text"])]) for h in got.column(4).to_pylist()]
+            else:
+                hits = batch.column(len(fields)).to_pylist()
             if unit == "document":
                 yield batch.filter(pa.array([not h for h in hits]))
                 continue
             texts = [None if t is None else _without(t, h).decode("utf-8", "replace") if h else t.decode("utf-8", "replace") for t, h in zip(raw.to_pylist(), hits, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(batch.num_columns)], names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(fields))], names=[f.name for f in fields])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, StructType(fields))
 
 
 def _without(data: bytes, spans: list[dict]) -> bytes:
@@ -228,7 +248,3 @@ def _without(data: bytes, spans: list[dict]) -> bytes:
         out.append(data[at : edges[s["first"], 0]])
         at = int(edges[s["last"] - 1, 1])
     return b"".join([*out, data[at:]])
-
-
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import bounded_batches, claim, connected_components, steps, union_min
-from granary.session import materialize
+from granary.session import discard, materialize
 
 SHINGLE_STEP = 1 << 15
 #: Rows at most of a shard before it is cut into blocks, which only a dense group of that size does.
@@ -224,5 +224,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = links.unionByName(own.join(several, "doc_id").join(reps, "fp").where("doc_id <> rep").selectExpr("doc_id AS src", "rep AS dst"))
     components = connected_components(links, "simhash")
     named = materialize(reps.join(components, reps.rep == components.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "simhash-named")
+    discard(reps, routed)
     out = own.join(named, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import suffix
-from granary.llm.common import claim, connected_components, fresh, partitions_of, steps
+from granary.llm.common import STORES, claim, connected_components, fresh, partitions_of, steps
 from granary.llm.decontaminate import WORD_BYTES
 from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, undeal, unpack_spans
-from granary.session import materialize
+from granary.session import discard, materialize
 
 WORDS = 5
 SIMILAR = 0.8
@@ -62,6 +62,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
+def _let_go(own: tuple) -> bool:
+    there = bool(_POWERS)
+    _POWERS.clear()
+    return there
+
+
+STORES.append(_let_go)
+
+
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The texts joined by line ends, where each begins, and the first byte, end and hash of every word."""
     raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
@@ -361,6 +370,7 @@ def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
     spans = gone.mapInArrow(send, DEALT).unionByName(found.where("part IS NOT NULL").select("part", "entries"))
     spans = materialize(spans, "paragraph-spans")
+    discard(found, numbers, grouped, keepers, kept)
     return spans_by_document(spans, n_parts)
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from granary.llm.common import WordCache
+from granary.llm.common import STORES, WordCache
 
 #: Words that a worker keeps.
 WORDS = 900_000
@@ -237,6 +237,16 @@ def tokenizer(path: str, spaced: bool, limit: int = WORDS) -> CachedTokenizer:
     return _HELD[key]
 
 
+def _let_go(own: tuple[WordCache, ...]) -> bool:
+    others = [key for key, t in _HELD.items() if all(t.cache is not c for c in own)]
+    for key in others:
+        del _HELD[key]
+    return bool(others)
+
+
+STORES.append(_let_go)
+
+
 def public_vocabulary(name: str) -> str:
     import public_tokenizers
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from granary.llm import decontaminate, embed, langid, nearcopy, pack, quality, simhash, substring, suffix, token_count, tokenfile
@@ -245,6 +246,16 @@ def brute_copies(texts, similar=0.8):
     return {d for d in grams if find(d) != d}
 
 
+def test_near_copies_in_blocks(spark):
+    """3000 variants of one text, each a small step from the one before, in blocks of 200: one group."""
+    words, rows = [f"w{i}" for i in range(120)], []
+    for i in range(3000):
+        words[i * 7 % 120] = f"v{i}"
+        rows.append((i, " ".join(words), "x"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(8)
+    assert [r.doc_id for r in nearcopy.keep_first(df, block=200).collect()] == [0]
+
+
 def test_near_duplicates_stage(spark, docs, texts):
     """Planted copies with every 50th word changed (similarity 0.82 and about it) lie beyond 2 bits of SimHash."""
     planted, r = [], random.Random(8)
@@ -393,6 +404,22 @@ def test_span_removal(spark, docs):
     assert {r.doc_id for r in cut.collect() if r.text != before[r.doc_id]} == hit
 
 
+def test_spans_are_cut_alike_by_one_set_and_by_many(spark):
+    rows = [(1, "one x p q r s y two", "k"), (2, None, "k"), (3, "", "k"), (1, "one x p q r s y two", "k"), (4, "clean words " * 4000, "k"), (None, "p q r s", "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").withColumn("runs", F.lit("r"))
+    bench = spark.createDataFrame([("a", "p q r s"), ("b", "x y"), ("c", None), (None, "")], "item_id string, text string")
+    for unit in ("span", "document"):
+        one = decontaminate.remove_contaminated(df, bench, unit=unit)
+        many = decontaminate.remove_contaminated(df, bench, unit=unit, max_set_bytes=1)
+        assert one.columns == many.columns == df.columns
+        key = lambda r: [str(x) for x in r]
+        assert sorted(one.collect(), key=key) == sorted(many.collect(), key=key)
+    assert {r.text for r in decontaminate.remove_contaminated(df, bench, unit="span").collect() if r.doc_id == 1} == {"one x  y two"}
+    for empty in (decontaminate.remove_contaminated(df.where("1 = 0"), bench, max_set_bytes=1), decontaminate.find_contamination(df.where("1 = 0"), bench, max_set_bytes=1)):
+        assert empty.count() == 0
+    assert decontaminate.remove_contaminated(df, bench.where("1 = 0")).count() == 6
+
+
 def brute_bytes(texts, length=100):
     seen, out = set(), {}
     for doc, data in texts:
