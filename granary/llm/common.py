@@ -26,7 +26,8 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     The setting is read when a frame runs, which is after the call that made it.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not spark.conf.get(name, ""):
+    unset = "-987654321"  # given back where the session names none
+    if spark.conf.get(name, unset) == unset:
         spark.conf.set(name, str(rows))
 
 

@@ -22,15 +22,17 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import claim, steps
+from granary.llm.common import claim, partitions_of, steps
 from granary.llm.tokens import tokenizer
 from granary.session import materialize, scratch_path
 
@@ -401,19 +403,22 @@ def _unindex(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, alphabet: int = 49_408, spaced: bool = False) -> None:
     """Write the ids of all texts, each ended by ``end_id``, in ascending id order over the files below ``path``.
 
-    Files are ranges of ids, their borders quantiles of the id column. They are
+    Files are ranges of ids, their borders quantiles of the id column; an id (or
+    no id) of many rows is dealt over several by a hash of its texts. They are
     Parquet files with a row per block (BLOCKS): Spark's commit keeps a lost or
     repeated task from leaving half a file, and any store that Spark writes will
     do. A block ends with a document, but for one longer than BLOCK_IDS, which
-    goes over several. Null ids come first; rows with one id in text order;
-    null texts are empty.
+    goes over several. Null ids come first; rows with one id in the order of
+    that hash; null texts are empty.
     """
     spark = docs.sparkSession
-    n_files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_files = partitions_of(docs)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cuts = texts.select(F.percentile_approx("doc_id", [i / n_files for i in range(1, n_files)], 50 * n_files)).first()[0] if n_files > 1 else None
-    cuts = np.unique(np.array([c for c in cuts or [] if c is not None], np.int64))
-    dealt = texts.repartitionById(len(cuts) + 1, _bucket(cuts)).sortWithinPartitions("doc_id", "text")
+    quantiles = F.percentile_approx("doc_id", [i / n_files for i in range(1, n_files)] or [0.5], 50 * n_files)
+    cuts, none = texts.select(quantiles, F.avg(F.col("doc_id").isNull().cast("double"))).first()
+    borders = Counter(c for c in (cuts if n_files > 1 else None) or [] if c is not None)
+    bucket, n_buckets = _bucket(sorted(borders.items()), max(1, round((none or 0) * n_files)))
+    dealt = texts.repartitionById(n_buckets, bucket).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(tokenizer_path, spaced, limit=WORDS)
@@ -456,16 +461,36 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, id_col
     dealt.mapInArrow(run, BLOCKS).write.parquet(path)
 
 
-def _bucket(cuts: np.ndarray):
-    """The number of borders below an id, as an expression: a binary search over literal borders."""
+def _bucket(borders: list[tuple[int, int]], for_none: int) -> tuple[Column, int]:
+    """The file of a row, as an expression, and the number of files.
 
-    def search(lo: int, hi: int):
+    ``borders`` has (id, how many quantiles it is). Rows up to a border are a
+    file; a border of several quantiles has as many files of its own, by ranges
+    of the hash; ``for_none`` files hold the rows without an id.
+    """
+    starts, single = [], []
+    at = for_none
+    for border, times in borders:
+        starts.append((border, at))
+        single.append(times)
+        at += 1 if times == 1 else 1 + times
+
+    def within(n: int) -> Column:
+        """The range of the hash, whose order is that of the rows, among n."""
+        return F.least(F.floor((F.xxhash64("text") / float(1 << 63) + 1) / 2 * n).cast("int"), F.lit(n - 1)) if n > 1 else F.lit(0)
+
+    def search(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return F.lit(starts[lo][1] if lo < len(starts) else at)
         mid = (lo + hi) // 2
-        return F.when(F.col("doc_id") <= int(cuts[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+        border, here = starts[mid]
+        own = search(lo, mid)
+        if single[mid] > 1:
+            own = F.when(F.col("doc_id") == border, F.lit(here + 1) + within(single[mid])).otherwise(own)
+        return F.when(F.col("doc_id") <= border, own).otherwise(search(mid + 1, hi))
 
-    return F.when(F.col("doc_id").isNull(), 0).otherwise(search(0, len(cuts))).cast("int")
+    number = F.when(F.col("doc_id").isNull(), within(for_none)).otherwise(search(0, len(starts)))
+    return number.cast("int"), at + 1
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -487,22 +512,23 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     found = materialize(blocks.mapInArrow(run, "file int, ordinal long, doc_id long, begin long, place long, here long, whole long, crc long"), "token-pieces")  # read more than once, decoded once
-    join = F.udf(lambda parts: _join(parts), "long")
     whole = found.where("here = whole").select("file", "doc_id", "begin", F.col("whole").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     # Only documents longer than a block have parts, so few rows are grouped.
-    parts = found.where("here < whole").groupBy("file", "ordinal").agg(F.first("doc_id").alias("doc_id"), F.min("begin").alias("begin"), F.first("whole").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("place", "here", "crc"))).alias("parts"))
-    parts = parts.select("file", "doc_id", "begin", "n_tokens", join("parts").alias("ids_crc32"))
+    parts = found.where("here < whole").groupBy("file", "ordinal").applyInPandas(_join, "file int, doc_id long, begin long, n_tokens long, ids_crc32 long")
     sizes = blocks.groupBy("file").agg(F.sum("n_ids").alias("n"))  # a row per file
     before = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
     out = whole.unionByName(parts).join(F.broadcast(before), "file")
     return out.select("doc_id", (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def _join(parts) -> int:
+def _join(parts: pd.DataFrame) -> pd.DataFrame:
+    """One document of the parts that it has in several blocks."""
+    parts = parts.sort_values("place")
     crc = 0
-    for p in parts:
-        crc = crc32_join(crc, p["crc"], 4 * p["here"])
-    return crc
+    for more, n in zip(parts["crc"].tolist(), parts["here"].tolist(), strict=True):
+        crc = crc32_join(crc, more, 4 * n)
+    head = parts.iloc[:1]
+    return pd.DataFrame({"file": head["file"], "doc_id": head["doc_id"], "begin": head["begin"], "n_tokens": head["whole"], "ids_crc32": crc})
 
 
 def roundtrip(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:

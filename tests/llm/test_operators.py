@@ -47,7 +47,7 @@ def test_token_counts(spark, texts):
         return n
 
     got = {r.doc_id: (r.n_words, r.n_tokens) for r in QUERIES["op1_token_counts"](spark, SF).collect()}
-    for doc, text in texts[:60]:
+    for doc, text in texts:
         words = text.encode().split()
         assert got[doc] == (len(words), sum(pieces(b" " + w) for w in words))
     assert len(got) == len(texts)
@@ -62,6 +62,77 @@ def test_quality_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for d, r in rows.items())
 
 
+def test_quality_by_brute_force(spark):
+    """The query's scores against every pair of a document's features, each made by its definition."""
+    small = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = quality.train(small, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    got = {r.doc_id: r.score for r in QUERIES["op2_quality"](spark, SMALL).collect()}
+    texts = [(r.doc_id, r.text.encode(), r.n_chars) for r in small.collect()]
+
+    def slot(data):
+        return quality.STATS_SLOTS + zlib.crc32(data) % (quality.DIM - quality.STATS_SLOTS)
+
+    def shape(word):
+        kinds = "".join("A" if "A" <= chr(c) <= "Z" else "0" if "0" <= chr(c) <= "9" else "a" if "a" <= chr(c) <= "z" or c >= 128 else chr(c) for c in word)
+        return "".join(c for i, c in enumerate(kinds) if not i or kinds[i - 1] != c).encode("latin-1")
+
+    for doc, text, n_chars in texts:
+        words = text.split()
+        times = Counter(s for w in words for s in (slot(b"w" + w.lower()), slot(b"s" + shape(w))))
+        x = {s: 1 + np.log(n) for s, n in times.items()}
+        norm = np.sqrt(sum(v * v for v in x.values())) or 1.0
+        features = [(s, v / norm) for s, v in x.items()]
+        repeats = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        stats = quality.structure(text, len(words), len(set(words)), repeats)
+        n_stats = len(stats)
+        places = [k * quality.BINS + min(max(int(s * quality.BINS), 0), quality.BINS - 1) for k, s in enumerate(stats)]
+        places.append(n_stats * quality.BINS + min(int(np.log2(1 + n_chars) / 20 * quality.BINS), quality.BINS - 1))
+        features += [(p, 1 / np.sqrt(n_stats + 1)) for p in places]
+        slots, values = np.array([s for s, _ in features]), np.array([v for _, v in features])
+        gram = (model.v[slots].astype(float) @ model.v[slots].astype(float).T) * np.outer(values, values)
+        z = model.bias + float(model.w[slots] @ values) + np.triu(gram, 1).sum()
+        assert abs(got[doc] - 1 / (1 + np.exp(-z))) < 1e-3, doc
+
+
+def plain_language(field, text):
+    """Forward and backward over a text's words one by one, with features counted one by one."""
+    mask = (1 << 64) - 1
+    words = [w for w in re.findall(r"[^\W\d_]+", text.lower()) if any(c.isalpha() for c in w)] if text else []
+    if not words:
+        return "und", 0.0
+    k, rows = len(field.languages), []
+    for w in words:
+        codes, slots = [2, *map(ord, w), 3], []
+        for n in range(1, 5):
+            for i in range(len(codes) - n + 1):
+                h = 0
+                for m in range(1, n + 1):
+                    h = (h * 0x100000001B3 + (codes[i + m - 1] + m) * 0x9E3779B97F4A7C15) & mask
+                h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & mask
+                slots.append((h >> 64 - langid.BITS) % (langid.DIM - langid.LEXICON - 1))
+        slots.append(langid.DIM - 1 - field.lexicon.get(w, langid.LEXICON))
+        rows.append(np.exp(field.weights[slots].astype(float).sum(axis=0) / np.sqrt(len(slots))))
+    step, alpha, beta = np.exp(field.transition), [np.exp(field.start) * rows[0]], [np.ones(k)]
+    for e in rows[1:]:
+        a = (alpha[-1] / alpha[-1].sum()) @ step * e
+        alpha.append(a)
+    for e in rows[:0:-1]:
+        b = step @ (e * beta[-1])
+        beta.append(b / b.sum())
+    post = np.array(alpha) * np.array(beta[::-1])
+    mean = (post / post.sum(axis=1, keepdims=True)).mean(axis=0)
+    return field.languages[int(mean.argmax())], float(mean.max())
+
+
+def test_language_by_brute_force(spark):
+    small = spark.read.parquet(f"{SMALL}/documents.parquet")
+    field = langid.train(small)
+    texts = {r.doc_id: r.text for r in small.collect()}
+    for r in QUERIES["op5_language"](spark, SMALL).collect():
+        lang, score = plain_language(field, texts[r.doc_id])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-3, r
+
+
 def test_language_held_out(spark, docs):
     known = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
     rows = QUERIES["op5_language"](spark, SF).collect()
@@ -69,7 +140,7 @@ def test_language_held_out(spark, docs):
     assert len(rows) == len(known) and np.mean(held) > 0.95
 
 
-def brute_paragraphs(texts, min_words, similar=0.8):
+def brute_paragraphs(texts, min_words, similar=0.8, more=None):
     units, out = [], {}
     for doc, text in texts:
         at = 0
@@ -77,7 +148,7 @@ def brute_paragraphs(texts, min_words, similar=0.8):
             cuts = [0, *[m.end() for m in re.finditer(rb"[.!?](?=[ \t\r\n]|$)", line)], len(line)]
             plain = line.translate(decontaminate.WORD_BYTES)
             sentences = [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if plain[a:b].split()]
-            for kind, a, b in [(0, 0, len(line)), *[(1, a, b) for a, b in sentences if len(sentences) > 1]]:
+            for kind, a, b in [(0, 0, len(line)), *[(1, a, b) for a, b in sentences]]:
                 words = [m.span() for m in re.finditer(rb"[^ ]+", plain[a:b])]
                 if len(words) >= 5:
                     units.append((doc, at + a + words[0][0], at + a + words[-1][1], kind, tuple(plain[a:b].split())))
@@ -109,7 +180,7 @@ def brute_paragraphs(texts, min_words, similar=0.8):
             spans[doc].append([a, b])
     for doc, text in texts:
         merged = []
-        for a, b in sorted(spans[doc]):
+        for a, b in sorted([*spans[doc], *(more or {}).get(doc, [])]):
             if merged and a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
@@ -354,6 +425,20 @@ def test_token_files_with_long_documents(spark):
     assert at > 2 * tokenfile.BLOCK_IDS
 
 
+def test_token_files_of_a_hot_id(spark, tmp_path):
+    """An id of two thirds of the rows, and rows without one, are dealt over several files; the order is by id all the same."""
+    rows = [(7 if i % 3 else i, f"text {i} " * (i % 9)) for i in range(900)] + [(None, f"none {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    tokenfile.write_token_files(df, str(tmp_path / "files"), WORD)
+    blocks = spark.read.parquet(str(tmp_path / "files"))
+    assert blocks.select("file").distinct().count() >= 6
+    got = [tuple(r) for r in tokenfile.read_token_files(spark, str(tmp_path / "files")).orderBy("start").collect()]
+    assert [g[1] for g in got] == np.cumsum([0, *[g[2] for g in got]])[:-1].tolist()
+    assert [g[0] for g in got] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d or 0))
+    want = Counter((d, zlib.crc32(np.array(ids, "<u4").tobytes())) for d, t in rows for ids in [ids_of(WORD, [(0, t)], 1)[0]])
+    assert Counter((g[0], g[3]) for g in got) == want
+
+
 def check_pieces(rows, want):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -490,5 +575,65 @@ def test_stages(spark, odd, none):
             assert df.count() or not out, name
 
 
-def test_pipeline_runs(spark):
-    assert corpus_pipeline.run(spark, SMALL).count() > 0
+def planted_corpus(spark):
+    """Documents of the small table with near copies, a passage amid other words, benchmark text and texts without letters among them."""
+    rows, r = [(x.doc_id, x.text) for x in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect()], random.Random(12)
+    bench = [x.text for x in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if x.text]
+    long = [t for _, t in rows if 120 < len(t.split()) < 900]
+    at = max(d for d, _ in rows) + 1
+    passage = " ".join(f"{a}ing" for a in r.sample(long[0].split(), 70))
+    for k in range(12):
+        words = long[k].split(" ")
+        words[len(words) // 2] = f"changed{k}"
+        rows.append((at + k, " ".join(words)))  # a near copy
+        words = long[20 + k].split()
+        r.shuffle(words)
+        rows.append((at + 20 + k, " ".join([*words[:40], passage, *words[40:]])))
+        words = long[40 + k].split()
+        r.shuffle(words)
+        rows.append((at + 40 + k, " ".join([*words[:30], bench[k % len(bench)], *words[30:]])))
+        rows.append((at + 60 + k, "1234 5678 --- !!! " * k))
+    return rows
+
+
+def brute_passages(texts):
+    """Repeated lines and sentences as in ``brute_paragraphs``, and all words of 50-word windows that stood earlier, cut together."""
+    plain = {d: [m.span() for m in re.finditer(rb"[^ ]+", t.translate(decontaminate.WORD_BYTES))] for d, t in texts}
+    seen, runs = set(), defaultdict(list)
+    for d, t in texts:
+        words = decontaminate.words_of(t)
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            if window in seen:
+                runs[d].append([plain[d][i][0], plain[d][i + 49][1]])
+            seen.add(window)
+    return brute_paragraphs(texts, substring.PASSAGE_WORDS, more=runs)
+
+
+def test_stages_and_pipeline_by_brute_force(spark, tmp_path):
+    """Each stage on what the one before kept, and the whole, against plain versions that share no code with the operators."""
+    rows = planted_corpus(spark)
+    df = spark.createDataFrame([(d, t, "en" if d % 2 else None, "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SMALL}/benchmark.parquet").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    field = langid.train(docs)
+    want = sorted((d, t) for d, t in rows if (x := plain_language(field, t))[0] != "und" and x[1] >= corpus_pipeline.CERTAIN)
+    kept = lambda frame: sorted((x.doc_id, x.text) for x in frame.collect())
+    assert kept(corpus_pipeline.language(spark, docs, str(tmp_path))) == want and len(want) < len(rows)
+    frame = lambda pairs: spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in pairs], docs.schema)
+    before, gone = want, brute_copies(want)
+    want = [(d, t) for d, t in want if d not in gone]
+    assert kept(corpus_pipeline.near_duplicates(spark, frame(before), str(tmp_path))) == want and len(gone) >= 10
+    before, cut = want, brute_passages([(d, t.encode()) for d, t in want])
+    want = [(d, cut[d]) for d, t in want if cut[d].strip() or cut[d] == t]
+    got = kept(corpus_pipeline.passages(spark, frame(before), str(tmp_path)))
+    assert len(set(got) ^ set(want)) <= 2 and sum(dict(before)[d] != t for d, t in want) >= 10  # a near pair may miss all bands
+    want = got
+    grams = {tuple(w[i : i + min(10, len(w))]) for x in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() for w in [decontaminate.words_of((x.text or "").encode())] if w for i in range(max(1, len(w) - 9))}
+    sizes = {len(g) for g in grams}
+    hit = {d for d, t in want for w in [decontaminate.words_of(t.encode())] for n in sizes if any(tuple(w[i : i + n]) in grams for i in range(len(w) - n + 1))}
+    before, want = want, [(d, t) for d, t in want if d not in hit]
+    assert kept(corpus_pipeline.benchmarks(spark, frame(before), str(tmp_path))) == want and len(hit) >= 10
+    check_pieces(corpus_pipeline.packing(spark, frame(want), str(tmp_path)).collect(), ids_of(BYTE, want, 0))
+    check_pieces(corpus_pipeline.run(spark, str(tmp_path)).collect(), ids_of(BYTE, want, 0))
