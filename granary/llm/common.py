@@ -11,16 +11,17 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.session import discard, materialize
 
 #: Bytes of text that one step of a Python worker holds at a time.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 3 << 20
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 250) -> None:
     """Fewer rows to an Arrow batch, for this session, where it names no number: batches of whole texts are held off-heap more than once.
 
     The setting is read when a frame runs, which is after the call that made it.
@@ -57,25 +58,37 @@ def fold_held_out(id_col: str) -> Column:
 
 
 def steps(batches: Iterable[pa.RecordBatch], text: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices whose texts hold about ``limit`` bytes, at least one row each."""
+    """The same rows in steps whose texts hold up to ``limit`` bytes, but for longer single rows; small batches are put together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        lengths = np.array([0 if v is None else len(v) for v in batch.column(text).to_pylist()]) if batch.column(text).null_count else _lengths(batch.column(text))
-        total = np.cumsum(lengths)
+        total = np.cumsum(_lengths(batch.column(text)))
+        if size + total[-1] <= limit:
+            held.append(batch)
+            size += int(total[-1])
+            continue
+        if held:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        if total[-1] <= limit:
+            held, size = [batch], int(total[-1])
+            continue
         i = 0
         while i < n:
             base = total[i - 1] if i else 0
             j = max(i + 1, int(np.searchsorted(total, base + limit, side="right")))
             yield batch.slice(i, j - i)
             i = j
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _lengths(column: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.binary_length(column.cast(pa.large_binary())).to_numpy(zero_copy_only=False).astype(np.int64)
+    """Bytes of each text; a null has none."""
+    return pc.fill_null(pc.binary_length(column.cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from granary.llm.tokens import WORDS, tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, n_loss long"
 #: Bytes of text tokenized at a time.
-TEXT_STEP = 8 << 20
+TEXT_STEP = 6 << 20
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 

@@ -25,7 +25,7 @@ from granary.llm.common import bounded_batches, claim, steps
 from granary.session import materialize
 
 #: Bytes of text whose keys are gathered before they are sent on.
-STEP = 6 << 20
+STEP = 3 << 20
 #: Stands for a null id, before all others.
 NO_ID = -(1 << 63)
 #: A key counts as hot from this number of places (with contents: of distinct contents) on, or from the share that

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from granary.llm import suffix
 from granary.llm.common import STORES, claim, connected_components, fresh, partitions_of, steps
 from granary.llm.decontaminate import WORD_BYTES
-from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, undeal, unpack_spans
+from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, undeal, unpack_spans
 from granary.session import discard, materialize
 
 WORDS = 5
@@ -187,7 +187,7 @@ def _collide(n_parts: int, hot):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
         blocks = dict(zip(*(x.tolist() for x in hot.value), strict=True))
-        for step in steps(batches, "text", 8 << 20):
+        for step in steps(batches, "text", STEP):
             docs, ties, texts, blobs = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist(), step.column(3).to_pylist()
             by = np.lexsort((ties, docs))
             docs, ties, texts = docs[by], ties[by], [texts[i] for i in by]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import claim, partitions_of, ragged, steps
-from granary.llm.repeats import DEALT, NO_ID, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, target_of, undeal, unpack_spans
+from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, target_of, undeal, unpack_spans
 from granary.session import materialize
 
 LENGTH = 100
@@ -337,7 +337,7 @@ def _contexts(length: int, hot, n_parts: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
-        for step in steps(batches, "text", 6 << 20):
+        for step in steps(batches, "text", STEP):
             docs, ties, texts = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist()
             by = np.lexsort((ties, docs))  # documents in order, so the first of equal strings is the earliest
             blobs = step.column(3).to_pylist()

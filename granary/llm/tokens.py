@@ -18,7 +18,7 @@ _HELD: dict[tuple, CachedTokenizer] = {}
 
 #: Characters that may part new words in one call, as far as the vocabulary has an id of its own for one.
 MARKERS = "\u2603\u2665\u266b\u2728\u2764"
-JOINED = 1 << 17
+JOINED = 1 << 12
 #: Words that tell whether a vocabulary's model gives the ids of a word of letters by itself.
 SAMPLES = ["a", "é", "straße", "größenordnungsmäßig", "ŝĝœ", "the", "it", "hello", "don", "re", "internationalisation", "zqxjkvw", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "schifffahrt", "s", "ll"]
 #: Letters up to the second Latin extension: composed, so normal forms leave them.

@@ -29,6 +29,19 @@ def test_union_min():
         assert got.tolist() == want
 
 
+def test_steps_put_small_batches_together():
+    from granary.llm.common import steps
+
+    r = random.Random(8)
+    sizes = [r.choice([0, 3, 10, 50, 200, None]) for _ in range(400)]
+    table = pa.table({"i": range(400), "text": pa.array([None if n is None else "x" * n for n in sizes], pa.string())})
+    got = list(steps(table.to_batches(max_chunksize=7), "text", 100))
+    assert [i for b in got for i in b.column(0).to_pylist()] == list(range(400))
+    bytes_of = [sum(len(t or "") for t in b.column(1).to_pylist()) for b in got]
+    assert all(n <= 100 or b.num_rows == 1 for n, b in zip(bytes_of, got, strict=True))
+    assert len(got) < 200
+
+
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_cached_tokenizer_equals_whole_texts(name, spaced):
     from tokenizers import Tokenizer
