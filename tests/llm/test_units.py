@@ -160,6 +160,44 @@ def test_groups_of_strings_are_sorted_by_themselves():
         assert len(set(number.tolist())) == len(set(name)) == len(set(zip(number.tolist(), name, strict=True)))
 
 
+def removed_by_sorting(texts, hot):
+    """The parts of op10 between the shuffles, on one step: document and range of all that goes."""
+    import types
+
+    from granary.llm.repeats import undeal
+
+    text, place, h, _, _ = suffix.anchors(texts)
+    keys, times = np.unique(h, return_counts=True)
+    twice = np.isin(h, keys[times > 1])
+    blobs = [(place[(text == k) & twice] * 2).astype("<u4").tobytes() for k in range(len(texts))]
+    step = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int32()), pa.array(texts, pa.binary()), pa.array(blobs, pa.binary())], names=["doc", "tie", "text", "places"])
+    known = types.SimpleNamespace(value=keys if hot else keys[:0])
+    found = undeal(suffix._judge(100, 1)(list(suffix._contexts(100, known, 1)([step]))))
+    return sorted(zip(*(found[n].to_pylist() for n in ("doc", "start", "end")), strict=True)) if found is not None else []
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_every_removal_comes_from_the_sort(monkeypatch, hot):
+    r = random.Random(6)
+    shared = [bytes(r.choices(b"abcdef ", k=n)) for n in (120, 260, 90)]
+    texts = [bytes(r.choices(b"ghij", k=r.randint(0, 90))) + r.choice(shared) + r.choice(shared) + bytes(r.choices(b"klmn", k=r.randint(0, 90))) for _ in range(40)] + [b"zz" * 200]
+    seen, want = set(), []
+    for d, t in enumerate(texts):
+        gone = np.zeros(len(t), bool)
+        for s in range(len(t) - 99):
+            if t[s : s + 100] in seen:
+                gone[s : s + 100] = True
+            seen.add(t[s : s + 100])
+        want.append(gone)
+    got = [np.zeros(len(t), bool) for t in texts]
+    for d, a, b in removed_by_sorting(texts, hot):
+        got[d][a:b] = True
+    assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True)) and sum(w.sum() for w in want) > 5000
+    real = suffix.sort_suffixes
+    monkeypatch.setattr(suffix, "sort_suffixes", lambda *args: (real(*args)[0], np.zeros(len(args[1]), np.int64)))
+    assert removed_by_sorting(texts, hot) == []
+
+
 def test_deep_shallow_order():
     r = random.Random(4)
     for _ in range(120):
