@@ -68,13 +68,13 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _send(find: Find, n_parts: int, step_bytes: int):
+def _send(find: Find, n_parts: int, step_bytes: int, most: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
         for step in steps(batches, "text", step_bytes):
             docs, ties, texts = step.column(0).to_numpy(), step.column(1).to_numpy(), step.column(2).to_pylist()
-            if max(map(len, texts)) >= MAX_TEXT:
-                raise ValueError(f"a text of {MAX_TEXT} bytes or more can't be searched for repeats")
+            if max(map(len, texts)) >= most:
+                raise ValueError(f"a text of {most} bytes or more can't be searched for repeats")
             owner, places, keys, contents = find(texts)
             order = np.argsort(keys, kind="stable") if contents is None else np.lexsort((contents, keys))
             owner, places, keys = owner[order], places[order], keys[order]
@@ -197,7 +197,7 @@ def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([table["doc"].combine_chunks().take(pa.array(begin)), table["tie"].combine_chunks().take(pa.array(begin)), pa.array(blobs, pa.binary())], names=["doc", "tie", "places"])
 
 
-def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP, most: int = MAX_TEXT) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """Per document of ``texts`` (doc, tie, text) the places whose keys repeat; the hot keys, sorted, and their numbers.
 
     ``places`` are u4: twice the place, and one more if its key has other contents.
@@ -206,7 +206,7 @@ def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: boo
     distinct contents), of which at most MAX_HOT are named: the bar rises with
     the corpus, so what is broadcast doesn't.
     """
-    sent = texts.mapInArrow(_send(find, n_parts, step_bytes), "part int, entries binary, known binary")
+    sent = texts.mapInArrow(_send(find, n_parts, step_bytes, most), "part int, entries binary, known binary")
     found = materialize(sent.repartitionById(n_parts, F.col("part")).mapInArrow(_decide(hot_places, n_parts, with_contents), FLAGGED), f"{label}-flagged")
     hot = found.where("hot_key IS NOT NULL").groupBy("hot_key").agg(F.sum("hot_count").alias("n"))
     total = hot.agg(F.sum("n")).first()[0] or 0

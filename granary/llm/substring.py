@@ -34,10 +34,12 @@ MOST = max(b for b, _ in BANDS.values())
 #: For corpora in which shorter lines are phrases that clean texts share too: the least words of a run that goes.
 PASSAGE_WORDS = 15
 #: Contents of a band's key that are compared with each other in one place.
-BLOCK = 1024
+BLOCK = 4096
 #: Words of a run that goes wherever it begins and ends, if all of it stood earlier.
 RUN_WORDS = 50
 CODE_BYTES = 2
+#: Bytes from which on a text is an error: places go as 32 bits, of which four are taken for kind, band and marks.
+MOST_TEXT = 1 << 28
 CHUNK = 1 << 20
 LINE, SENTENCE = 0, 1
 U = np.uint64
@@ -156,14 +158,14 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, Paragraphs]]:
 
 
 def find_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, place, key and content of every band of every paragraph."""
+    """Text number, place (with the band in its two lowest bits), key and content of every band of every paragraph."""
     text, place, key, content = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)], [np.zeros(0, U)]
     for shift, p in _groups(texts):
         for kind, (bands, _) in BANDS.items():
             some = np.flatnonzero(p.kind == kind)
             for b in range(bands):
                 text.append(p.text[some] + shift)
-                place.append(p.place[some])
+                place.append(p.place[some] * 4 + b)
                 key.append(p.keys[some, b])
                 content.append(p.content[some])
     return np.concatenate(text), np.concatenate(place), np.concatenate(key), np.concatenate(content)
@@ -192,13 +194,14 @@ def _collide(n_parts: int, hot):
             by = np.lexsort((ties, docs))
             docs, ties, texts = docs[by], ties[by], [texts[i] for i in by]
             told = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(blobs[i], "<u4").astype(np.int64) + (k << 34) for k, i in enumerate(by.tolist())]])
-            wanted, mixed = np.unique(told >> 1), told[told & 1 == 1] >> 1
+            wanted, mixed = np.unique(told >> 3), told[told & 1 == 1] >> 1
             sent: set[tuple] = set()
             seen: dict[tuple, tuple] = {}
             rows: list[tuple] = []
             for shift, p in _groups(texts):
-                name = p.place + (p.text + shift << 33)
-                compared = np.isin(name, mixed)
+                name = p.place + (p.text + shift << 31)
+                # Only in buckets that hold another content is there anything to compare.
+                compared = np.stack([np.isin(name * 4 + b, mixed) for b in range(MOST)], axis=1)
                 for i in np.flatnonzero(np.isin(name, wanted)).tolist():
                     k = int(p.text[i]) + shift
                     own, content = (int(docs[k]), int(ties[k]), int(p.start[i]), int(p.end[i])), (int(p.content[i]), int(p.check[i]))
@@ -208,10 +211,11 @@ def _collide(n_parts: int, hot):
                         rows.append((FIRST, content[0] % n_parts, 0, *content, None, *own))
                     elif before != own:
                         rows.append((GONE, (own[0] * 31 + own[1]) % n_parts, 0, 0, 0, None, *own))
-                    if compared[i] and content not in sent:
-                        sent.add(content)
+                    keys = {k for k in p.keys[i][compared[i]].tolist() if (k, content) not in sent} if compared[i].any() else ()
+                    if keys:
+                        sent.update((k, content) for k in keys)
                         shingles = p.shingles(i).tobytes()
-                        for key in set(p.keys[i].tolist()):
+                        for key in keys:
                             rows += [(MEMBER, b % n_parts, b, *content, shingles, None, None, None, None) for b in buckets_of(key, content[0], blocks.get(key, 1))]
             if rows:
                 kind, part, *columns = zip(*rows, strict=True)
@@ -344,7 +348,7 @@ def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     n_parts = partitions_of(docs)
     texts = keyed(docs, id_col, text_col)
-    flagged, keys, counts = find_repeats(texts, find_keys, "paragraph", with_contents=True, n_parts=n_parts, hot_places=block + 1, **limits)
+    flagged, keys, counts = find_repeats(texts, find_keys, "paragraph", with_contents=True, n_parts=n_parts, hot_places=block + 1, most=MOST_TEXT, **limits)
     hot = docs.sparkSession.sparkContext.broadcast((keys, -(-counts // block)))
     rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_collide(n_parts, hot), DEALT)
     found = materialize(rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(n_parts, similar), FOUND), "paragraph-found")
@@ -439,7 +443,7 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     A text without a repeat, or null, comes back as it is. Rows that repeat id
     and text are one document and are cut alike; rows of one id with different
     texts are ordered by a hash of the text; null ids come first. Texts may be
-    of any length below a GiB, beyond which the query fails. Empty tables give
+    of any length below MOST_TEXT, from which on the query fails. Empty tables give
     no rows. Columns named n_removed or n_spans in the input are replaced; all
     others come back, whatever their names. Ranges of ``runs`` (see
     ``repeated_runs``) are cut too.
