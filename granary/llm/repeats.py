@@ -197,8 +197,8 @@ def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([table["doc"].combine_chunks().take(pa.array(begin)), table["tie"].combine_chunks().take(pa.array(begin)), pa.array(blobs, pa.binary())], names=["doc", "tie", "places"])
 
 
-def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP, most: int = MAX_TEXT) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """Per document of ``texts`` (doc, tie, text) the places whose keys repeat; the hot keys, sorted, and their numbers.
+def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP, most: int = MAX_TEXT) -> tuple[DataFrame, np.ndarray, np.ndarray, DataFrame]:
+    """Per document of ``texts`` (doc, tie, text) the places whose keys repeat; the hot keys, sorted, and their numbers; and the table to discard once the places have been read.
 
     ``places`` are u4: twice the place, and one more if its key has other contents.
 
@@ -212,7 +212,7 @@ def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: boo
     total = hot.agg(F.sum("n")).first()[0] or 0
     named = sorted((r.hot_key & (1 << 64) - 1, r.n) for r in hot.where(F.col("n") >= max(hot_places, total // MAX_HOT)).collect())
     merged = found.where("part IS NOT NULL").select("part", "entries").repartitionById(n_parts, F.col("part")).mapInArrow(_places, "doc long, tie int, places binary")
-    return merged, np.array([k for k, _ in named], np.uint64), np.array([n for _, n in named], np.int64)
+    return merged, np.array([k for k, _ in named], np.uint64), np.array([n for _, n in named], np.int64), found
 
 
 def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -348,10 +348,11 @@ def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     n_parts = partitions_of(docs)
     texts = keyed(docs, id_col, text_col)
-    flagged, keys, counts = find_repeats(texts, find_keys, "paragraph", with_contents=True, n_parts=n_parts, hot_places=block + 1, most=MOST_TEXT, **limits)
+    flagged, keys, counts, scratch = find_repeats(texts, find_keys, "paragraph", with_contents=True, n_parts=n_parts, hot_places=block + 1, most=MOST_TEXT, **limits)
     hot = docs.sparkSession.sparkContext.broadcast((keys, -(-counts // block)))
     rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_collide(n_parts, hot), DEALT)
     found = materialize(rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(n_parts, similar), FOUND), "paragraph-found")
+    discard(scratch)
     # Contents that link get a number of their own, as a component's node is one long.
     links = found.where("other IS NOT NULL").select("content", "check", "other", "other_check")
     ends = links.select("content", "check").unionByName(links.selectExpr("other AS content", "other_check AS check")).distinct()

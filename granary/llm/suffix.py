@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import claim, partitions_of, ragged, steps
 from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, target_of, undeal, unpack_spans
-from granary.session import materialize
+from granary.session import discard, materialize
 
 LENGTH = 100
 GRAM = 32
@@ -491,11 +491,13 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def spans_of(texts: DataFrame, length: int, **limits) -> DataFrame:
     """The same for rows that are (doc, tie, text) already."""
     n_parts = partitions_of(texts)
-    flagged, keys, _ = find_repeats(texts, _find(length), "suffix", with_contents=False, n_parts=n_parts, **limits)
+    flagged, keys, _, scratch = find_repeats(texts, _find(length), "suffix", with_contents=False, n_parts=n_parts, **limits)
     hot = texts.sparkSession.sparkContext.broadcast(keys)
     rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_contexts(length, hot, n_parts), DEALT)
     spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(length, n_parts), DEALT)
-    return spans_by_document(materialize(spans, "suffix-spans"), n_parts)
+    spans = materialize(spans, "suffix-spans")
+    discard(scratch)
+    return spans_by_document(spans, n_parts)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False, **limits) -> DataFrame:
