@@ -480,7 +480,3 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(counts, pa.int64())], names=[f.name for f in rest] + ["n_removed", "n_spans"])
 
     return joined.mapInArrow(run, schema)
-
-
-def digest(text: str | None) -> str:
-    return hashlib.sha256((text or "").encode()).hexdigest()
