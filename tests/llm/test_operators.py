@@ -387,16 +387,20 @@ def test_embeddings_recall(spark, width):
 
 
 def test_embeddings_recall_on_all_pairs(spark):
-    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    by = {}
-    for x in vectors.collect():
-        by.setdefault(x.label, []).append(x.embedding)
+    """The vectors of the large table, and for some of them one beside it at a cosine of just over 0.98, against all pairs of a label."""
+    rows, r = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").limit(4000).collect(), np.random.default_rng(4)
+    unit = embed.units(np.array([x.embedding for x in rows], np.float64))
+    noise = r.normal(size=unit.shape)
+    noise -= (noise * unit).sum(axis=1, keepdims=True) * unit
+    near = 0.9801 * unit + np.sqrt(1 - 0.9801**2) * embed.units(noise)
+    every = [(k, x.label, u) for k, (x, u) in enumerate(zip(rows, unit, strict=True))] + [(10_000 + k, rows[k].label, near[k]) for k in range(0, len(rows), 2)]
     want = 0
-    for rows in by.values():
-        u = embed.units(np.array(rows, np.float64))
+    for label in {y for _, y, _ in every}:
+        u = np.array([v for _, y, v in every if y == label])
         want += int((u @ u.T >= 0.98).sum()) - len(u)
-    found = sum(x.n_links for x in embed.near_duplicates(vectors).collect())
-    assert 0.9 * want <= found <= want and want > 0
+    df = spark.createDataFrame([(i, v.tolist(), y) for i, y, v in every], f"vec_id long, embedding array<double>, label {spark.read.parquet('/root/testdata/sf0.1/embeddings.parquet').schema['label'].dataType.simpleString()}")
+    found = sum(x.n_links for x in embed.near_duplicates(df).collect())
+    assert 0.9 * want <= found <= want and want >= len(rows)
 
 
 def ids_of(path, texts, end):
