@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from granary.operators.joins import asof_join, range_join
+from granary.operators.percentiles import percentiles
 from granary.plans.tables import ORACLES, QUERIES, query, table, views
 from granary.session import scratch_path
 from granary.sources.reader import read_table
@@ -76,7 +79,6 @@ PAIRS = {
     "collected_sets": ("orders", "SELECT o_orderpriority, array_sort(collect_set(o_orderstatus)) AS statuses, array_sort(collect_list(o_orderkey % 3)) AS all_of FROM orders WHERE o_orderkey < 300 GROUP BY o_orderpriority", "SELECT o_orderpriority, list_sort(list(DISTINCT o_orderstatus)) AS statuses, list_sort(list(o_orderkey % 3)) AS all_of FROM orders WHERE o_orderkey < 300 GROUP BY o_orderpriority"),
     "more_aggregates": ("orders", "SELECT o_orderstatus, bool_and(o_totalprice > 0) AS a, bool_or(o_orderkey = 7) AS o, bit_xor(o_orderkey) AS x, max_by(o_orderkey, o_totalprice) AS dearest, count_if(o_custkey % 2 = 0) AS even, round(stddev_samp(o_totalprice), 3) AS sd, round(corr(o_orderkey, o_totalprice), 6) AS c, array_join(array_sort(collect_set(o_orderpriority)), ',') AS listed FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, bool_and(o_totalprice > 0) AS a, bool_or(o_orderkey = 7) AS o, bit_xor(o_orderkey) AS x, max_by(o_orderkey, o_totalprice) AS dearest, count_if(o_custkey % 2 = 0)::BIGINT AS even, round(stddev_samp(o_totalprice), 3) AS sd, round(corr(o_orderkey, o_totalprice), 6) AS c, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS listed FROM orders GROUP BY o_orderstatus"),
     "approx_distinct": ("orders", "SELECT o_orderpriority, abs(approx_count_distinct(o_custkey, 0.02) - count(DISTINCT o_custkey)) <= 0.1 * count(DISTINCT o_custkey) AS close FROM orders GROUP BY o_orderpriority", "SELECT o_orderpriority, true AS close FROM orders GROUP BY o_orderpriority"),
-    "approx_percentiles": ("orders", "SELECT o_orderpriority, transform(percentile_approx(o_orderkey, array(0.1D, 0.5D, 0.9D), 100000), x -> x) AS q FROM orders GROUP BY o_orderpriority", "SELECT o_orderpriority, quantile_disc(o_orderkey, [0.1, 0.5, 0.9]) AS q FROM orders GROUP BY o_orderpriority"),
     "exact_percentiles": ("orders", "SELECT o_orderstatus, round(percentile_cont(0.25) WITHIN GROUP (ORDER BY o_totalprice), 4) AS q, percentile_disc(0.75) WITHIN GROUP (ORDER BY o_orderkey) AS d, mode() WITHIN GROUP (ORDER BY o_orderpriority) IS NOT NULL AS m FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.25), 4) AS q, quantile_disc(o_orderkey, 0.75)::DOUBLE AS d, true AS m FROM orders GROUP BY o_orderstatus"),
     "explode": ("nation", "SELECT n_nationkey, w FROM (SELECT n_nationkey, explode(split(n_name, '')) AS w FROM nation) WHERE w <> ''", "SELECT n_nationkey, unnest(string_split(n_name, '')) AS w FROM nation"),
     "median": ("orders", "SELECT o_orderstatus, round(median(o_totalprice), 4) AS med FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, round(median(o_totalprice), 4) AS med FROM orders GROUP BY o_orderstatus"),
@@ -89,6 +91,12 @@ for _name, (_tables, _sql, _oracle) in PAIRS.items():
     query(_name, _oracle)(lambda spark, d, t=_tables, s=_sql: (views(spark, d, *t.split()), spark.sql(s))[1])
 
 
+@query("approx_percentiles", "SELECT o_orderpriority, quantile_disc(o_orderkey, [0.1, 0.5, 0.9]) AS q FROM orders GROUP BY o_orderpriority")
+def approx_percentiles(spark, d):
+    """Approximate percentiles, made exact: a sketch of a large group is off by some ranks at any accuracy."""
+    return percentiles(table(spark, d, "orders"), "o_orderpriority", "o_orderkey", [Decimal("0.1"), Decimal("0.5"), Decimal("0.9")], "q")
+
+
 @query("asof_join", "SELECT e.event_id, p.last_id FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS last_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) p ON e.user_id = p.user_id AND e.ts >= p.ts")
 def asof(spark, d):
     events = table(spark, d, "events")
