@@ -14,7 +14,7 @@ from granary.plans.tables import ORACLES, QUERIES, query, table, views
 from granary.session import scratch_path
 from granary.sources.reader import read_table
 from granary.sources.writer import write_table
-from granary.streaming import append_table, distinct_rows, running_totals, session_counts, sliding_counts, stream_table, tumbling_counts
+from granary.streaming import append_table, distinct_rows, run_to_table, running_totals, session_counts, sliding_counts, stream_table, tumbling_counts
 
 #: name: (tables, SQL that both engines run, or the pair of Spark's and the oracle's)
 SQL = {
@@ -177,49 +177,45 @@ def create_table_as(spark, d):
     return spark.sql(f"SELECT * FROM parquet.`{path}`")
 
 
-def _stream(spark, d, files=1, per_trigger=None):
+def _stream(spark, d, files=None, per_trigger=None):
+    """The events as a stream, by time in ``files`` files, as many as shuffles have partitions where none is said."""
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "stream")
     events = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id")
     write_table(events.repartitionByRange(files, "ts").sortWithinPartitions("ts"), path)
     return stream_table(spark, path, events.schema, per_trigger)
 
 
-def _run(spark, stream, mode):
-    name = "t" + scratch_path(spark, "s").rsplit("-", 1)[-1]
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
-
-
 @query("stream_tumbling_counts", "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_tumbling_counts(spark, d):
-    rows = _run(spark, tumbling_counts(_stream(spark, d), "ts", "event_type"), "complete")
+    rows = run_to_table(tumbling_counts(_stream(spark, d), "ts", "event_type"), "complete")
     return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
 @query("stream_sliding_counts", "SELECT w AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 1 HOUR, ts), time_bucket(INTERVAL 1 HOUR, ts - INTERVAL 30 MINUTE) + INTERVAL 30 MINUTE]) AS w FROM events) GROUP BY 1, 2")
 def stream_sliding_counts(spark, d):
-    rows = _run(spark, sliding_counts(_stream(spark, d), "ts", "event_type"), "complete")
+    rows = run_to_table(sliding_counts(_stream(spark, d), "ts", "event_type"), "complete")
     return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
 @query("stream_session_counts", """SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, user_id, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
 FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""")
 def stream_session_counts(spark, d):
-    rows = _run(spark, session_counts(_stream(spark, d), "ts", "user_id"), "complete")
+    rows = run_to_table(session_counts(_stream(spark, d), "ts", "user_id"), "complete")
     return rows.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")], "user_id", "n")
 
 
 @query("stream_running_totals", "SELECT event_type, count(*) AS n, max(event_id) AS most FROM events GROUP BY 1")
 def stream_running_totals(spark, d):
     """State carried over several micro-batches: the last total of each key."""
-    rows = _run(spark, running_totals(_stream(spark, d, 3, 1), "event_type", "event_id"), "update")
+    rows = run_to_table(running_totals(_stream(spark, d, 3, 1), "event_type", "event_id"), "update")
     return rows.groupBy("event_type").agg(F.max("n").alias("n"), F.max("most").alias("most"))
 
 
 @query("stream_distinct", "SELECT DISTINCT event_type FROM events")
 def stream_distinct(spark, d):
     """A watermark far behind, so that no key is forgotten within the table."""
-    return _run(spark, distinct_rows(_stream(spark, d, 3, 1), "ts", ["event_type"], "3650 days"), "append").select("event_type")
+    return run_to_table(distinct_rows(_stream(spark, d, 3, 1), "ts", ["event_type"], "3650 days"), "append").select("event_type")
 
 
 @query("stream_append", "SELECT event_id, event_type FROM events")
@@ -232,7 +228,7 @@ def stream_append(spark, d):
 @query("stream_static_join", "SELECT event_id, name FROM events JOIN (SELECT 'purchase' AS event_type, 'bought' AS name UNION ALL SELECT 'click', 'clicked') USING (event_type)")
 def stream_static_join(spark, d):
     names = spark.createDataFrame([("purchase", "bought"), ("click", "clicked")], "event_type string, name string")
-    return _run(spark, _stream(spark, d).join(F.broadcast(names), "event_type").select("event_id", "name"), "append")
+    return run_to_table(_stream(spark, d).join(F.broadcast(names), "event_type").select("event_id", "name"), "append")
 
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -10,8 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from granary.session import scratch_path, setting
+from granary.sources.reader import read_table
 from granary.sources.writer import write_table
 
+#: Keeps state on the executors' disks, with bounded memory in front; Spark's own default holds all of it in their heaps.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true"}
+
 
 def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     """A table folder as a stream of its files."""
@@ -74,3 +80,25 @@ def append_table(stream: DataFrame, path: str, checkpoint: str, **options) -> St
         write_table(batch, f"{path}/batch-{number:012d}", mode="overwrite", **options)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
+    """The rows that a stream gives until what has arrived is done, as a table in the shared folder: none pass through the driver.
+
+    In mode 'complete' they are those of the last micro-batch, in 'append' and
+    'update' those of all. A stream of nothing gives no rows.
+    """
+    spark = stream.sparkSession
+    path, checkpoint = scratch_path(spark, "stream-rows"), scratch_path(spark, "stream-state")
+    ran: list[int] = []
+
+    def add(batch: DataFrame, number: int) -> None:
+        name = "all" if mode == "complete" else f"batch-{number:012d}"
+        write_table(batch, f"{path}/{name}", mode="overwrite")
+        ran.append(number)
+
+    with contextlib.ExitStack() as settings:
+        for name, value in STATE.items():
+            settings.enter_context(setting(spark, name, value))
+        stream.writeStream.foreachBatch(add).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return read_table(spark, path) if ran else spark.createDataFrame([], stream.schema)
