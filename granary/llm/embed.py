@@ -14,13 +14,13 @@ from granary.llm.common import connected_components, union_min
 from granary.session import discard, materialize
 
 BITS = 64
-#: Table t is keyed by the bits from 8 t on, around the code's end: 8 of them, and more where there are more vectors.
+#: Table t is keyed by the WIDTH bits from 8 t on, around the code's end, whatever the number of vectors: a wider key finds fewer pairs.
 TABLES = 8
-LEAST_WIDTH, MOST_WIDTH = 8, 24
-#: Classes that a bucket holds at the width chosen, were all codes equally frequent.
-BUCKET_ROWS = 2048
+WIDTH = 8
 SAMPLE = 20_000
-BLOCK = 2048
+#: Classes of a bucket that are compared with each other in one place, and pairs of them at a time.
+BLOCK = 16_384
+PAIRS = 1 << 20
 MAX_HAMMING = 20
 
 
@@ -30,11 +30,6 @@ def units(vectors: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
 
 
-def width_for(n: int) -> int:
-    """Bits of a table's key for n classes."""
-    return int(np.clip(int(max(1, n) / BUCKET_ROWS).bit_length(), LEAST_WIDTH, MOST_WIDTH))
-
-
 class Quantiser:
     """Balanced binary codes: principal directions of a sample, turned so that signs lose least (ITQ)."""
 
@@ -79,15 +74,17 @@ def _signs(vectors: np.ndarray) -> np.ndarray:
 def _pairs(a_code, a_vec, b_code, b_vec, table: int, width: int, threshold: float, most: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs between two blocks of one bucket, each found in the first table where both collide; width 0 compares all."""
     x = a_code[:, None] ^ b_code[None, :]
-    ok = np.bitwise_count(x) <= most
+    i, j = np.nonzero(np.bitwise_count(x) <= most)
+    if same:
+        ahead = i < j
+        i, j = i[ahead], j[ahead]
+    x = x[i, j]
     mask = np.uint64((1 << width) - 1)
     for earlier in range(table):
         at = 8 * earlier
         turned = x >> np.uint64(at) | x << np.uint64(64 - at) if at else x
-        ok &= turned & mask != 0
-    if same:
-        ok &= np.arange(len(a_code))[:, None] < np.arange(len(b_code))[None, :]
-    i, j = np.nonzero(ok)
+        fresh = turned & mask != 0
+        i, j, x = i[fresh], j[fresh], x[fresh]
     keep = np.zeros(len(i), bool)
     for k in range(0, len(i), 1 << 16):
         part = slice(k, k + (1 << 16))
@@ -103,8 +100,8 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     on with a number of its own, its smallest id and its number of rows.
     Classes get a 64-bit code by iterative quantisation (fitted on at most
     ``sample`` classes; all are indexed) and a row in each of 8 tables, by label
-    and ``width`` bits of the code (by default chosen so that a bucket doesn't
-    grow with the number of classes). A bucket's classes are compared block by
+    and ``width`` bits of the code (WIDTH by default, of a table of any size, so
+    that what is found doesn't hang on it). A bucket's classes are compared block by
     block, so a bucket may hold any number; pairs within ``max_hamming`` bits
     are reranked by the original vectors. A block answers with a count and a
     link to the local component per class, never with pairs.
@@ -130,7 +127,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     reps = rows.where("fine").groupBy("label", "emb").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times"))
     reps = materialize(reps.withColumn("node", F.monotonically_increasing_id()), "embed-reps")  # written, so the numbers stay
     models = spark.sparkContext.broadcast(fit(reps, sample))
-    wide = 0 if exact else width_for(reps.count()) if width is None else width
+    wide = 0 if exact else WIDTH if width is None else width
     most = BITS if exact else max_hamming
 
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +163,9 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
         unit = np.frombuffer(b"".join(group["unit"]), np.float64).reshape(len(group), -1)
         times, node = group["times"].to_numpy(), group["node"].to_numpy()
         counts, links = np.zeros(len(group), np.int64), []
-        for k in range(0, len(first), 512):
-            some = first[k : k + 512]
+        rows = max(1, PAIRS // max(1, len(second)))
+        for k in range(0, len(first), rows):
+            some = first[k : k + rows]
             others = second[k:] if i == j else second
             a, b = _pairs(codes[some], unit[some], codes[others], unit[others], table, wide, threshold, most, i == j)
             a, b = some[a], others[b]
