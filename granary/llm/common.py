@@ -180,6 +180,18 @@ def claim(*own: WordCache, tidy: bool = True) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def letting_go(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and at its end nothing is kept: of two functions in one stage each has a worker, and all workers of an executor wait with what they hold, and take turns."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            claim()
+
+    return wrapped
+
+
 def union_min(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 and links a-b the smallest node of each one's component."""
     root = np.arange(n)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordCache, bounded_batches, claim, fold_held_out, steps
+from granary.llm.common import WordCache, bounded_batches, claim, fold_held_out, letting_go, steps
 from granary.llm.labelled import sampled
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -304,4 +304,4 @@ def keep_known(docs: DataFrame, field: ChainField, *, certain: float, text_col:
             names, scores = model.predict(step.column(place).to_pylist())
             yield step.filter(pa.array([n != UNKNOWN and s >= certain for n, s in zip(names, scores.tolist(), strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(letting_go(run), docs.schema)

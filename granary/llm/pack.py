@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import bounded_batches, claim, steps
+from granary.llm.common import bounded_batches, claim, letting_go, steps
 from granary.llm.tokens import WORDS, tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, n_loss long"
@@ -111,7 +111,7 @@ class Packer:
             self.next_id += 1
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 0, max_tokens: int = 1024, max_segments: int = 64, max_loss: int | None = None, pool: int = 1024, min_piece: int = 4, cache_words: int = WORDS, step_bytes: int = TEXT_STEP) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 0, max_tokens: int = 1024, max_segments: int = 64, max_loss: int | None = None, pool: int = 1024, min_piece: int = 4, cache_words: int = WORDS, step_bytes: int = TEXT_STEP, keep: bool = True) -> DataFrame:
     """Pack examples into sequences of at most ``max_tokens`` tokens, ``max_segments`` pieces and ``max_loss`` loss-bearing tokens.
 
     An example is the ids of its text and ``end_id``; with ``prompt_col`` the
@@ -120,7 +120,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     nothing is shuffled and a lost task is redone alone; sequence ids are made
     of the partition's number and a count. One row per piece; see PIECES.
 
-    ``cache_words`` and ``step_bytes`` trade a worker's memory for time; results don't depend on them.
+    ``cache_words``, ``step_bytes`` and ``keep`` trade a worker's memory for time; results don't depend on
+    them. Unless ``keep``, a worker lets its tokenizer and words go at the end of a task.
 
     Null texts count as empty and still have their end id. Repeated rows are
     packed once each. A null id stays null. Empty tables give no rows. Other
@@ -162,7 +163,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
         if out:
             yield _batch(out)
 
-    return docs.select(*columns).mapInArrow(run, PIECES)
+    return docs.select(*columns).mapInArrow(run if keep else letting_go(run), PIECES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

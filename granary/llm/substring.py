@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import suffix
-from granary.llm.common import STORES, claim, connected_components, fresh, partitions_of, steps
+from granary.llm.common import STORES, claim, connected_components, fresh, letting_go, partitions_of, steps
 from granary.llm.decontaminate import WORD_BYTES
 from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, undeal, unpack_spans
 from granary.session import discard, materialize
@@ -350,8 +350,8 @@ def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     texts = keyed(docs, id_col, text_col)
     flagged, keys, counts, scratch = find_repeats(texts, find_keys, "paragraph", with_contents=True, n_parts=n_parts, hot_places=block + 1, most=MOST_TEXT, **limits)
     hot = docs.sparkSession.sparkContext.broadcast((keys, -(-counts // block)))
-    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_collide(n_parts, hot), DEALT)
-    found = materialize(rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(n_parts, similar), FOUND), "paragraph-found")
+    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(letting_go(_collide(n_parts, hot)), DEALT)
+    found = materialize(rows.repartitionById(n_parts, F.col("part")).mapInArrow(letting_go(_judge(n_parts, similar)), FOUND), "paragraph-found")
     discard(scratch)
     # Contents that link get a number of their own, as a component's node is one long.
     links = found.where("other IS NOT NULL").select("content", "check", "other", "other_check")
@@ -413,7 +413,7 @@ def _code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, tie, spans): ranges of the coded text that windows of RUN_WORDS words which also start earlier cover."""
-    coded = keyed(docs, id_col, text_col).mapInArrow(_code, "doc long, tie int, text binary")
+    coded = keyed(docs, id_col, text_col).mapInArrow(letting_go(_code), "doc long, tie int, text binary")
     return suffix.spans_of(coded, RUN_WORDS * CODE_BYTES)
 
 
@@ -479,4 +479,4 @@ def remove_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             columns = [pa.array(texts, pa.string()) if i == place else step.column(i) for i in range(len(names)) if i not in (spans_at, runs_at)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(counts, pa.int64())], names=[f.name for f in rest] + ["n_removed", "n_spans"])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(letting_go(run), schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import claim, partitions_of, ragged, steps
+from granary.llm.common import claim, letting_go, partitions_of, ragged, steps
 from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, target_of, undeal, unpack_spans
 from granary.session import discard, materialize
 
@@ -493,8 +493,8 @@ def spans_of(texts: DataFrame, length: int, **limits) -> DataFrame:
     n_parts = partitions_of(texts)
     flagged, keys, _, scratch = find_repeats(texts, _find(length), "suffix", with_contents=False, n_parts=n_parts, **limits)
     hot = texts.sparkSession.sparkContext.broadcast(keys)
-    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(_contexts(length, hot, n_parts), DEALT)
-    spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(_judge(length, n_parts), DEALT)
+    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(letting_go(_contexts(length, hot, n_parts)), DEALT)
+    spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(letting_go(_judge(length, n_parts)), DEALT)
     spans = materialize(spans, "suffix-spans")
     discard(scratch)
     return spans_by_document(spans, n_parts)
