@@ -192,6 +192,17 @@ def letting_go(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch
     return wrapped
 
 
+def chained(*runs: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One function that runs each on what the one before gives, in one worker: each Python function of a stage has a worker a core of its own, and workers stay."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one in runs:
+            batches = one(batches)
+        yield from batches
+
+    return letting_go(run)
+
+
 def union_min(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 and links a-b the smallest node of each one's component."""
     root = np.arange(n)
@@ -210,7 +221,7 @@ def union_min(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of a partition to the smallest node that they reach in each batch: no path is lost, repeats go."""
     for batch in batches:
         if not batch.num_rows:
@@ -222,17 +233,23 @@ def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(root[own])], names=["src", "dst"])
 
 
-def connected_components(links: DataFrame, label: str) -> DataFrame:
+def forests(links: DataFrame) -> DataFrame:
+    """Links (src, dst) by which the same nodes reach each other, fewer where many are repeated or lead back."""
+    return links.mapInArrow(letting_go(forest), "src long, dst long")
+
+
+def connected_components(links: DataFrame, label: str, *, reduced: bool = False) -> DataFrame:
     """(node, component): the smallest node that each linked node reaches; nodes are longs.
 
     ``links`` has long columns src and dst; nodes without a link to another
-    don't appear. Large-star and small-star steps alternate until nothing
+    don't appear. With ``reduced``, links that a Python function made are
+    forests already, and no second function follows it. Large-star and small-star steps alternate until nothing
     moves. Every step is an aggregate and an equi-join whose larger side Spark
     can split, so a hub with many neighbours isn't gathered in one task, and
     every round is written to the shared folder.
     """
     edges = links.where("src <> dst").selectExpr("greatest(src, dst) AS src", "least(src, dst) AS dst")
-    edges = materialize(edges.mapInArrow(_forest, "src long, dst long").distinct(), f"{label}-links")
+    edges = materialize((edges if reduced else forests(edges)).distinct(), f"{label}-links")
     before = None
     while True:
         edges = _star(edges, label, large=True)

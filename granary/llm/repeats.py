@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import bounded_batches, claim, steps
+from granary.llm.common import bounded_batches, chained, claim, steps
 from granary.session import materialize
 
 #: Bytes of text whose keys are gathered before they are sent on.
@@ -197,16 +197,18 @@ def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([table["doc"].combine_chunks().take(pa.array(begin)), table["tie"].combine_chunks().take(pa.array(begin)), pa.array(blobs, pa.binary())], names=["doc", "tie", "places"])
 
 
-def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP, most: int = MAX_TEXT) -> tuple[DataFrame, np.ndarray, np.ndarray, DataFrame]:
+def find_repeats(texts: DataFrame, find: Find, label: str, *, with_contents: bool, n_parts: int, hot_places: int = HOT_PLACES, step_bytes: int = STEP, most: int = MAX_TEXT, code: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None) -> tuple[DataFrame, np.ndarray, np.ndarray, DataFrame]:
     """Per document of ``texts`` (doc, tie, text) the places whose keys repeat; the hot keys, sorted, and their numbers; and the table to discard once the places have been read.
 
     ``places`` are u4: twice the place, and one more if its key has other contents.
 
     Hot keys are those of ``hot_places`` places or more (``with_contents``: of
     distinct contents), of which at most MAX_HOT are named: the bar rises with
-    the corpus, so what is broadcast doesn't.
+    the corpus, so what is broadcast doesn't. With ``code``, places are those of
+    what it makes of the texts' rows, in the same worker.
     """
-    sent = texts.mapInArrow(_send(find, n_parts, step_bytes, most), "part int, entries binary, known binary")
+    send = _send(find, n_parts, step_bytes, most)
+    sent = texts.mapInArrow(chained(code, send) if code else send, "part int, entries binary, known binary")
     found = materialize(sent.repartitionById(n_parts, F.col("part")).mapInArrow(_decide(hot_places, n_parts, with_contents), FLAGGED), f"{label}-flagged")
     hot = found.where("hot_key IS NOT NULL").groupBy("hot_key").agg(F.sum("hot_count").alias("n"))
     total = hot.agg(F.sum("n")).first()[0] or 0

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import bounded_batches, claim, connected_components, steps, union_min
+from granary.llm.common import bounded_batches, claim, connected_components, forests, steps, union_min
 from granary.session import discard, materialize
 
 SHINGLE_STEP = 1 << 15
@@ -221,8 +221,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = dealt.groupBy("leaf", "b", "q").applyInPandas(search, "src long, dst long")
     # A doc_id of several texts joins the groups of all of them.
     several = own.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("doc_id")
-    links = links.unionByName(own.join(several, "doc_id").join(reps, "fp").where("doc_id <> rep").selectExpr("doc_id AS src", "rep AS dst"))
-    components = connected_components(links, "simhash")
+    links = links.unionByName(forests(own.join(several, "doc_id").join(reps, "fp").where("doc_id <> rep").selectExpr("doc_id AS src", "rep AS dst")))
+    components = connected_components(links, "simhash", reduced=True)
     named = materialize(reps.join(components, reps.rep == components.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "simhash-named")
     discard(reps, routed)
     out = own.join(named, "fp", "left")

@@ -399,22 +399,24 @@ def _runs(text: bytes, spans: list[list[int]], min_words: int) -> list[tuple[int
     return runs
 
 
-def _code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coded(step: pa.RecordBatch) -> pa.RecordBatch:
     """Texts as CODE_BYTES bytes of each word's hash."""
+    texts = step.column(2).to_pylist()
+    with np.errstate(over="ignore"):
+        _, begin, first, _, word = _words(texts)
+    codes = (word >> U(64 - 8 * CODE_BYTES)).astype("<u2")
+    cuts = np.append(np.searchsorted(first, begin), len(first)).tolist()
+    return pa.RecordBatch.from_arrays([step.column(0), step.column(1), pa.array([codes[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=["doc", "tie", "text"])
+
+
+def _code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     claim()
-    for step in steps(batches, "text", CHUNK):
-        texts = step.column(2).to_pylist()
-        with np.errstate(over="ignore"):
-            _, begin, first, _, word = _words(texts)
-        codes = (word >> U(64 - 8 * CODE_BYTES)).astype("<u2")
-        cuts = np.append(np.searchsorted(first, begin), len(first)).tolist()
-        yield pa.RecordBatch.from_arrays([step.column(0), step.column(1), pa.array([codes[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=["doc", "tie", "text"])
+    yield from map(_coded, steps(batches, "text", CHUNK))
 
 
 def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, tie, spans): ranges of the coded text that windows of RUN_WORDS words which also start earlier cover."""
-    coded = keyed(docs, id_col, text_col).mapInArrow(letting_go(_code), "doc long, tie int, text binary")
-    return suffix.spans_of(coded, RUN_WORDS * CODE_BYTES)
+    return suffix.spans_of(keyed(docs, id_col, text_col), RUN_WORDS * CODE_BYTES, code=_code)
 
 
 def _with_runs(text: bytes, spans: list[list[int]], runs: list[list[int]]) -> list[list[int]]:

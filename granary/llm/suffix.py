@@ -13,7 +13,7 @@ hashes only choose what is sorted together.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -488,12 +488,13 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return spans_of(keyed(docs, id_col, text_col), length, **limits)
 
 
-def spans_of(texts: DataFrame, length: int, **limits) -> DataFrame:
-    """The same for rows that are (doc, tie, text) already."""
+def spans_of(texts: DataFrame, length: int, *, code: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, **limits) -> DataFrame:
+    """The same for rows that are (doc, tie, text) already; with ``code``, for what it makes of them."""
     n_parts = partitions_of(texts)
-    flagged, keys, _, scratch = find_repeats(texts, _find(length), "suffix", with_contents=False, n_parts=n_parts, **limits)
+    flagged, keys, _, scratch = find_repeats(texts, _find(length), "suffix", with_contents=False, n_parts=n_parts, code=code, **limits)
     hot = texts.sparkSession.sparkContext.broadcast(keys)
-    rows = texts.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(letting_go(_contexts(length, hot, n_parts)), DEALT)
+    coded = texts.mapInArrow(letting_go(code), texts.schema) if code else texts
+    rows = coded.join(flagged.hint("shuffle_merge"), ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(letting_go(_contexts(length, hot, n_parts)), DEALT)
     spans = rows.repartitionById(n_parts, F.col("part")).mapInArrow(letting_go(_judge(length, n_parts)), DEALT)
     spans = materialize(spans, "suffix-spans")
     discard(scratch)
