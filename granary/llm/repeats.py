@@ -26,6 +26,8 @@ from granary.session import materialize
 
 #: Bytes of text whose keys are gathered before they are sent on.
 STEP = 3 << 20
+#: Sorts a key's contents apart.
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Stands for a null id, before all others.
 NO_ID = -(1 << 63)
 #: A key counts as hot from this number of places (with contents: of distinct contents) on, or from the share that
@@ -76,7 +78,8 @@ def _send(find: Find, n_parts: int, step_bytes: int, most: int):
             if max(map(len, texts)) >= most:
                 raise ValueError(f"a text of {most} bytes or more can't be searched for repeats")
             owner, places, keys, contents = find(texts)
-            order = np.argsort(keys, kind="stable") if contents is None else np.lexsort((contents, keys))
+            # One sort for both: entries apart by chance only are sent twice, with their numbers.
+            order = np.argsort(keys if contents is None else keys * MIX ^ contents, kind="stable")
             owner, places, keys = owner[order], places[order], keys[order]
             contents = None if contents is None else contents[order]
             new = keys[1:] != keys[:-1]

@@ -16,13 +16,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import suffix
-from granary.llm.common import STORES, claim, connected_components, fresh, letting_go, partitions_of, steps
+from granary.llm.common import STORES, claim, connected_components, fresh, letting_go, partitions_of, ragged, steps
 from granary.llm.decontaminate import WORD_BYTES
-from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, undeal, unpack_spans
+from granary.llm.repeats import DEALT, NO_ID, STEP, deal, deal_spans, find_repeats, keyed, merge_spans, spans_by_document, target_of, undeal, unpack_spans
 from granary.session import discard, materialize
 
 WORDS = 5
@@ -35,6 +36,8 @@ MOST = max(b for b, _ in BANDS.values())
 PASSAGE_WORDS = 15
 #: Contents of a band's key that are compared with each other in one place.
 BLOCK = 4096
+#: Contents of a bucket up to which it is compared together with others, and shingles of such buckets at a time: at most FEW / 2 times as many pairs.
+FEW, ENTRIES = 32, 1 << 17
 #: Words of a run that goes wherever it begins and ends, if all of it stood earlier.
 RUN_WORDS = 50
 CODE_BYTES = 2
@@ -43,12 +46,17 @@ MOST_TEXT = 1 << 28
 CHUNK = 1 << 20
 LINE, SENTENCE = 0, 1
 U = np.uint64
+STOPS, SPACES = bytes(b in b".!?" for b in range(256)), np.isin(np.arange(256), list(b" \t\n\r"))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    out = x >> U(30)
+    out ^= x
+    out *= U(0xBF58476D1CE4E5B9)
+    out ^= out >> U(27)
+    out *= U(0x94D049BB133111EB)
+    out ^= out >> U(31)
+    return out
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -79,11 +87,16 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     plain = np.frombuffer(raw.tobytes().translate(WORD_BYTES), np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     begin = np.cumsum(sizes) - sizes
-    inside = plain != 0x20
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    inside = np.zeros(len(plain) + 2, bool)
+    np.not_equal(plain, 0x20, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = edges[::2], edges[1::2]
     power, inverse = _powers(len(raw) + 1)
-    sums = np.concatenate([[U(0)], np.cumsum((plain.astype(U) + U(1)) * power[: len(plain)], dtype=U)])
+    value = plain.astype(U)
+    value += U(1)
+    value *= power[: len(plain)]
+    sums = np.zeros(len(plain) + 1, U)
+    np.cumsum(value, out=sums[1:])
     return raw, begin, first, last, _mix((sums[last] - sums[first]) * inverse[first])
 
 
@@ -96,40 +109,48 @@ class Paragraphs:
 
     def _read(self, texts: list[bytes]) -> None:
         raw, begin, first, last, word = _words(texts)
-        newline = raw == 0x0A
-        stop = np.isin(raw, np.frombuffer(b".!?", np.uint8)) & np.concatenate([np.isin(raw[1:], np.frombuffer(b" \t\n\r", np.uint8)), [True]])
-        line = np.cumsum(newline)[first] if len(first) else first
-        sentence = np.cumsum(newline | stop)[first] if len(first) else first
+        newline = np.flatnonzero(raw == 0x0A)
+        stop = np.flatnonzero(np.frombuffer(raw.tobytes().translate(STOPS), bool))
+        stop = stop[SPACES[raw[stop + 1]]]  # the last byte is a line end
+
+        def passed(places: np.ndarray) -> np.ndarray:
+            """How many of the places lie before each word."""
+            return np.cumsum(np.bincount(np.searchsorted(first, places), minlength=len(first) + 1))[: len(first)]
+
+        line = passed(newline)
+        sentence = line + passed(stop)
         shingle = np.zeros(max(0, len(word) - WORDS + 1), U)
         for k in range(WORDS):
             shingle = shingle * U(_FACTOR) + word[k : len(word) - WORDS + 1 + k]
         shingle = _mix(shingle)
         parts = []
+        mixed: dict[int, np.ndarray] = {}
         for kind, number in ((LINE, line), (SENTENCE, sentence)):
             if not len(word):
                 continue
-            head = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+            head = np.flatnonzero(_new(number))
             count = np.diff(np.append(head, len(word)))
+            placed = (np.arange(len(word)) - np.repeat(head, count)).astype(U)
+            placed *= U(0x9E3779B97F4A7C15)
+            placed += word
+            placed += U(kind + 1)
+            content = _mix(np.add.reduceat(_mix(placed), head) + count.astype(U))
+            check = _mix(np.add.reduceat(_mix(placed ^ U(0xD1342543DE82EF95)), head) ^ count.astype(U))
             keep = count >= WORDS
-            head, count = head[keep], count[keep]
+            head, count, content, check = head[keep], count[keep], content[keep], check[keep]
             if not len(head):
                 continue
-            place = np.repeat(head - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-            within = place - np.repeat(head, count)
-            starts = np.cumsum(count) - count
-            placed = word[place] + U(kind + 1) + within.astype(U) * U(0x9E3779B97F4A7C15)
-            content = _mix(np.add.reduceat(_mix(placed), starts) + count.astype(U))
-            check = _mix(np.add.reduceat(_mix(placed ^ U(0xD1342543DE82EF95)), starts) ^ count.astype(U))
             n_shingles = count - WORDS + 1
-            at = np.repeat(head - (np.cumsum(n_shingles) - n_shingles), n_shingles) + np.arange(int(n_shingles.sum()))
-            own, cuts = shingle[at], np.cumsum(n_shingles) - n_shingles
+            cuts = np.stack([head, head + n_shingles], axis=1).ravel()
             bands, rows = BANDS[kind]
             keys = []
             for b in range(bands):
                 key = np.full(len(head), U(kind * 64 + b + 1), U)
                 for r in range(rows):
-                    seed = U((0xA24BAED4963EE407 * (b * rows + r + 1)) % (1 << 64))
-                    key = _mix(key * U(_FACTOR) + np.minimum.reduceat(_mix(own ^ seed), cuts))
+                    seed = 0xA24BAED4963EE407 * (b * rows + r + 1) % (1 << 64)
+                    if seed not in mixed:
+                        mixed[seed] = np.append(_mix(shingle ^ U(seed)), U(0))  # a last paragraph's shingles end before it
+                    key = _mix(key * U(_FACTOR) + np.minimum.reduceat(mixed[seed], cuts)[::2])
                 keys.append(key)
             text = np.searchsorted(begin, first[head], side="right") - 1
             parts.append((text, np.full(len(head), kind), first[head] - begin[text], last[head + count - 1] - begin[text], content, np.stack(keys + [keys[0]] * (MOST - bands), axis=1), head, n_shingles, check))
@@ -141,9 +162,33 @@ class Paragraphs:
     def __len__(self) -> int:
         return len(self.text)
 
-    def shingles(self, i: int) -> np.ndarray:
-        """The hashes of a paragraph's distinct shingles, sorted."""
-        return np.unique(self.shingle[self._head[i] : self._head[i] + self._n[i]])
+    def shingles(self, some: np.ndarray) -> pa.Array:
+        """The hashes of the distinct shingles of each of some paragraphs, sorted."""
+        n = self._n[some]
+        flat, owner = self.shingle[ragged(self._head[some], n)], np.repeat(np.arange(len(some)), n)
+        flat = flat[np.lexsort((flat, owner))]
+        new = _new(owner, flat)
+        offsets = 8 * np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(some)))])
+        return pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat[new], "<u8"))])
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the row before."""
+    return np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]) if len(columns[0]) else np.zeros(0, bool)
+
+
+def _first_equal(*columns: np.ndarray) -> np.ndarray:
+    """The first row that equals each one."""
+    order = np.lexsort(columns)
+    new = _new(*(c[order] for c in columns))
+    out = np.empty(len(order), np.int64)
+    out[order] = order[new][np.cumsum(new) - 1]
+    return out
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the known ones, that are in order."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
 
 
 def _groups(texts: list[bytes]) -> Iterator[tuple[int, Paragraphs]]:
@@ -194,34 +239,45 @@ def _collide(n_parts: int, hot):
             by = np.lexsort((ties, docs))
             docs, ties, texts = docs[by], ties[by], [texts[i] for i in by]
             told = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(blobs[i], "<u4").astype(np.int64) + (k << 34) for k, i in enumerate(by.tolist())]])
-            wanted, mixed = np.unique(told >> 3), told[told & 1 == 1] >> 1
-            sent: set[tuple] = set()
-            seen: dict[tuple, tuple] = {}
-            rows: list[tuple] = []
+            wanted, mixed = told >> 3, told[told & 1 == 1] >> 1
+            places, members, shingles = [], [], []
             for shift, p in _groups(texts):
                 name = p.place + (p.text + shift << 31)
+                at = np.flatnonzero(_among(name, wanted))
+                places.append((p.text[at] + shift, p.start[at], p.end[at], p.content[at], p.check[at]))
                 # Only in buckets that hold another content is there anything to compare.
-                compared = np.stack([np.isin(name * 4 + b, mixed) for b in range(MOST)], axis=1)
-                for i in np.flatnonzero(np.isin(name, wanted)).tolist():
-                    k = int(p.text[i]) + shift
-                    own, content = (int(docs[k]), int(ties[k]), int(p.start[i]), int(p.end[i])), (int(p.content[i]), int(p.check[i]))
-                    before = seen.get(content)
-                    if before is None:
-                        seen[content] = own
-                        rows.append((FIRST, content[0] % n_parts, 0, *content, None, *own))
-                    elif before != own:
-                        rows.append((GONE, (own[0] * 31 + own[1]) % n_parts, 0, 0, 0, None, *own))
-                    keys = {k for k in p.keys[i][compared[i]].tolist() if (k, content) not in sent} if compared[i].any() else ()
-                    if keys:
-                        sent.update((k, content) for k in keys)
-                        shingles = p.shingles(i).tobytes()
-                        for key in keys:
-                            rows += [(MEMBER, b % n_parts, b, *content, shingles, None, None, None, None) for b in buckets_of(key, content[0], blocks.get(key, 1))]
-            if rows:
-                kind, part, *columns = zip(*rows, strict=True)
-                table = pa.table([pa.array(kind, pa.int8()), *[pa.array(c, t) for c, (_, t) in zip(columns, BUCKET, strict=True)]], names=["kind", *[n for n, _ in BUCKET]])
-                for q, blob in deal(table, np.array(part, np.int64), n_parts):
-                    yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([blob], pa.binary())], names=["part", "entries"])
+                compared = np.stack([_among(name[at] * 4 + b, mixed) for b in range(MOST)], axis=1)
+                row, band = np.nonzero(compared)
+                if not len(row):
+                    continue
+                row = at[row]
+                row, band = (x[_first_equal(p.check[row], p.content[row], p.keys[row, band]) == np.arange(len(row))] for x in (row, band))
+                first = _first_equal(p.check[row], p.content[row])
+                heads, number = np.unique(first, return_inverse=True)
+                members.append((p.keys[row, band], p.content[row], p.check[row], number + sum(map(len, shingles))))
+                shingles.append(p.shingles(row[heads]))
+            text, start, end, content, check = (np.concatenate(c) for c in zip(*places, strict=True))
+            doc, tie, first = docs[text], ties[text], _first_equal(check, content)
+            head = first == np.arange(len(first))
+            gone = ~head & ((doc != doc[first]) | (tie != tie[first]) | (start != start[first]) | (end != end[first]))  # else the same document in two rows
+            rows = [(content[head] % U(n_parts), FIRST, 0, content[head], check[head], None, doc[head], tie[head], start[head], end[head])]
+            rows.append((target_of(doc[gone], tie[gone], n_parts), GONE, 0, 0, 0, None, doc[gone], tie[gone], start[gone], end[gone]))
+            if members:
+                key, content, check, number = (np.concatenate(c) for c in zip(*members, strict=True))
+                some = np.flatnonzero(_first_equal(check, content, key) == np.arange(len(key)))
+                key, content, check, number = key[some], content[some], check[some], number[some]
+                if blocks:
+                    buckets = [buckets_of(k, c, blocks.get(k, 1)) for k, c in zip(key.tolist(), content.tolist(), strict=True)]
+                    some = np.repeat(np.arange(len(key)), list(map(len, buckets)))
+                    key, content, check, number = np.fromiter((b for own in buckets for b in own), U, len(some)), content[some], check[some], number[some]
+                rows.append((key % U(n_parts), MEMBER, key, content, check, pa.concat_arrays(shingles).take(pa.array(number)), 0, 0, 0, 0))
+            part = np.concatenate([r[0].astype(np.int64) for r in rows])
+            if not len(part):
+                continue
+            columns = [[pa.nulls(len(r[0]), t) if c is None else c if isinstance(c, pa.Array) else pa.array(np.broadcast_to(np.asarray(c), len(r[0])).astype(t.to_pandas_dtype()), t) for r in rows for c in [r[i]]] for i, t in enumerate((pa.int8(), *[t for _, t in BUCKET]), 1)]
+            table = pa.table([pa.concat_arrays(c) for c in columns], names=["kind", *[n for n, _ in BUCKET]])
+            for q, blob in deal(table, part, n_parts):
+                yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([blob], pa.binary())], names=["part", "entries"])
 
     return run
 
@@ -269,7 +325,8 @@ def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
     begin = np.searchsorted(token[order], np.arange(int(token.max()) + 2))
     at = np.cumsum(sizes) - sizes
     todo = list(range(n - 1, -1, -1))
-    todo.sort(key=lambda i: abs(int(sizes[i]) - int(np.median(sizes))), reverse=True)
+    middle = int(np.median(sizes))
+    todo.sort(key=lambda i: abs(int(sizes[i]) - middle), reverse=True)
     largest, skipped = -1, []
     while todo:
         i = todo.pop()
@@ -291,6 +348,36 @@ def link_sets(sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
     return links
 
 
+def link_buckets(flat: np.ndarray, sizes: np.ndarray, bucket: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of sets of a bucket, side by side, whose Jaccard similarity is ``similar`` or more.
+
+    ``flat`` has the sets one after another. An inverted index brings together
+    those that share anything; ENTRIES entries of whole buckets are taken at a time.
+    """
+    ends = np.cumsum(sizes)
+    last = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) if len(bucket) else np.zeros(0, np.int64)
+    found = [(np.zeros(0, np.int64),) * 2]
+    begin = 0
+    while begin < len(sizes):
+        base = ends[begin] - sizes[begin]
+        to = np.searchsorted(ends[last], base + ENTRIES, side="right") - 1
+        stop = last[max(to, np.searchsorted(last, begin))] + 1
+        own = sizes[begin:stop]
+        owner = np.repeat(np.arange(stop - begin), own)
+        shared, group = flat[base : ends[stop - 1]], bucket[begin:stop][owner]
+        order = np.lexsort((shared, group))  # equal ones in the order of their sets
+        owner, new = owner[order], np.flatnonzero(_new(group[order], shared[order]))
+        size = np.diff(np.append(new, len(order)))
+        after = np.repeat(new + size, size) - np.arange(len(order)) - 1  # an entry's equals behind it
+        pair = np.repeat(owner, after) * (stop - begin) + owner[ragged(np.arange(1, len(order) + 1), after)]
+        pair, both = np.unique(pair, return_counts=True)
+        i, j = pair // (stop - begin), pair % (stop - begin)
+        enough = both >= similar * (own[i] + own[j] - both)
+        found.append((i[enough] + begin, j[enough] + begin))
+        begin = stop
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 def _judge(n_parts: int, similar: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim()
@@ -301,20 +388,25 @@ def _judge(n_parts: int, similar: float):
         members = table.filter(pa.array(kind == MEMBER))
         key, content, check = (members[n].to_numpy() for n in ("key", "content", "check"))
         order = np.lexsort((check, content, key))
-        links: set[tuple[int, int, int, int]] = set()
+        links: list[np.ndarray] = []
         if len(order):
-            key, content, check = key[order], content[order], check[order]
-            keep = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1]) | (check[1:] != check[:-1])])
-            order, key, content, check = order[keep], key[keep], content[keep], check[keep]
-            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            size = np.diff(np.append(begin, len(key)))
-            some = size > 1
-            for a, n in zip(begin[some].tolist(), size[some].tolist(), strict=True):
-                sets = [np.frombuffer(x, "<u8") for x in members["shingles"].take(pa.array(order[a : a + n])).to_pylist()]
-                links.update((int(content[a + i]), int(check[a + i]), int(content[a + j]), int(check[a + j])) for i, j in link_sets(sets, similar))
-        if links:
-            pairs = np.array(sorted(links), U).view(np.int64)
-            yield _found(len(pairs), **{n: pa.array(pairs[:, i]) for i, n in enumerate(("content", "check", "other", "other_check"))})
+            order = order[_new(key[order], content[order], check[order])]
+            begin = np.flatnonzero(_new(key[order]))
+            size = np.diff(np.append(begin, len(order)))
+            named = np.stack([content, check], axis=1)
+            few = order[np.repeat((size > 1) & (size <= FEW), size)]
+            sets = members["shingles"].take(pa.array(few))
+            i, j = link_buckets(np.frombuffer(b"".join(sets.to_pylist()), "<u8"), pc.binary_length(sets).to_numpy().astype(np.int64) >> 3, key[few], similar)
+            links.append(np.concatenate([named[few[i]], named[few[j]]], axis=1))
+            for a, n in zip(begin[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
+                own = order[a : a + n]
+                sets = [np.frombuffer(x, "<u8") for x in members["shingles"].take(pa.array(own)).to_pylist()]
+                i, j = np.array(link_sets(sets, similar), np.int64).reshape(-1, 2).T
+                links.append(np.concatenate([named[own[i]], named[own[j]]], axis=1))
+        pairs = np.concatenate([np.zeros((0, 4), U), *links])
+        pairs = pairs[_first_equal(*pairs.T) == np.arange(len(pairs))].view(np.int64)
+        if len(pairs):
+            yield _found(len(pairs), **{n: pa.array(np.ascontiguousarray(pairs[:, i])) for i, n in enumerate(("content", "check", "other", "other_check"))})
         firsts = table.filter(pa.array(kind == FIRST))
         if firsts.num_rows:
             columns = [*(firsts[n].to_numpy().view(np.int64) for n in ("content", "check")), *(firsts[n].to_numpy().astype(np.int64) for n in ("doc", "tie", "start", "end"))]

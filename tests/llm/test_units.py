@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -279,6 +281,56 @@ def test_link_sets_of_long_chains():
         assert union_min(len(sets), *links).tolist() == want.tolist()
 
 
+@pytest.mark.parametrize("entries", [1, 100, 1 << 17])
+def test_link_buckets_by_all_pairs(monkeypatch, entries):
+    monkeypatch.setattr(substring, "ENTRIES", entries)
+    r = random.Random(8)
+    for _ in range(40):
+        base = [r.sample(range(500), r.randint(1, 30)) for _ in range(3)]
+        sets = [np.unique(np.array([x if r.random() < 0.95 else r.randrange(500) for x in r.choice(base)], np.uint64)) for _ in range(r.randint(0, 30))]
+        bucket = np.sort(np.array([r.randrange(4) for _ in sets], np.uint64))
+        want = [(i, j) for j in range(len(sets)) for i in range(j) if bucket[i] == bucket[j] and (x := len(np.intersect1d(sets[i], sets[j]))) >= 0.8 * (len(sets[i]) + len(sets[j]) - x)]
+        i, j = substring.link_buckets(np.concatenate([np.zeros(0, np.uint64), *sets]), np.array([len(s) for s in sets], np.int64), bucket, 0.8)
+        assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(want)
+
+
+def calls_of(run):
+    """What a run gives, and how many functions it has called, those in C too."""
+    n = 0
+
+    def count(frame, event, arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        return list(run), n
+    finally:
+        sys.setprofile(None)
+
+
+def test_paragraphs_are_compared_without_a_call_for_each():
+    """Lines with an edited copy each: all are compared in whole arrays, so fewer functions are called than there are paragraphs."""
+    r = random.Random(9)
+    lines = [[f"w{r.randrange(10**9)}" for _ in range(14)] for _ in range(1500)]
+    every = [" ".join(x) for x in lines] + [" ".join([*x[:-1], "edited"]) for x in lines]
+    texts = ["\n".join(every[i : i + 50]).encode() for i in range(0, len(every), 50)]
+    text, place, key, _ = substring.find_keys(texts)
+    keys, times = np.unique(key, return_counts=True)
+    twice = np.isin(key, keys[times > 1])
+    blobs = [np.unique(place[(text == k) & twice] * 2 + 1).astype("<u4").tobytes() for k in range(len(texts))]
+    step = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int32()), pa.array(texts, pa.binary()), pa.array(blobs, pa.binary())], names=["doc", "tie", "text", "places"])
+    known = types.SimpleNamespace(value=(keys[:0], times[:0]))
+    sent, sending = calls_of(substring._collide(1, known)([step]))
+    found, judging = calls_of(substring._judge(1, 0.8)(sent))
+    number = {}
+    for k, p in substring._groups(texts):
+        number |= {(c, h): ((t + k) * 50 + texts[t + k].count(b"\n", 0, a), kind) for t, a, kind, c, h in zip(p.text.tolist(), p.start.tolist(), p.kind.tolist(), p.content.view(np.int64).tolist(), p.check.view(np.int64).tolist(), strict=True)}
+    links = [(number[r["content"], r["check"]], number[r["other"], r["other_check"]]) for b in found for r in b.to_pylist() if r["other"] is not None]
+    assert all(abs(a - b) == 1500 and k == m for (a, k), (b, m) in links) and len(links) == len(set(links)) >= 0.98 * 2 * 1500
+    assert sending < 3000 and judging < 3000, (sending, judging)
+
+
 def chains_of(field, emission):
     """Every chain of labels with its weight: all k^n of them."""
     n, k = emission.shape
