@@ -103,6 +103,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Words whose values are copied at a time: their indices stay in a core's cache.
+GATHERED = 1 << 14
+
+
 class WordCache:
     """Numbers for words seen so far, and a flat store of what was computed for each.
 
@@ -155,7 +159,13 @@ class WordCache:
 
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.lengths[numbers]
-        return self.flat[ragged(self.starts[numbers], lengths)], lengths
+        ends = np.cumsum(lengths)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, self.flat.dtype)
+        for i in range(0, len(numbers), GATHERED):
+            some = slice(i, i + GATHERED)
+            at = ragged(self.starts[numbers[some]], lengths[some])
+            out[ends[i] - lengths[i] :][: len(at)] = self.flat[at]
+        return out, lengths
 
 
 _CACHES: weakref.WeakSet[WordCache] = weakref.WeakSet()

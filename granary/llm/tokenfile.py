@@ -205,7 +205,7 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
     pairs, number, first = _numbered(before * alphabet + x)
     own, head = pairs // alphabet, np.searchsorted(pairs, np.arange(alphabet + 1) * alphabet)  # a's first pair
     slots = model.slots(before2, before)
-    times = np.zeros(len(pairs), np.int64)
+    times, low1, n1 = (np.zeros(len(pairs), np.int64) for _ in range(3))
     low, size = np.zeros(lanes, U), np.full(lanes, U((1 << 64) - 1))
     out, used = np.zeros((lanes, 2 * length + 8), np.uint16), np.zeros(lanes, np.int64)
     rounds = rounds_of(length)
@@ -214,7 +214,8 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
             now = slice(begin[s], begin[e])
             a, c, of, slot = before[now], x[now], number[now], slots[now]
             fine = model.fineness()
-            low1, n1 = model.order1(own, times, head, fine)
+            seen = np.flatnonzero(times)
+            low1[seen], n1[seen] = model.order1(own[seen], times[seen], np.searchsorted(seen, head), fine)
             w2, w1 = model.weights(a, slot)
             w0, low0 = WEIGHT - w2 - w1, model.order0[c]
             shift = PART_BITS - fine[a]
@@ -242,8 +243,9 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
                     move = move[again]
                 if int(used.max()) + 8 > out.shape[1]:
                     out = np.concatenate([out, np.zeros((lanes, length + 8), np.uint16)], axis=1)
-            model.update(a, slot, c, pairs[of[first[now]]], order)
-            times += np.bincount(of, minlength=len(times))
+            if e < length:  # nothing is coded by what the last round would teach
+                model.update(a, slot, c, pairs[of[first[now]]], order)
+                times += np.bincount(of, minlength=len(times))
         # The shortest end: the words after it count as 0.
         one = (low + _LOW48 >> _48) << _48
         final = np.where(one - low < size, one, (low + _LOW32 >> U(32)) << U(32))
@@ -350,8 +352,11 @@ def decode_block(block: bytes) -> np.ndarray:
                     lo[move], sz[move] = here, there
                     move = move[again]
                 by_step[t, :a] = c
-                kept.append((before.copy(), slot, c, order))
+                if e < length:
+                    kept.append((before.copy(), slot, c, order))
                 last2[:a], last[:a] = before, c
+            if not kept:
+                break
             before, slot, c, order = (np.concatenate(k) for k in zip(*kept, strict=True))
             pairs, times, fresh = _merge(pairs, times, before * alphabet + c)
             model.update(before, slot, c, fresh, order)

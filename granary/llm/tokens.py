@@ -173,7 +173,7 @@ class CachedTokenizer:
             cut = pc.replace_substring(cut, c + " ", f" \0{c} " if self.spaced else f" {c} ")
         lists = pc.split_pattern(cut, " ")
         encoded = lists.flatten().dictionary_encode()
-        distinct, index = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
+        distinct, index = encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy()
         if len(self.cache.number) > self.cache.limit:
             self.odd.clear()
         numbers = self.cache.lookup(distinct)[index]

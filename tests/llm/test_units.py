@@ -281,6 +281,17 @@ def test_link_sets_of_long_chains():
         assert union_min(len(sets), *links).tolist() == want.tolist()
 
 
+def test_last_round_of_a_block_is_not_learned(monkeypatch):
+    """Half of a block's ids are of its last round, by which nothing more is coded; the bytes are as they were."""
+    ids = (np.arange(200_000, dtype=np.int64) ** 2 // 7 % 1009).astype(np.int32)
+    learned, real = [], tokenfile._Model.update
+    monkeypatch.setattr(tokenfile._Model, "update", lambda self, before, *args: learned.append(len(before)) or real(self, before, *args))
+    block = tokenfile.encode_block(ids, 1009)
+    assert zlib.crc32(block) == 1981896364 and sum(learned) <= len(ids) // 2
+    learned.clear()
+    assert np.array_equal(tokenfile.decode_block(block), ids) and sum(learned) <= len(ids) // 2
+
+
 @pytest.mark.parametrize("entries", [1, 100, 1 << 17])
 def test_link_buckets_by_all_pairs(monkeypatch, entries):
     monkeypatch.setattr(substring, "ENTRIES", entries)
